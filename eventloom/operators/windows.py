@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.operators.skew import attach_groups, attach_per_key, stored_small
 from eventloom.session import cut_lineage
@@ -61,62 +64,74 @@ def top_per_group(counts: DataFrame, group: list[str], order: list[Column], n: i
     return counts.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-_STEP = """
-    aggregate(moves, {start}, (b, m) -> CASE WHEN b + m.amount < 0 THEN b
-        ELSE CAST(b + m.amount AS DECIMAL(18,2)) END)
-"""
+# Balance after one movement ``m`` on balance ``b``; a withdrawal above the balance is declined.
+_STEP = "CASE WHEN b + m.{amount} < 0 THEN b ELSE CAST(b + m.{amount} AS DECIMAL(18,2)) END"
+
+
+_OUTCOME = T.ArrayType(
+    T.StructType([T.StructField("accepted", T.BooleanType()), T.StructField("balance", T.DecimalType(18, 2))])
+)
+
+
+@F.pandas_udf(_OUTCOME)
+def _replay(starts: pd.Series, amounts: pd.Series) -> pd.Series:
+    """Outcome of each movement of a piece; the pieces of a batch are independent."""
+
+    def piece(balance, moves) -> list[dict]:
+        outcome = []
+        for move in moves:
+            accepted = balance + move >= 0
+            balance = balance + move if accepted else balance
+            outcome.append({"accepted": accepted, "balance": balance})
+        return outcome
+
+    return pd.Series([piece(s, a) for s, a in zip(starts, amounts)])
 
 
 def running_balance(
-    rows: DataFrame, account: str, order: list[str], amount: str, bucket: Column, opening: str = "0"
+    rows: DataFrame, account: str, order: list[str], amount: str, bucket: Column, opening: str = "0",
+    piece_rows: int = 100_000,
 ) -> DataFrame:
-    """Balance after each movement; a withdrawal above the balance is declined and changes nothing.
+    """Every movement with ``accepted`` and ``balance``; a declined withdrawal changes nothing.
 
-    Histories are cut by ``bucket`` (never decreasing along ``order``) and replayed piece by piece in parallel.
-    The start of a piece is the opening balance plus the net change of all earlier pieces. A wrong start can
-    change which withdrawals are declined, so the net changes are computed again until no start moves; the
-    n-th piece is final after at most n rounds, and usually after two or three.
+    An account of at most ``piece_rows`` movements is replayed as one piece. A longer history is cut by
+    ``bucket`` (never decreasing along ``order``) and its pieces are replayed in parallel: a piece starts from the
+    opening balance plus the net change of all earlier pieces. A wrong start can change which withdrawals are
+    declined, so these accounts are replayed until no net change moves; the n-th piece is final after at most
+    n rounds, and an account leaves the rounds when all its pieces are final.
     """
-    zero = F.lit(opening).cast("decimal(18,2)")
-    base = rows.withColumn(amount, F.col(amount).cast("decimal(18,2)")).withColumn("_bucket", bucket)
-    moves = F.sort_array(F.collect_list(F.struct(*order, F.col(amount).alias("amount")))).alias("moves")
-    pieces = cut_lineage(base.groupBy(account, "_bucket").agg(moves).withColumn("net", F.expr(
-        "aggregate(moves, CAST(0 AS DECIMAL(18,2)), (b, m) -> CAST(b + m.amount AS DECIMAL(18,2)))"
-    )))
-    earlier = Window.partitionBy(account).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = pieces.select(account, "_bucket", "net")
-    previous = None
-    while True:
-        start = (zero + F.coalesce(F.sum("net").over(earlier), F.lit(0))).cast("decimal(18,2)")
-        starts = starts.select(account, "_bucket", start.alias("start"))
-        replayed = cut_lineage(
-            pieces.drop("net").join(starts, [account, "_bucket"]).select(
-                account, "_bucket", "start", (F.expr(_STEP.format(start="start")) - F.col("start")).alias("net")
-            )
-        )
-        if previous is not None:
-            moved = previous.alias("p").join(replayed.alias("r"), [account, "_bucket"]).where("p.net <> r.net")
-            if moved.isEmpty():
-                break
-        previous = replayed
-        starts = replayed.select(account, "_bucket", "net")
-    schema = base.schema
-    ready = base.join(replayed.select(account, "_bucket", "start"), [account, "_bucket"])
-
-    def replay(piece: pd.DataFrame) -> pd.DataFrame:
-        piece = piece.sort_values(order)
-        balance, balances, accepted = piece["start"].iloc[0], [], []
-        for move in piece[amount]:
-            ok = balance + move >= 0
-            balance = balance + move if ok else balance
-            balances.append(balance)
-            accepted.append(ok)
-        return piece.assign(accepted=accepted, balance=balances).drop(columns=["_bucket", "start"])
-
-    columns = [account, "_bucket", "start", *[c for c in rows.columns if c != account]]
-    fields = [f"`{c}` {schema[c].dataType.simpleString()}" for c in columns if c in rows.columns]
-    shape = ", ".join([*fields, "accepted boolean", "balance decimal(18,2)"])
-    return ready.select(*columns).groupBy(account, "_bucket").applyInPandas(replay, shape)
+    exact = "decimal(18,2)"
+    others = [c for c in rows.columns if c not in (account, amount, *order)]
+    long = rows.groupBy(account).agg(F.count("*").alias("_n")).where(F.col("_n") > piece_rows)
+    cut = attach_groups(rows.withColumn("_bucket", bucket), long, [account], "_n", ["_n"])
+    cut = cut.withColumn("_bucket", F.when(F.col("_n").isNotNull(), F.col("_bucket")))
+    moves = F.sort_array(F.collect_list(F.struct(*order, F.col(amount).cast(exact).alias(amount), *others)))
+    pieces = cut_lineage(cut.groupBy(account, "_bucket").agg(moves.alias("_moves")))
+
+    whole = pieces.where(F.col("_bucket").isNull()).select(account, F.lit(opening).cast(exact).alias("_start"), "_moves")
+    parts = pieces.where(F.col("_bucket").isNotNull())
+    plain_sum = F.expr(f"aggregate(_moves, CAST(0 AS {exact}), (b, m) -> CAST(b + m.{amount} AS {exact}))")
+    replayed_net = F.expr(f"aggregate(_moves, _start, (b, m) -> {_STEP.format(amount=amount)})") - F.col("_start")
+    per_account = Window.partitionBy(account)
+    earlier = per_account.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = (F.lit(opening).cast(exact) + F.coalesce(F.sum("_net").over(earlier), F.lit(0))).cast(exact)
+    nets = parts.select(account, "_bucket", plain_sum.alias("_net"))
+    ready = [whole]
+    while not nets.isEmpty():
+        starts = nets.select(account, "_bucket", start.alias("_start"), F.col("_net").alias("_was"))
+        replayed = parts.join(starts, [account, "_bucket"]).withColumn("_net", replayed_net.cast(exact))
+        moved = F.max(F.col("_net") != F.col("_was")).over(per_account)
+        judged = cut_lineage(replayed.select(account, "_bucket", "_start", "_net", moved.alias("_moved")))
+        final = judged.where(~F.col("_moved")).select(account, "_bucket", "_start")
+        ready.append(parts.join(final, [account, "_bucket"]).select(account, "_start", "_moves"))
+        nets = judged.where("_moved").select(account, "_bucket", "_net")
+
+    outcome = _replay("_start", F.transform("_moves", lambda m: m[amount])).alias("_outcome")
+    replayed = reduce(DataFrame.unionByName, ready).select(account, "_moves", outcome)
+    lines = replayed.select(account, F.explode(F.arrays_zip("_moves", "_outcome")).alias("_line"))
+    return lines.select(
+        *[F.col(c) if c == account else F.col(f"_line._moves.{c}").alias(c) for c in rows.columns], "_line._outcome.*"
+    )
 
 
 def exact_median(rows: DataFrame, value: str, by: list[str], pieces: int = 256, name: str = "median") -> DataFrame:
