@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 WHITESPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 
 
+NOT_WHITESPACE = r"[^\s\x0b\x1c-\x1f\x85\p{Z}]"
+
+
 def strip(col: Column) -> Column:
     """Remove leading and trailing whitespace of every kind."""
     return F.regexp_replace(col, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
 
 
+def has_content(col: Column) -> Column:
+    """At least one character that is not whitespace; null for null."""
+    return col.rlike(NOT_WHITESPACE)
+
+
 def is_blank(col: Column) -> Column:
     """Null, empty, or spaces only."""
     return col.isNull() | (F.length(F.trim(col)) == 0)

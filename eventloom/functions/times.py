@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventloom.functions.text import strip
+from eventloom.functions.text import has_content
 
 ZONE_SUFFIX = r"(Z|[+-]\d{2}:?\d{2}(:?\d{2}(\.\d+)?)?)$"
 
@@ -18,7 +18,7 @@ def parse_time(text: Column) -> Column:
 def is_zoned_timestamp(text: Column) -> Column:
     """True for an ISO 8601 timestamp that states its offset."""
     has_zone = text.rlike(r"^\d{4}-\d{2}-\d{2}[T ].*" + ZONE_SUFFIX)
-    return F.coalesce((F.length(strip(text)) > 0) & has_zone & F.try_to_timestamp(text).isNotNull(), F.lit(False))
+    return F.coalesce(has_content(text) & has_zone & F.try_to_timestamp(text).isNotNull(), F.lit(False))
 
 
 def date_parts(day: Column, fiscal_start_month: int = 7) -> dict[str, Column]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.functions.text import strip
+from eventloom.functions.text import has_content
 
 
 def parse_json(text: Column, strict: bool = False) -> Column:
@@ -41,7 +41,7 @@ def is_integer(value: Column) -> Column:
 def is_text(value: Column) -> Column:
     """String with at least one character that is not whitespace."""
     text = F.try_variant_get(value, "$", "string")
-    return F.coalesce((kind(value) == "STRING") & (F.length(strip(text)) > 0), F.lit(False))
+    return F.coalesce((kind(value) == "STRING") & has_content(text), F.lit(False))
 
 
 def get(value: Column, key: str) -> Column:

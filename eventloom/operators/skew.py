@@ -45,7 +45,8 @@ def attach_per_key(
     shuffle and are spread over it by input partition. All other keys are joined by an ordinary shuffle.
     The spread uses the input partition number because it does not change when a task is run again.
     """
-    fact = F.struct(*values)
+    # Both uses keep the weight, so they read the same columns and share one shuffle of the counts.
+    fact = F.struct(*dict.fromkeys([*values, weight]))
     hot = per_key.orderBy(F.desc(weight), *keys).limit(hot_keys).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], fact.alias("_hot")
     )

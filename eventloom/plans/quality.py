@@ -14,6 +14,7 @@ from eventloom.operators.quality import (
     collect_errors,
     dq_summary as summary_of,
     first_reason,
+    payload_facts,
     payload_rules,
     quality_check,
     require_fields,
@@ -76,7 +77,8 @@ _PAYLOAD_ERRORS = """CASE
 @query(with_feed(f"SELECT line_no, {_PAYLOAD_ERRORS} AS errors FROM feed"))
 def dq_payload_rules(t: Tables) -> DataFrame:
     events = feed(t).selectExpr("line_no", "event_type", f"parse_json({_PAYLOAD}) AS payload")
-    return events.select("line_no", F.array_join(all_errors(payload_rules(F.col("event_type"), F.col("payload"))), "; ").alias("errors"))
+    errors = all_errors(payload_rules(F.col("event_type")))
+    return payload_facts(events).select("line_no", F.array_join(errors, "; ").alias("errors"))
 
 
 _NUMBER = "CASE base_id % 5 WHEN 0 THEN '{\"n\":1}' WHEN 1 THEN '{\"n\":1.5}' WHEN 2 THEN '{\"n\":true}' WHEN 3 THEN '{\"n\":\"1\"}' ELSE '{}' END"

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.contract import EVENT_SCHEMA
-from eventloom.functions.text import strip
+from eventloom.functions.text import has_content, strip
+from eventloom.operators.rows import computed_once
 
 CORRUPT = "_corrupt_record"
 
@@ -70,7 +71,7 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | str)
 def average_score(spark: SparkSession, path: str) -> DataFrame:
     """Mean of a file with one number per line; blank lines are skipped, no number at all gives 0."""
     line = strip(F.col("value"))
-    numbers = spark.read.text(path).where(F.length(line) > 0).select(line.cast("double").alias("score"))
+    numbers = spark.read.text(path).where(has_content(F.col("value"))).select(line.cast("double").alias("score"))
     return numbers.agg(F.coalesce(F.avg("score"), F.lit(0.0)).alias("average"))
 
 
@@ -87,7 +88,7 @@ def copy_json(
     ``abort`` fails the statement on the first malformed or wrongly typed value. ``skip_file`` leaves out every
     file that contains one.
     """
-    lines = staged_lines(spark, path).where(F.length(strip(F.col("value"))) > 0)
+    lines = staged_lines(spark, path).where(has_content(F.col("value")))
     if on_error == "abort":
         event = F.parse_json("value")
         return lines.select(*[F.variant_get(event, p, t).alias(name) for name, (p, t) in columns.items()])
@@ -112,12 +113,12 @@ def json_load_errors(lines: DataFrame, columns: dict[str, tuple[str, str]]) -> D
         for name, (p, t) in columns.items()
     ]
     reason = F.coalesce(F.when(event.isNull(), F.lit("invalid JSON")), *wrong)
-    return lines.withColumn("error", reason).where(F.col("error").isNotNull())
+    return computed_once(lines, {"error": reason}).where(F.col("error").isNotNull())
 
 
 def validate_load(spark: SparkSession, path: str, columns: dict[str, tuple[str, str]]) -> DataFrame:
     """Errors a load of ``path`` would meet: ``source_file, value, error``."""
-    lines = staged_lines(spark, path).where(F.length(strip(F.col("value"))) > 0)
+    lines = staged_lines(spark, path).where(has_content(F.col("value")))
     return json_load_errors(lines, columns).select("source_file", "value", "error")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.text import is_blank, normalise_code
 from eventloom.functions.times import parse_time
 from eventloom.operators.quality import Rule, first_error
+from eventloom.operators.rows import computed_once
 from eventloom.operators.windows import latest_per_key
 
 SILVER_COLUMNS = (
@@ -25,17 +26,19 @@ def typed(bronze: DataFrame, entity: str = "entity_id") -> DataFrame:
     def text(key: str) -> Column:
         return F.try_variant_get(raw, f"$.{key}", "string")
 
-    return bronze.select(
-        text("event_id").alias("event_id"),
-        normalise_code(text("event_type")).alias("event_type"),
-        text(entity).alias("entity_id"),
-        parse_time(text("event_ts")).alias("event_ts"),
-        F.to_date(parse_time(text("event_ts"))).alias("event_date"),
-        normalise_code(text("source")).alias("source"),
-        F.try_variant_get(raw, "$.payload", "variant").alias("payload"),
-        "stream_topic", "ingest_run_id", "loaded_at",
-        *[c for c in ("raw_text", "source_file") if c in bronze.columns],
+    parsed = computed_once(
+        bronze,
+        {
+            "event_id": text("event_id"),
+            "event_type": normalise_code(text("event_type")),
+            "entity_id": text(entity),
+            "event_ts": parse_time(text("event_ts")),
+            "source": normalise_code(text("source")),
+            "payload": F.try_variant_get(raw, "$.payload", "variant"),
+        },
     )
+    kept = [c for c in ("raw_text", "source_file") if c in bronze.columns]
+    return parsed.withColumn("event_date", F.to_date("event_ts")).select(*SILVER_COLUMNS, *kept)
 
 
 def silver_rules() -> list[Rule]:
