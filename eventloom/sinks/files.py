@@ -35,11 +35,13 @@ def write_bucketed(
 
 
 def write_rejects(bad: DataFrame, path: str, columns: tuple[str, ...] = REJECT_COLUMNS) -> None:
-    """Rejected rows with their reason, ordered by id. All columns take part in the order, so that rows
-    which share an id (such as a blank one) can still be spread over tasks."""
-    bad.select(*columns).orderBy("event_id", *[c for c in columns if c != "event_id"]).write.mode("overwrite").option(
-        "header", True
-    ).csv(path)
+    """Rejected rows with their reason, ordered by id; blanks in the values are kept, as they may be the defect.
+
+    All columns take part in the order, so that rows which share an id (such as a blank one) spread over tasks.
+    """
+    ordered = bad.select(*columns).orderBy("event_id", *[c for c in columns if c != "event_id"])
+    writer = ordered.write.mode("overwrite").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json_summary(events: DataFrame, path: str, by: str = "event_type") -> None:
