@@ -13,8 +13,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Only the partitions present in the written frame are replaced.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -18,12 +18,13 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 def write_partitioned(
     df: DataFrame, path: str, by: str = "event_date", mode: str = "overwrite", rows_per_file: int = 5_000_000
 ) -> None:
-    """Parquet in one folder per value of ``by``.
+    """Parquet in one folder per value of ``by``; overwriting replaces the whole dataset.
 
     The rebalance hint gathers a small date into one file and splits a date that holds most of the data over
     many tasks; the cap on rows per file bounds file size.
     """
-    df.hint("rebalance", by).write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(by).parquet(path)
+    writer = df.hint("rebalance", by).write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.option("maxRecordsPerFile", rows_per_file).partitionBy(by).parquet(path)
 
 
 def write_bucketed(
