@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators.skew import broadcast_if_small
+from eventloom.session import cut_lineage
 
 UNKNOWN = "unknown"
 
@@ -33,8 +34,61 @@ def star(fact: DataFrame, dimensions: list[tuple[DataFrame, Column]], columns: l
     return reduce(lambda left, side: left.join(side[0], side[1], "left"), dimensions, fact).select(*columns)
 
 
+def outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
+    """Right or full outer join in which a heavy key may be split on either side.
+
+    Spark splits a skewed partition only on sides whose unmatched rows it need not keep. So matches come from an
+    inner join, and the unmatched rows of each side from an anti join against the stored distinct keys of the
+    other.
+    """
+    def lonely(side: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+        keys = cut_lineage(other.select(F.col(other_key).alias("_other")).where("_other IS NOT NULL").distinct())
+        return side.join(keys, F.col(key) == F.col("_other"), "left_anti")
+
+    if how not in ("right", "full"):
+        raise ValueError("how must be 'right' or 'full'")
+    out = left.join(right, left[left_key] == right[right_key], "inner")
+    out = out.unionByName(lonely(right, right_key, left, left_key), allowMissingColumns=True)
+    if how == "full":
+        out = out.unionByName(lonely(left, left_key, right, right_key), allowMissingColumns=True)
+    return out
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+
+
+def _repeated(counts: DataFrame, run: int = 1_000_000) -> DataFrame:
+    """Each row ``_n`` times. A row with very many copies is first cut into runs that are spread over tasks."""
+    columns = [c for c in counts.columns if c != "_n"]
+    runs = counts.select("*", F.posexplode(F.expr(f"sequence(0L, (_n - 1) div {run}L)")).alias("_i", "_run"))
+    size = F.least(F.lit(run).cast("long"), F.col("_n") - F.col("_run") * run)
+    spread = runs.withColumn("_n", size).hint("rebalance", *columns[:1], "_run")
+    return spread.select(*columns, F.explode(F.expr("array_repeat(1, CAST(_n AS INT))"))).select(*columns)
+
+
+def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Duplicate-aware difference: a row that occurs m times left and n times right stays m - n times."""
+    signed = left.withColumn("_s", F.lit(1)).unionAll(right.toDF(*left.columns).withColumn("_s", F.lit(-1)))
+    return _repeated(signed.groupBy(*left.columns).agg(F.sum("_s").alias("_n")).where(F.col("_n") > 0))
+
+
+def intersect(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows on both sides, once. Copies are removed before the join, so no group of copies is shuffled."""
+    return left.distinct().intersect(right.distinct())
+
+
+def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of ``left`` that do not occur in ``right``."""
+    return left.distinct().subtract(right.distinct())
+
+
 def subtract_keep_copies(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` that do not occur in ``right``; repeated rows of ``left`` stay repeated."""
-    right = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
-    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_r_{c}"]) for c in left.columns])
-    return left.join(right.distinct(), same, "left_anti")
+    """Rows of ``left`` that do not occur in ``right``; repeated rows of ``left`` stay repeated.
+
+    Rows are counted before the join, so a group of copies is one row in the shuffle.
+    """
+    counts = _counted(left)
+    right = right.toDF(*[f"_r_{c}" for c in left.columns]).distinct()
+    same = reduce(lambda a, b: a & b, [counts[c].eqNullSafe(right[f"_r_{c}"]) for c in left.columns])
+    return _repeated(counts.join(right, same, "left_anti"))

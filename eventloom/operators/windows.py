@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import pandas as pd
@@ -32,25 +33,45 @@ def later_copies(rows: DataFrame, keys: list[str], order: str, name: str = "is_l
     return joined.withColumn(name, F.col(order) > F.col("_first")).drop("_first")
 
 
+def in_pieces(rows: DataFrame, keys: list[str], order: list[str], piece_rows: int) -> DataFrame:
+    """Add ``_piece``: null for ordinary keys, and for a key with more than ``piece_rows`` rows the number of the
+    piece a row falls in. Pieces follow ``order`` and hold about ``piece_rows`` rows.
+
+    Heavy keys are laid out by range of key and order, so a piece is one range partition. That layout is stored,
+    because ranges come from a sample and every later step must see the same pieces.
+    """
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    heavy = cut_lineage(counts.where(F.col("_n") > piece_rows))
+    total = heavy.agg(F.sum("_n")).first()[0]
+    if total is None:
+        return rows.withColumn("_piece", F.lit(None).cast("int"))
+    marked = attach_groups(rows, heavy, keys, "_n", ["_n"])
+    light = marked.where(F.col("_n").isNull()).select(*rows.columns, F.lit(None).cast("int").alias("_piece"))
+    ranged = marked.where(F.col("_n").isNotNull()).repartitionByRange(math.ceil(total / piece_rows), *keys, *order)
+    return light.unionByName(cut_lineage(ranged.select(*rows.columns, F.spark_partition_id().alias("_piece"))))
+
+
 def with_neighbour(
-    rows: DataFrame, keys: list[str], order: list[str], values: list[str], bucket: Column, name: str, step: int
+    rows: DataFrame, keys: list[str], order: list[str], values: list[str], name: str, step: int, piece_rows: int = 1_000_000
 ) -> DataFrame:
     """Add struct ``name`` holding ``values`` of the previous (``step=-1``) or next (``step=1``) row of the key.
 
-    ``bucket`` never decreases along ``order``; it cuts a long history into pieces that are sorted apart. The
-    rows at the edge of a piece take their neighbour from the closest piece that has rows.
+    The pieces of a heavy key are sorted apart; the row at the edge of a piece takes its neighbour from the edge
+    of the adjoining piece.
     """
     own = F.struct(*values)
-    parts = rows.withColumn("_bucket", bucket)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    near = F.lag(own, 1).over(inside) if step < 0 else F.lead(own, 1).over(inside)
+    parts = in_pieces(rows, keys, order, piece_rows)
+    inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
+    inner = parts.withColumn("_near", F.lag(own, 1).over(inside) if step < 0 else F.lead(own, 1).over(inside))
+    cut = parts.where(F.col("_piece").isNotNull())
     edge_row = F.max_by(own, F.struct(*order)) if step < 0 else F.min_by(own, F.struct(*order))
-    edges = parts.groupBy(*keys, "_bucket").agg(edge_row.alias("_edge"))
-    along = Window.partitionBy(*keys).orderBy("_bucket")
+    edges = cut.groupBy(*keys, "_piece").agg(edge_row.alias("_edge"))
+    along = Window.partitionBy(*keys).orderBy("_piece")
     carry = F.lag("_edge", 1).over(along) if step < 0 else F.lead("_edge", 1).over(along)
-    edges = edges.select(*[F.col(k).alias(f"_e_{k}") for k in keys], F.col("_bucket").alias("_e_bucket"), carry.alias("_carry"))
-    inner = parts.withColumn("_near", near)
-    match = inner["_bucket"].eqNullSafe(edges["_e_bucket"])
+    edges = stored_small(
+        edges.select(*[F.col(k).alias(f"_e_{k}") for k in keys], F.col("_piece").alias("_e_piece"), carry.alias("_carry"))
+    )
+    match = inner["_piece"] == edges["_e_piece"]
     for key in keys:
         match = match & inner[key].eqNullSafe(edges[f"_e_{key}"])
     return inner.join(edges, match, "left").select(
@@ -89,42 +110,39 @@ def _replay(starts: pd.Series, amounts: pd.Series) -> pd.Series:
 
 
 def running_balance(
-    rows: DataFrame, account: str, order: list[str], amount: str, bucket: Column, opening: str = "0",
-    piece_rows: int = 100_000,
+    rows: DataFrame, account: str, order: list[str], amount: str, opening: str = "0", piece_rows: int = 100_000
 ) -> DataFrame:
     """Every movement with ``accepted`` and ``balance``; a declined withdrawal changes nothing.
 
-    An account of at most ``piece_rows`` movements is replayed as one piece. A longer history is cut by
-    ``bucket`` (never decreasing along ``order``) and its pieces are replayed in parallel: a piece starts from the
-    opening balance plus the net change of all earlier pieces. A wrong start can change which withdrawals are
-    declined, so these accounts are replayed until no net change moves; the n-th piece is final after at most
-    n rounds, and an account leaves the rounds when all its pieces are final.
+    An account of at most ``piece_rows`` movements is replayed as one piece. The pieces of a longer history are
+    replayed in parallel: a piece starts from the opening balance plus the net change of all earlier pieces. A
+    wrong start can change which withdrawals are declined, so these accounts are replayed until no net change
+    moves; the n-th piece is final after at most n rounds, and an account leaves the rounds when all its pieces
+    are final.
     """
     exact = "decimal(18,2)"
     others = [c for c in rows.columns if c not in (account, amount, *order)]
-    long = rows.groupBy(account).agg(F.count("*").alias("_n")).where(F.col("_n") > piece_rows)
-    cut = attach_groups(rows.withColumn("_bucket", bucket), long, [account], "_n", ["_n"])
-    cut = cut.withColumn("_bucket", F.when(F.col("_n").isNotNull(), F.col("_bucket")))
+    cut = in_pieces(rows, [account], order, piece_rows)
     moves = F.sort_array(F.collect_list(F.struct(*order, F.col(amount).cast(exact).alias(amount), *others)))
-    pieces = cut_lineage(cut.groupBy(account, "_bucket").agg(moves.alias("_moves")))
+    pieces = cut_lineage(cut.groupBy(account, "_piece").agg(moves.alias("_moves")))
 
-    whole = pieces.where(F.col("_bucket").isNull()).select(account, F.lit(opening).cast(exact).alias("_start"), "_moves")
-    parts = pieces.where(F.col("_bucket").isNotNull())
+    whole = pieces.where(F.col("_piece").isNull()).select(account, F.lit(opening).cast(exact).alias("_start"), "_moves")
+    parts = pieces.where(F.col("_piece").isNotNull())
     plain_sum = F.expr(f"aggregate(_moves, CAST(0 AS {exact}), (b, m) -> CAST(b + m.{amount} AS {exact}))")
     replayed_net = F.expr(f"aggregate(_moves, _start, (b, m) -> {_STEP.format(amount=amount)})") - F.col("_start")
     per_account = Window.partitionBy(account)
-    earlier = per_account.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = per_account.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     start = (F.lit(opening).cast(exact) + F.coalesce(F.sum("_net").over(earlier), F.lit(0))).cast(exact)
-    nets = parts.select(account, "_bucket", plain_sum.alias("_net"))
+    nets = parts.select(account, "_piece", plain_sum.alias("_net"))
     ready = [whole]
     while not nets.isEmpty():
-        starts = nets.select(account, "_bucket", start.alias("_start"), F.col("_net").alias("_was"))
-        replayed = parts.join(starts, [account, "_bucket"]).withColumn("_net", replayed_net.cast(exact))
+        starts = nets.select(account, "_piece", start.alias("_start"), F.col("_net").alias("_was"))
+        replayed = parts.join(starts, [account, "_piece"]).withColumn("_net", replayed_net.cast(exact))
         moved = F.max(F.col("_net") != F.col("_was")).over(per_account)
-        judged = cut_lineage(replayed.select(account, "_bucket", "_start", "_net", moved.alias("_moved")))
-        final = judged.where(~F.col("_moved")).select(account, "_bucket", "_start")
-        ready.append(parts.join(final, [account, "_bucket"]).select(account, "_start", "_moves"))
-        nets = judged.where("_moved").select(account, "_bucket", "_net")
+        judged = cut_lineage(replayed.select(account, "_piece", "_start", "_net", moved.alias("_moved")))
+        final = judged.where(~F.col("_moved")).select(account, "_piece", "_start")
+        ready.append(parts.join(final, [account, "_piece"]).select(account, "_start", "_moves"))
+        nets = judged.where("_moved").select(account, "_piece", "_net")
 
     outcome = _replay("_start", F.transform("_moves", lambda m: m[amount])).alias("_outcome")
     replayed = reduce(DataFrame.unionByName, ready).select(account, "_moves", outcome)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.numbers import money
 from eventloom.operators.checks import one_row
-from eventloom.operators.joins import enrich, lookup_join, star
+from eventloom.operators.joins import enrich, lookup_join, outer_join, star
 from eventloom.plans.adapters import flat, users, with_flat
 from eventloom.plans.registry import Tables, query
 
@@ -54,13 +54,13 @@ def join_left_agg(t: Tables) -> DataFrame:
 
 @query(f"SELECT o_orderkey, c_custkey, c_mktsegment FROM {_LARGE} RIGHT JOIN {_RICH} ON o_custkey = c_custkey")
 def join_right(t: Tables) -> DataFrame:
-    joined = _large(t).join(_rich(t), F.col("o_custkey") == F.col("c_custkey"), "right")
+    joined = outer_join(_large(t), _rich(t), "o_custkey", "c_custkey", "right")
     return joined.select("o_orderkey", "c_custkey", "c_mktsegment")
 
 
 @query(f"SELECT o_orderkey, o_custkey, c_custkey, c_mktsegment FROM {_LARGE} FULL JOIN {_RICH} ON o_custkey = c_custkey")
 def join_full(t: Tables) -> DataFrame:
-    return _large(t).join(_rich(t), F.col("o_custkey") == F.col("c_custkey"), "full")
+    return outer_join(_large(t), _rich(t), "o_custkey", "c_custkey", "full")
 
 
 @query(f"SELECT * FROM {_RICH} WHERE EXISTS (SELECT 1 FROM {_LARGE} WHERE o_custkey = c_custkey)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators.joins import subtract_keep_copies
+from eventloom.operators.joins import except_all, intersect, subtract, subtract_keep_copies
 from eventloom.plans.adapters import flat, users, with_flat
 from eventloom.plans.registry import Tables, query
 
@@ -40,18 +40,18 @@ def set_union_by_name(t: Tables) -> DataFrame:
 
 @query(f"SELECT * FROM {_HIGH} INTERSECT SELECT * FROM {_DONE}")
 def set_intersect(t: Tables) -> DataFrame:
-    return _high(t).intersect(_done(t))
+    return intersect(_high(t), _done(t))
 
 
 @query(f"SELECT * FROM {_HIGH} EXCEPT ALL SELECT * FROM {_DONE}")
 def set_except_all(t: Tables) -> DataFrame:
-    return _high(t).exceptAll(_done(t))
+    return except_all(_high(t), _done(t))
 
 
 @query(with_flat("SELECT user_id FROM flat WHERE event_type = 'purchase' EXCEPT SELECT user_id FROM users WHERE plan = 'BUILDING'"))
 def set_except_distinct(t: Tables) -> DataFrame:
     purchasers = flat(t).where("event_type = 'purchase'").select("user_id")
-    return purchasers.subtract(users(t).where("plan = 'BUILDING'").select("user_id"))
+    return subtract(purchasers, users(t).where("plan = 'BUILDING'").select("user_id"))
 
 
 @query("""SELECT c_nationkey AS nation, c_acctbal AS balance, 'customer' AS kind FROM customer

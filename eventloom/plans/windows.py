@@ -58,7 +58,7 @@ def win_running_balance(t: Tables) -> DataFrame:
     moves = t.events.select(
         "user_id", "event_id", "ts", F.when(spends, -3 * F.col("value")).otherwise(F.col("value")).alias("amount")
     ).withColumn("amount", money(F.col("amount")))
-    ledger = running_balance(moves, "user_id", ["ts", "event_id"], "amount", F.to_date("ts"), opening="50")
+    ledger = running_balance(moves, "user_id", ["ts", "event_id"], "amount", opening="50")
     return ledger.select(
         "user_id", "event_id", F.col("amount").cast("double").alias("amount"), "accepted", F.col("balance").cast("double").alias("balance")
     )
@@ -74,7 +74,7 @@ history AS (SELECT o_custkey, priority, o_orderdate AS valid_from,
 
 def priority_history(t: Tables) -> DataFrame:
     versions = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", F.col("o_orderpriority").alias("priority"))
-    return history(versions, "o_custkey", ["o_orderdate", "o_orderkey"], ["priority"], F.year("o_orderdate"))
+    return history(versions, "o_custkey", ["o_orderdate", "o_orderkey"], ["priority"])
 
 
 @query(f"WITH {_HISTORY} SELECT o_custkey, priority, valid_from, valid_to, valid_to IS NULL AS is_current FROM history")
@@ -91,6 +91,6 @@ def win_overlap_check(t: Tables) -> DataFrame:
         (F.col("o_orderdate") + F.expr("INTERVAL 90 DAYS")).alias("valid_to"),
     )
     followed = with_neighbour(
-        windows, ["o_custkey"], ["valid_from", "o_orderkey"], ["valid_from"], F.year("valid_from"), "following", 1
+        windows, ["o_custkey"], ["valid_from", "o_orderkey"], ["valid_from"], "following", 1
     )
     return checks.overlapping(followed, "following", "valid_to", "valid_from").select("o_custkey", "o_orderkey")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.operators.skew import stored_small
 from eventloom.operators.windows import latest_per_key, with_neighbour
 
 
@@ -58,15 +59,17 @@ def apply_delta(target: DataFrame, delta: DataFrame, key: str, update: list[str]
     return merge_upsert(target, inserts, key, update=update)
 
 
-def history(versions: DataFrame, key: str, order: list[str], tracked: list[str], bucket: Column) -> DataFrame:
+def history(
+    versions: DataFrame, key: str, order: list[str], tracked: list[str], piece_rows: int = 1_000_000
+) -> DataFrame:
     """Row history from dated versions: a row per change with ``valid_from, valid_to, is_current``.
 
-    ``order`` starts with the version time; ``bucket`` cuts long histories (see ``with_neighbour``).
+    ``order`` starts with the version time. A key with a very long history is worked on in pieces.
     """
-    seen = with_neighbour(versions, [key], order, tracked, bucket, "_before", -1)
+    seen = with_neighbour(versions, [key], order, tracked, "_before", -1, piece_rows)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_before")[c]) for c in tracked])
     changes = seen.where(F.col("_before").isNull() | ~same).drop("_before")
-    ended = with_neighbour(changes, [key], order, [order[0]], bucket, "_after", 1)
+    ended = with_neighbour(changes, [key], order, [order[0]], "_after", 1, piece_rows)
     return ended.select(
         key, *tracked, F.col(order[0]).alias("valid_from"), F.col("_after")[order[0]].alias("valid_to"),
         F.col("_after").isNull().alias("is_current"),
@@ -110,9 +113,9 @@ def incremental_rebuild(
 ) -> None:
     """Rebuild only the partitions in which ``changed`` rows lie, from all source rows of those partitions.
 
-    The affected partitions stay a frame (no list on the driver); only they are overwritten, so a rerun gives
-    the same table.
+    The affected partitions stay a frame (no list on the driver), broadcast when measured small, so the rows are
+    not shuffled by partition. Only these partitions are overwritten, so a rerun gives the same table.
     """
-    touched = source.where(changed).select(partition).distinct()
+    touched = stored_small(source.where(changed).select(partition).distinct())
     rows = source.join(touched, partition, "left_semi")
     build(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eventloom.contract import FLAT_EVENT_SCHEMA, USER_SCHEMA
 from eventloom.functions import numbers, text, variants
+from eventloom.operators import joins
 from eventloom.operators.joins import enrich, subtract_keep_copies
 from eventloom.operators.measures import count_by, count_items, count_sources, json_summary, mastery, review_queue, summarize, values_per_key, word_count
 from eventloom.sinks import files as sinks
@@ -208,7 +209,7 @@ def test_upsert_history_and_delta(spark):
     assert {(r.id, r.action, r.is_update) for r in delta} == {(2, "DELETE", True), (2, "INSERT", True), (3, "INSERT", False)}
 
     versions = spark.createDataFrame([("u", 1, "basic"), ("u", 2, "basic"), ("u", 5, "premium"), ("v", 3, "basic")], "u string, at int, plan string")
-    rows = changes.history(versions, "u", ["at"], ["plan"], F.floor(F.col("at") / 2))
+    rows = changes.history(versions, "u", ["at"], ["plan"], piece_rows=1)
     table = {("u", "basic", 1, 5, False), ("u", "premium", 5, None, True), ("v", "basic", 3, None, True)}
     assert {tuple(r) for r in rows.collect()} == table
     incoming = spark.createDataFrame([("u", "basic"), ("v", "basic"), ("w", "basic")], "u string, plan string")
@@ -248,3 +249,28 @@ def test_personal_data(spark):
     assert governance.tag_column(rows, "t", "email").schema["t"].metadata == {"pii": "email"}
     assert governance.masked_view(rows, "t").first().t == "***@example.org"
     assert governance.masked_view(rows, "t", ("pii_reader",)).first().t == "mail ann@example.org"
+
+
+@pytest.mark.parametrize("run", [1, 3, 1000])
+def test_copies_are_repeated_whole(spark, run):
+    counts = spark.createDataFrame([("a", 7), (None, 2), ("b", 1)], "k string, _n long")
+    rows = [r.k for r in joins._repeated(counts, run).collect()]
+    assert sorted(map(str, rows)) == ["None"] * 2 + ["a"] * 7 + ["b"]
+
+
+def test_differences(spark):
+    a = spark.createDataFrame([(1, "x")] * 3 + [(2, None)] * 2 + [(3, "z")], "i int, s string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (4, "q")], "i int, s string")
+    assert sorted(map(tuple, joins.except_all(a, b).collect())) == sorted(map(tuple, a.exceptAll(b).collect()))
+    assert sorted(map(tuple, joins.intersect(a, b).collect()), key=str) == [(1, "x"), (2, None)]
+    assert [tuple(r) for r in joins.subtract(a, b).collect()] == [(3, "z")]
+
+
+@pytest.mark.parametrize("how", ["right", "full"])
+def test_outer_join_equals_the_plain_join(spark, how):
+    a = spark.createDataFrame([(1, "a")] * 4 + [(2, "b"), (None, "n")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "m")], "c int, w string")
+    split = joins.outer_join(a, b, "k", "c", how).select("k", "v", "c", "w")
+    assert sorted(map(str, split.collect())) == sorted(map(str, a.join(b, a.k == b.c, how).collect()))
+    with pytest.raises(ValueError):
+        joins.outer_join(a, b, "k", "c", "inner")

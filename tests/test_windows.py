@@ -54,14 +54,14 @@ def test_counts_copies_and_latest(skewed):
     assert {r.k or "-": r.seq for r in latest_per_key(df, ["k"], ["seq"]).collect()} == last
 
 
-@pytest.mark.parametrize("width", [1, 10, 400, 10_000])
+@pytest.mark.parametrize("piece_rows", [7, 100, 400, 10_000])
 @pytest.mark.parametrize("step", [-1, 1])
-def test_neighbours_do_not_depend_on_the_bucket(skewed, width, step):
+def test_neighbours_do_not_depend_on_the_pieces(skewed, piece_rows, step):
     rows, df = skewed
     frame = pd.DataFrame(rows, columns=["k", "seq", "v"]).fillna({"k": "-"}).sort_values("seq")
     frame["near"] = frame.groupby("k")["v"].shift(-step)
     expected = {r.seq: None if pd.isna(r.near) else int(r.near) for r in frame.itertuples()}
-    out = with_neighbour(df, ["k"], ["seq"], ["v"], F.floor(F.col("seq") / width), "near", step).collect()
+    out = with_neighbour(df, ["k"], ["seq"], ["v"], "near", step, piece_rows).collect()
     assert {r.seq: r.near.v if r.near else None for r in out} == expected
 
 
@@ -79,7 +79,7 @@ def replay(moves, opening):
 def test_balance_equals_sequential_replay(spark, moves, piece_rows):
     rows = [(f"a{account}", seq, Decimal(amount)) for seq, (account, amount) in enumerate(moves)]
     df = spark.createDataFrame(rows, "account string, seq int, amount decimal(18,2)")
-    out = running_balance(df, "account", ["seq"], "amount", F.floor(F.col("seq") / 7), "20", piece_rows=piece_rows).collect()
+    out = running_balance(df, "account", ["seq"], "amount", "20", piece_rows=piece_rows).collect()
     expected = {
         (account, *line)
         for account in {r[0] for r in rows}
@@ -91,7 +91,7 @@ def test_balance_equals_sequential_replay(spark, moves, piece_rows):
 
 def test_balance_of_the_worked_example(spark):
     df = spark.createDataFrame([("Ava", 1, 50.0), ("Ava", 2, -30.0), ("Ava", 3, -200.0)], "account string, seq int, amount double")
-    out = running_balance(df, "account", ["seq"], "amount", F.lit(0), opening="100").orderBy("seq").collect()
+    out = running_balance(df, "account", ["seq"], "amount", opening="100").orderBy("seq").collect()
     assert [(r.accepted, int(r.balance)) for r in out] == [(True, 150), (True, 120), (False, 120)]
 
 
