@@ -14,3 +14,17 @@ def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
     return df.select("*", F.inline(F.array(row)))
+
+
+def _digest(seed: object, key: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
+def hash_sample(df: DataFrame, key: str, share: float, seed: object = 0) -> DataFrame:
+    """About ``share`` of the rows, chosen by a hash of the key: the same rows on every run and every cluster."""
+    return df.where(F.left(_digest(seed, key), F.lit(8)) < F.lit(f"{int(share * 2**32):08x}"))
+
+
+def seeded_pick(df: DataFrame, key: str, n: int, seed: object) -> DataFrame:
+    """First ``n`` rows of a seeded shuffle; each task keeps only its own best ``n``."""
+    return df.orderBy(_digest(seed, key), key).limit(n)

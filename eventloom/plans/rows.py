@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.numbers import money
 from eventloom.functions.text import words
+from eventloom.operators.rows import hash_sample, seeded_pick
 from eventloom.plans.adapters import feed, flat, with_feed, with_flat
 from eventloom.plans.registry import Tables, query
 
@@ -132,16 +133,14 @@ def distinct_rows(t: Tables) -> DataFrame:
     return t.orders.select("o_orderstatus", "o_orderpriority").distinct()
 
 
-@query()
+@query("SELECT event_id, event_type FROM events WHERE left(md5('42:' || event_id), 8) < '19999999'")
 def sample_rows(t: Tables) -> DataFrame:
-    # A threshold on the hash of the key: the same rows on every run and every cluster.
-    share = F.pmod(F.xxhash64(F.lit(42), "event_id"), F.lit(1_000_000))
-    return t.events.where(share < 100_000).select("event_id", "event_type")
+    return hash_sample(t.events.select("event_id", "event_type"), "event_id", 0.1, seed=42)
 
 
-@query()
+@query("SELECT event_id, event_type FROM events ORDER BY md5('quiz-7:' || event_id), event_id LIMIT 20")
 def seeded_sample(t: Tables) -> DataFrame:
-    return t.events.select("event_id", "event_type").orderBy(F.xxhash64(F.lit("seed-7"), "event_id"), "event_id").limit(20)
+    return seeded_pick(t.events.select("event_id", "event_type"), "event_id", 20, seed="quiz-7")
 
 
 @query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' WHEN 'P' THEN 'partial'

@@ -9,6 +9,7 @@ from eventloom.functions import numbers, privacy, sql_functions, text, times, va
 from eventloom.operators.quality import all_errors, field_rules
 from eventloom.plans.adapters import feed, payload_events, with_feed
 from eventloom.plans.registry import Tables, query
+from eventloom.session import cut_lineage
 from eventloom.warehouse.governance import tokenize
 
 
@@ -61,7 +62,7 @@ def fn_hash_token(t: Tables) -> DataFrame:
     digested = t.events.select(
         "event_id", privacy.hash_token(F.col("user_id"), "pepper").alias("digest"), F.col("user_id").cast("string").alias("user_id")
     )
-    return tokenize(digested, "user_id", vault)
+    return tokenize(digested, "user_id", cut_lineage(vault))
 
 
 @query(with_feed("SELECT line_no, COALESCE(user_id, 'unknown') AS user_id FROM feed"))

@@ -38,9 +38,12 @@ def write_bucketed(
 def write_rejects(bad: DataFrame, path: str, columns: tuple[str, ...] = REJECT_COLUMNS) -> None:
     """Rejected rows with their reason, ordered by id; blanks in the values are kept, as they may be the defect.
 
-    All columns take part in the order, so that rows which share an id (such as a blank one) spread over tasks.
+    All columns and the input partition take part in the order, so that rows which share an id, such as a blank
+    one, and even equal rows spread over tasks.
     """
-    ordered = bad.select(*columns).orderBy("event_id", *[c for c in columns if c != "event_id"])
+    rest = [c for c in columns if c != "event_id"]
+    placed = bad.select(*columns, F.spark_partition_id().alias("_part"))
+    ordered = placed.orderBy("event_id", *rest, "_part").select(*columns)
     writer = ordered.write.mode("overwrite").option("header", True)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from eventloom.contract import EVENT_SCHEMA
 from eventloom.functions.text import has_content, strip
 from eventloom.operators.rows import computed_once
+from eventloom.operators.skew import stored_small
 
 CORRUPT = "_corrupt_record"
 
@@ -94,7 +95,7 @@ def copy_json(
         return lines.select(*[F.variant_get(event, p, t).alias(name) for name, (p, t) in columns.items()])
     if on_error != "skip_file":
         raise ValueError(f"on_error must be 'abort' or 'skip_file', not {on_error!r}")
-    bad = json_load_errors(lines, columns).select(F.col("source_file").alias("_bad")).distinct()
+    bad = stored_small(json_load_errors(lines, columns).select(F.col("source_file").alias("_bad")).distinct())
     good = lines.join(bad, F.col("source_file") == F.col("_bad"), "left_anti")
     event = F.try_parse_json("value")
     return good.select(*[F.try_variant_get(event, p, t).alias(name) for name, (p, t) in columns.items()])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.privacy import PII_PATTERNS, looks_like, mask_email
+from eventloom.operators.skew import stored_small
 
 
 def pii_scan(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,12 +40,15 @@ def masked_view(df: DataFrame, column: str, roles: tuple[str, ...] = ()) -> Data
 
 def visible_rows(df: DataFrame, entitlements: DataFrame, role: str, column: str) -> DataFrame:
     """Rows whose ``column`` value the role is entitled to see."""
-    allowed = entitlements.where(F.col("role") == role).select(column).distinct()
+    allowed = stored_small(entitlements.where(F.col("role") == role).select(column).distinct())
     return df.join(allowed, column, "left_semi")
 
 
 def tokenize(df: DataFrame, column: str, tokens: DataFrame) -> DataFrame:
-    """Replace a value by its mapped token; ``tokens`` has ``value, token`` and allows the way back."""
+    """Replace a value by its mapped token; ``tokens`` has ``value, token`` and allows the way back.
+
+    Pass a stored token table, so that Spark can split the rows of a heavy value.
+    """
     side = tokens.select(F.col("value").alias("_value"), "token")
     joined = df.join(side, F.col(column) == F.col("_value"), "left")
     return joined.select(*[F.col("token").alias(column) if c == column else df[c] for c in df.columns])
