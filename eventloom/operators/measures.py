@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.numbers import safe_ratio
-from eventloom.functions.text import words
+from eventloom.functions.text import WHITESPACE
 from eventloom.operators.skew import attach_groups, attach_per_key
 
 
@@ -33,7 +33,8 @@ def json_summary(events: DataFrame, by: str = "event_type") -> DataFrame:
 
 def word_count(texts: DataFrame, text: str = "text") -> DataFrame:
     """Words and their counts, in word order; counted inside each task before the shuffle."""
-    exploded = texts.select(F.explode(words(F.col(text))).alias("word"))
+    pieces = F.split(F.lower(text), f"{WHITESPACE}+")
+    exploded = texts.select(F.explode(pieces).alias("word")).where("word <> ''")
     return exploded.groupBy("word").agg(F.count("*").alias("n")).orderBy("word")
 
 
