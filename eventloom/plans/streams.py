@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import variants
 from eventloom.operators.quality import collect_errors
-from eventloom.plans.adapters import feed, payload_events, with_feed
+from eventloom.plans.adapters import payload_events, with_feed
 from eventloom.plans.aggregates import VALID_SQL
 from eventloom.plans.registry import Tables, query
 from eventloom.plans.scalars import _ERRORS_SQL

@@ -10,7 +10,7 @@ from eventloom.contract import EVENT_SCHEMA
 from eventloom.operators.measures import count_by
 from eventloom.operators.quality import first_reason, split_reason
 from eventloom.operators.skew import broadcast_if_small
-from eventloom.plans.adapters import feed, flat, payload_events, with_feed, with_flat
+from eventloom.plans.adapters import flat, payload_events, with_feed, with_flat
 from eventloom.plans.registry import Tables, query
 from eventloom.sinks import files as sinks
 from eventloom.sources import files as sources

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,16 +29,19 @@ def build_session(app_name: str = "eventloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="eventloom-")
+
+
 def _shared_folder(spark: SparkSession) -> str:
-    """The shared working folder of the cluster, or a fresh local one in local mode only."""
+    """The shared working folder of the cluster; in local mode, one fresh folder per process when none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="eventloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
