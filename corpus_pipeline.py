@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bpe, decontaminate, toxicity
+from eventloom.llm import bpe, decontaminate, jaccard_join, suffix_dedup, toxicity
 from eventloom.llm.common import store
 from eventloom.llm.queries import PATTERN, VOCABULARY
 
@@ -19,6 +19,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.kept_documents(docs, toxicity.train(docs, labels))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group connected by a similarity of 0.8 or more on runs of five words."""
+    return jaccard_join.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 400-byte strings that also start elsewhere; a text of which nothing is left goes."""
+    return suffix_dedup.rewrite(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no ten-word string of the benchmark occurs."""
     return decontaminate.kept_documents(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
@@ -29,7 +39,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, VOCABULARY, PATTERN)
 
 
-STAGES = [("toxicity", drop_toxic), ("benchmark_decontamination", drop_benchmark), ("byte_bpe", encode)]
+STAGES = [
+    ("toxicity", drop_toxic), ("ngram_jaccard_join", drop_near_copies), ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", drop_benchmark), ("byte_bpe", encode),
+]
 
 #: Learned scores and merges of byte pairs can't be put into SQL; tests/llm hold the stages against brute force.
 ORACLE_SQL = None

@@ -25,7 +25,7 @@ NO_PAIR = np.int32(2**31 - 1)
 #: cost the square of their length. The ids are the same.
 LONGEST_ROW = 512
 #: Encoded matches remembered by a Python worker; cleared when full.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 class PairTable:
@@ -246,10 +246,11 @@ def decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(shared.value)
-        for batch in batches:
-            packed = batch.column(ids).to_pylist()
-            column = pa.array([bpe.decode(np.frombuffer(p or b"", "<u4")) for p in packed], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*keep, into])
+        for whole in batches:
+            for batch in slices(whole, ids):
+                packed = batch.column(ids).to_pylist()
+                column = pa.array([bpe.decode(np.frombuffer(p or b"", "<u4")) for p in packed], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*keep, into])
 
     return df.select(*[f"`{c}`" for c in keep]).mapInArrow(run, df.select(*[f"`{c}`" for c in keep], F.lit(b"").alias(into)).schema)
 

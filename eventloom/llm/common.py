@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventloom.session import scratch_path
 
@@ -27,24 +30,7 @@ def raw_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def batches_of(schema: pa.Schema, rows: Iterable[tuple], most: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Rows (tuples in schema order) as record batches of at most ``most`` rows."""
-    waiting: list[tuple] = []
-    for row in rows:
-        waiting.append(row)
-        if len(waiting) >= most:
-            yield _batch(schema, waiting)
-            waiting = []
-    if waiting:
-        yield _batch(schema, waiting)
-
-
-def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch whose ``column`` holds about ``most_bytes`` at most, so that memory follows the text and not the row count."""
     lengths = batch.column(column).cast(pa.large_binary())
     sizes = np.diff(np.frombuffer(lengths.buffers()[1], np.int64)[lengths.offset : lengths.offset + len(lengths) + 1])
@@ -74,3 +60,36 @@ def mixed(values: np.ndarray) -> np.ndarray:
         x ^= x >> np.uint64(27)
         x = x * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+def halves(digest: bytes) -> tuple[int, int]:
+    """A 128-bit digest as two signed 64-bit integers."""
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
+def row_key(doc: object, text: bytes | None) -> tuple[int, int]:
+    """128 bits that tell rows apart by id and text."""
+    return halves(xxhash.xxh3_128_digest(b"%s|%s" % (str(doc).encode(), text or b"")))
+
+
+def packed_texts(docs: DataFrame, text: str, keep: list[str], by: str | None = None) -> DataFrame:
+    """``keep`` (as _k0, _k1, ...), a key (t1, t2) and the text squeezed (null stays null), so that less is moved.
+
+    The key is of the text alone, or of the kept column ``by`` and the text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                texts = raw_texts(batch.column("_text"))
+                if by is None:
+                    keys = [halves(xxhash.xxh3_128_digest(t or b"")) for t in texts]
+                else:
+                    keys = [row_key(d, t) for d, t in zip(batch.column(f"_k{keep.index(by)}").to_pylist(), texts, strict=True)]
+                columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([None if t is None else squeeze.compress(t) for t in texts], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=[*[f"_k{i}" for i in range(len(keep))], "t1", "t2", "z"])
+
+    source = docs.select(F.col(text).alias("_text"), *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)])
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:]]
+    return source.mapInArrow(run, ", ".join([*kinds, "t1 long, t2 long, z binary"]))

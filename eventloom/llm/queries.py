@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bpe, decontaminate, licenses, token_counts, toxicity
+from eventloom.llm import bpe, decontaminate, imatch, jaccard_join, licenses, paragraph_dedup, suffix_dedup, token_counts, toxicity, warc
+from eventloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +37,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), VOCABULARY, PATTERN)
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text without the 400-byte strings that also start anywhere else."""
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(_table(spark, folder, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document scored by a model learned from the labels that are not held out."""
     documents = _table(spark, folder, "documents")
@@ -46,12 +52,37 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives, normalised to one member per record, and read back by offset."""
+    planned = warc.plan_records(_table(spark, folder, "pages"))
+    return warc.round_trip(planned, scratch_path(spark, "warc"))
+
+
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document, at five words and similarity 0.8."""
+    return jaccard_join.jaccard_join(_table(spark, folder, "documents"))
+
+
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Every document scanned for licence phrases and templates."""
     return licenses.digests(licenses.scan_licenses(_table(spark, folder, "documents")))
 
 
+def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return imatch.fingerprints(_table(spark, folder, "documents"))
+
+
+def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the paragraphs and passages that a smaller one has."""
+    return paragraph_dedup.digests(paragraph_dedup.remove_repeats(_table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontaminate, op2_byte_bpe, op3_token_counts, op5_toxicity, op8_licenses)
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_byte_bpe, op3_token_counts, op4_suffix_dedup, op5_toxicity, op6_warc, op7_jaccard_join, op8_licenses,
+        op9_imatch, op10_paragraph_dedup,
+    )
 }
-SQL: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE}
+SQL: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE}
