@@ -117,7 +117,8 @@ def one_of_each(docs: DataFrame, similar: float = SIMILAR, words: int = WORDS) -
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
     best = table.where("k IS NOT NULL").groupBy("k").agg(F.min(rank).alias("r")).join(roots, "k", "left").groupBy(F.coalesce("root", "k").alias("class")).agg(F.min("r").alias("r"))
     keep = best.select(F.col("r.t1").alias("_1"), F.col("r.t2").alias("_2"), F.col("r.doc_id").alias("_3"))
-    names = [f.name for f in docs.schema if f.name != "text"]
+    every = docs.columns
+    names = [c for c in every if c != "text"]
     packed = packed_texts(docs, "text", names)
     at = names.index("doc_id")
     chosen = packed.join(keep, (packed.t1 == keep._1) & (packed.t2 == keep._2) & packed[f"_k{at}"].eqNullSafe(keep._3)).drop("_1", "_2", "_3")
@@ -129,7 +130,7 @@ def one_of_each(docs: DataFrame, similar: float = SIMILAR, words: int = WORDS) -
             for batch in slices(whole, "z", 1 << 20):
                 texts = pa.array([open_.decompress(z).decode() for z in batch.column("z").to_pylist()], pa.string())
                 columns = {n: batch.column(f"_k{i}") for i, n in enumerate(names)} | {"text": texts}
-                yield pa.RecordBatch.from_arrays([columns[f.name] for f in docs.schema], names=docs.columns)
+                yield pa.RecordBatch.from_arrays([columns[c] for c in every], names=every)
 
     bare = docs.where(F.col("text").isNull() | ~F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     return chosen.mapInArrow(unpack, docs.schema).unionByName(bare)

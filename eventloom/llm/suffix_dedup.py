@@ -380,7 +380,8 @@ def rewrite(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_bytes:
 
     A character that a span cuts in two goes wholly. Rows whose text vanishes are left out; null texts stay.
     """
-    names = [f.name for f in docs.schema if f.name != "text"]
+    every = docs.columns
+    names = [c for c in every if c != "text"]
     kept = remove_repeats(docs.withColumn("_none", F.col("text").isNull()), length, gram, keep=(*names, "_none"), hot_bytes=hot_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,6 +391,6 @@ def rewrite(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_bytes:
             columns = {n: batch.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([columns[f.name] for f in docs.schema], names=docs.columns).filter(pa.array(stays, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([columns[c] for c in every], names=every).filter(pa.array(stays, pa.bool_()))
 
     return kept.mapInArrow(run, docs.schema)
