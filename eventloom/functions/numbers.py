@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 DIVIDE_BY_ZERO = "Cannot divide by zero"
 
 
-def money(col: Column, scale: int = 2) -> Column:
-    """Exact decimal view of an amount; a value that is no number becomes null."""
-    return col.try_cast(f"decimal(18,{scale})")
+def money(col: Column, scale: int = 2, precision: int = 38) -> Column:
+    """Exact decimal view of an amount with ``scale`` places; a value that is no number becomes null."""
+    return col.try_cast(f"decimal({precision},{scale})")
+
+
+def lost_amounts(col: Column, scale: int = 2, precision: int = 38) -> Column:
+    """Number of values that are numbers but do not fit ``money``, to be counted beside a sum."""
+    return F.count_if(col.try_cast("double").isNotNull() & money(col, scale, precision).isNull())
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

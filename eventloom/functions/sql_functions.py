@@ -7,15 +7,18 @@ from pyspark.sql import SparkSession
 # Other names under which a source is known.
 SOURCE_NAMES = {"ios": "mobile", "android": "mobile", "website": "web", "browser": "web"}
 
-_NAME_MAP = ", ".join(f"'{name}', '{source}'" for name, source in SOURCE_NAMES.items())
 
-# A known name gives its source; any other name is its own source.
-NORMALIZE_SOURCE = f"""
+def normalize_source(names: dict[str, str]) -> str:
+    """Statement that defines ``normalize_source`` for these names; a name not among them is its own source."""
+    quoted = ", ".join("'" + text.replace("'", "\\'") + "'" for pair in names.items() for text in pair)
+    known = f"try_element_at(map({quoted}), lower(trim(name)))" if names else "CAST(NULL AS STRING)"
+    return f"""
 CREATE OR REPLACE TEMPORARY FUNCTION normalize_source(name STRING)
 RETURNS STRING
-RETURN coalesce(try_element_at(map({_NAME_MAP}), lower(trim(name))), lower(trim(name)))
+RETURN coalesce({known}, lower(trim(name)))
 """
 
+
 # Table function: one row per element of a JSON array, in array order.
 FLATTEN_ITEMS = """
 CREATE OR REPLACE TEMPORARY FUNCTION flatten_items(input STRING, items_path STRING)
@@ -25,7 +28,10 @@ RETURN SELECT pos, col
 """
 
 
-def register(spark: SparkSession) -> None:
-    """Make the functions available in the session; inlined by the optimizer, so no Python runs."""
-    for statement in (NORMALIZE_SOURCE, FLATTEN_ITEMS):
+def register(spark: SparkSession, names: dict[str, str] = SOURCE_NAMES) -> None:
+    """Make the functions available in the session; inlined by the optimizer, so no Python runs.
+
+    ``names`` maps other names (lower case) to sources, so that each team can bring its own list.
+    """
+    for statement in (normalize_source(names), FLATTEN_ITEMS):
         spark.sql(statement)

@@ -113,9 +113,10 @@ def reconcile_layers(bronze: DataFrame, silver: DataFrame, rejected: DataFrame,
     return counts.withColumn("unexplained", rest).withColumn("passed", rest == 0)
 
 
-def reconcile_sums(raw: DataFrame, raw_amount: str, modelled: DataFrame, amount: str, tolerance: float = 0.01) -> DataFrame:
+def reconcile_sums(
+    raw: DataFrame, raw_amount: str, modelled: DataFrame, amount: str, tolerance: float = 0.01, exact: str = "decimal(38,2)"
+) -> DataFrame:
     """Failing row when two totals differ by more than the tolerance; empty when they agree."""
-    exact = "decimal(18,2)"
     totals = one_row(
         raw_amount=(raw, F.sum(F.col(raw_amount).cast(exact))), modeled_amount=(modelled, F.sum(F.col(amount).cast(exact)))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.numbers import safe_ratio
 from eventloom.functions.text import WHITESPACE
 from eventloom.operators.skew import attach_groups, attach_per_key
+from eventloom.session import cut_lineage
 
 
 def summarize(events: DataFrame, by: list[str], user: str = "user_id", time: str | None = None) -> DataFrame:
@@ -18,8 +19,8 @@ def summarize(events: DataFrame, by: list[str], user: str = "user_id", time: str
     return events.groupBy(*by).agg(*aggregates).orderBy(*by)
 
 
-def count_by(events: DataFrame, by: list[str]) -> DataFrame:
-    return events.groupBy(*by).agg(F.count("*").alias("event_count")).orderBy(*by)
+def count_by(events: DataFrame, by: list[str], name: str = "event_count") -> DataFrame:
+    return events.groupBy(*by).agg(F.count("*").alias(name)).orderBy(*by)
 
 
 def json_summary(events: DataFrame, by: str = "event_type") -> DataFrame:
@@ -44,14 +45,25 @@ def count_items(lists: DataFrame, items: str) -> DataFrame:
 
 
 def values_per_key(rows: DataFrame, key: str, value: str, sequence: str, size: int = 1000) -> DataFrame:
-    """All values of each key in ``sequence`` order, as arrays of at most ``size`` values.
+    """All values of each key in ``sequence`` order: ``piece`` 0 .. ``n_pieces`` - 1, each of ``size`` values (the last: the rest).
 
-    ``sequence`` is a unique whole number, so a piece cannot grow beyond ``size`` however heavy its key is.
-    The values of a key are its pieces in order; nothing is dropped.
+    ``sequence`` is a unique whole number. A row's place in its key is the number of rows in earlier ranges of the
+    sequence plus its place inside its own range, so no window ever holds more than one range of a heavy key.
     """
-    piece = F.expr(f"{sequence} div {size}").alias("piece")
+    span = 1000 * size
+    ranged = rows.select(key, value, sequence, F.expr(f"{sequence} div {span}").alias("_range"))
+    counts = ranged.groupBy(key, "_range").agg(F.count("*").alias("_n"))
+    along = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col(key).alias("_key"), F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(key)).alias("_all"),
+    )
+    inside = F.row_number().over(Window.partitionBy(key, "_range").orderBy(sequence)) - 1
+    placed = ranged.withColumn("_inside", inside).join(offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_r")))
+    piece = F.expr(f"(_before + _inside) div {size}").alias("piece")
+    n_pieces = F.expr(f"(_all + {size - 1}) div {size}").alias("n_pieces")
     pairs = F.sort_array(F.collect_list(F.struct(sequence, value)))
-    return rows.groupBy(key, piece).agg(F.transform(pairs, lambda p: p[value]).alias("values"))
+    return placed.groupBy(key, piece, n_pieces).agg(F.transform(pairs, lambda p: p[value]).alias("values"))
 
 
 def pct_of_total(aggregated: DataFrame, measure: str, kept: list[str], name: str = "pct") -> DataFrame:
@@ -88,27 +100,26 @@ def z_scores(rows: DataFrame, value: str, peers: list[str], threshold: float = 3
 def funnel(events: DataFrame, steps: list[str], user: str, kind: str, time: str) -> DataFrame:
     """Users who did the steps in order: one row per step with users and conversion from the step before.
 
-    A step counts when it happens at or after the user's first time at the step before; the first times are
-    carried forward one step at a time.
+    A step counts when it happens at or after the user's first time at the step before. One stored row per user carries
+    the first times from step to step, so the plan grows by the same amount with each step, and one aggregate counts.
     """
-    reached = events.where(F.col(kind) == steps[0]).groupBy(user).agg(F.min(time).alias("_at"))
-    stage = {steps[0]: reached}
-    for step in steps[1:]:
+    state = cut_lineage(events.where(F.col(kind) == steps[0]).groupBy(user).agg(F.min(time).alias("_at_1")))
+    for number, step in enumerate(steps[1:], start=2):
         now = events.where(F.col(kind) == step).select(user, F.col(time).alias("_t"))
         weight = now.groupBy(user).agg(F.count("*").alias("_n"))
-        before = stage[list(stage)[-1]].withColumnRenamed("_at", "_before").join(weight, user)
-        stage[step] = (
-            attach_per_key(now, before, [user], "_n", ["_before"])
-            .where(F.col("_t") >= F.col("_before"))
-            .groupBy(user)
-            .agg(F.min("_t").alias("_at"))
+        before = state.where(F.col(f"_at_{number - 1}").isNotNull()).select(user, F.col(f"_at_{number - 1}").alias("_before")).join(weight, user)
+        reached = attach_per_key(now, before, [user], "_n", ["_before"]).where(F.col("_t") >= F.col("_before"))
+        reached = reached.groupBy(user).agg(F.min("_t").alias(f"_at_{number}"))
+        state = cut_lineage(state.join(reached, user, "left"))
+    counts = state.agg(*[F.count(f"_at_{n}").alias(f"_{n}") for n in range(1, len(steps) + 1)])
+    rows = [
+        F.struct(
+            F.lit(n).alias("step_no"), F.lit(step).alias("step"), F.col(f"_{n}").alias("users"),
+            F.round(safe_ratio(F.col(f"_{n}"), F.col(f"_{n - 1}")), 6).alias("conversion") if n > 1 else F.lit(None).cast("double").alias("conversion"),
         )
-    rows = None
-    for number, (step, users) in enumerate(stage.items(), start=1):
-        row = users.agg(F.count("*").alias("users")).select(F.lit(number).alias("step_no"), F.lit(step).alias("step"), "users")
-        rows = row if rows is None else rows.union(row)
-    before = F.lag("users").over(Window.orderBy("step_no"))
-    return rows.withColumn("conversion", F.round(safe_ratio(F.col("users"), before), 6))
+        for n, step in enumerate(steps, start=1)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def retention(events: DataFrame, user: str, time: str, unit: str = "week") -> DataFrame:
@@ -124,22 +135,21 @@ def retention(events: DataFrame, user: str, time: str, unit: str = "week") -> Da
     )
 
 
-def select_sources(requested: list[str], allowed: set[str]) -> list[str]:
-    """Requested sources once each, in order; a source outside the allow-list is an error."""
-    unknown = sorted(set(requested) - allowed)
-    if unknown:
-        raise ValueError(f"Sources are not allowed: {unknown}")
-    return sorted(set(requested))
-
-
 def count_sources(rows: DataFrame, requested: list[str], allowed: set[str], source: str = "source") -> DataFrame:
-    """Rows per chosen source and over all of them; a chosen source without rows counts 0."""
-    chosen = select_sources(requested, allowed)
-    counts = rows.where(F.col(source).isin(chosen)).groupBy(source).agg(F.count("*").alias("event_count"))
-    wanted = rows.sparkSession.createDataFrame([(s,) for s in chosen], f"{source} string")
+    """Rows per chosen source and over all of them; a chosen source without rows counts 0.
+
+    The request is a frame like any other: repeated names fall together, and a name without a partner in the
+    allow-list stops the query with its name in the message.
+    """
+    spark = rows.sparkSession
+    names = spark.createDataFrame([(s,) for s in requested], f"{source} string").distinct()
+    listed = spark.createDataFrame([(s, True) for s in sorted(allowed)], f"{source} string, _listed boolean")
+    refuse = F.raise_error(F.concat(F.lit("no such source in the allow-list: "), F.col(source)))
+    wanted = names.join(listed, source, "left").select(F.when(F.col("_listed"), F.col(source)).otherwise(refuse).alias(source))
+    counts = rows.join(F.broadcast(wanted), source).groupBy(source).agg(F.count("*").alias("event_count"))
     filled = wanted.join(counts, source, "left").select(source, F.coalesce("event_count", F.lit(0)).alias("event_count"))
-    total = F.sum("event_count").over(Window.partitionBy())
-    return filled.withColumn("total_events", total).withColumn("source_count", F.lit(len(chosen)))
+    every = Window.partitionBy()  # one row for each requested name
+    return filled.withColumn("total_events", F.sum("event_count").over(every)).withColumn("source_count", F.count("*").over(every).cast("int"))
 
 
 def mastery(rows: DataFrame, topic: str, correct: Column) -> DataFrame:

@@ -21,8 +21,14 @@ def _digest(seed: object, key: str) -> Column:
 
 
 def hash_sample(df: DataFrame, key: str, share: float, seed: object = 0) -> DataFrame:
-    """About ``share`` of the rows, chosen by a hash of the key: the same rows on every run and every cluster."""
-    return df.where(F.left(_digest(seed, key), F.lit(8)) < F.lit(f"{int(share * 2**32):08x}"))
+    """About ``share`` of the rows, chosen by a hash of the key: the same rows on every run and every cluster.
+
+    The first 60 bits of the hash are compared as a number, so 0 keeps nothing and 1 keeps every row with a key.
+    """
+    if not 0 <= share <= 1:
+        raise ValueError(f"share must lie between 0 and 1, not {share}")
+    place = F.conv(F.left(_digest(seed, key), F.lit(15)), 16, 10).cast("bigint")
+    return df.where(place < F.lit(int(share * 2**60)))
 
 
 def seeded_pick(df: DataFrame, key: str, n: int, seed: object) -> DataFrame:

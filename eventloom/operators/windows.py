@@ -134,14 +134,20 @@ def running_balance(
     earlier = per_account.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     start = (F.lit(opening).cast(exact) + F.coalesce(F.sum("_net").over(earlier), F.lit(0))).cast(exact)
     nets = parts.select(account, "_piece", plain_sum.alias("_net"))
+
+    def beside(other: DataFrame) -> DataFrame:
+        """The pieces with the columns of ``other``; a null account is an account of its own."""
+        side = other.withColumnsRenamed({account: "_a", "_piece": "_p"})
+        return parts.join(side, parts[account].eqNullSafe(F.col("_a")) & (parts["_piece"] == F.col("_p"))).drop("_a", "_p")
+
     ready = [whole]
     while not nets.isEmpty():
         starts = nets.select(account, "_piece", start.alias("_start"), F.col("_net").alias("_was"))
-        replayed = parts.join(starts, [account, "_piece"]).withColumn("_net", replayed_net.cast(exact))
+        replayed = beside(starts).withColumn("_net", replayed_net.cast(exact))
         moved = F.max(F.col("_net") != F.col("_was")).over(per_account)
         judged = cut_lineage(replayed.select(account, "_piece", "_start", "_net", moved.alias("_moved")))
         final = judged.where(~F.col("_moved")).select(account, "_piece", "_start")
-        ready.append(parts.join(final, [account, "_piece"]).select(account, "_start", "_moves"))
+        ready.append(beside(final).select(account, "_start", "_moves"))
         nets = judged.where("_moved").select(account, "_piece", "_net")
 
     outcome = _replay("_start", F.transform("_moves", lambda m: m[amount])).alias("_outcome")

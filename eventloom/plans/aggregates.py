@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.numbers import money, total_with_tax
+from eventloom.operators.joins import enrich
 from eventloom.operators.measures import count_by, summarize, values_per_key, word_count
 from eventloom.operators.quality import collect_errors, first_reason, split_errors, split_reason
 from eventloom.operators.windows import exact_median
 from eventloom.plans.adapters import feed, flat, payload_events, users, with_feed, with_flat
 from eventloom.plans.registry import Tables, query
 from eventloom.plans.rows import WORDS_SQL
+from eventloom.session import cut_lineage
 
 VALID_SQL = """trim(coalesce(event_id, ''), ' ') <> '' AND event_type IN ('page_view', 'video_play', 'video_pause', 'add_to_cart', 'purchase')
  AND trim(coalesce(user_id, ''), ' ') <> '' AND true_time IS NOT NULL AND source IN ('web', 'mobile', 'api', 'system')
@@ -52,14 +54,12 @@ def agg_null_filtered(t: Tables) -> DataFrame:
 @query(with_flat("""SELECT e.event_date, COALESCE(u.plan, 'unknown') AS plan, COUNT(*) AS event_count
 FROM flat e LEFT JOIN users u ON e.user_id = u.user_id GROUP BY 1, 2"""))
 def agg_cached_by_date_plan(t: Tables) -> DataFrame:
-    # Kept for the queries that follow on the same view; memory first, then executor disks.
-    from eventloom.operators.joins import enrich
-
-    enriched = enrich(flat(t), users(t), "user_id", ["plan", "region"]).select("event_date", "plan").persist()
-    enriched.createOrReplaceTempView("enriched_events")
-    return t.spark.sql(
-        "SELECT event_date, plan, COUNT(*) AS event_count FROM enriched_events GROUP BY event_date, plan ORDER BY event_date, plan"
-    )
+    # Kept in memory (then on executor disks) until its result is stored, then released.
+    kept = enrich(flat(t), users(t), "user_id", ["plan", "region"]).select("event_date", "plan").persist()
+    try:
+        return cut_lineage(kept.groupBy("event_date", "plan").agg(F.count("*").alias("event_count"))).orderBy("event_date", "plan")
+    finally:
+        kept.unpersist()
 
 
 @query("""SELECT COUNT(*) AS n, CAST(AVG(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value
@@ -111,11 +111,12 @@ def agg_count_words(t: Tables) -> DataFrame:
     return count_items(t.documents.select(words(F.col("text")).alias("words")), "words")
 
 
-@query("""SELECT user_id, event_id // 1000 AS piece, string_agg(event_type, ',' ORDER BY event_id) AS types
-FROM events GROUP BY 1, 2""")
+@query("""SELECT user_id, place // 1000 AS piece, (total + 999) // 1000 AS n_pieces, string_agg(event_type, ',' ORDER BY event_id) AS types
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS place, count(*) OVER (PARTITION BY user_id) AS total FROM events)
+GROUP BY 1, 2, 3""")
 def agg_group_by_key(t: Tables) -> DataFrame:
     grouped = values_per_key(t.events, "user_id", "event_type", "event_id")
-    return grouped.select("user_id", "piece", F.array_join("values", ",").alias("types"))
+    return grouped.select("user_id", "piece", "n_pieces", F.array_join("values", ",").alias("types"))
 
 
 @query("SELECT user_id, COUNT(*) AS n FROM events GROUP BY 1")

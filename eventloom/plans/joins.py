@@ -13,16 +13,17 @@ from eventloom.plans.registry import Tables, query
 
 
 def _rich(t: Tables) -> DataFrame:
-    """Customers in credit only, so that some orders find no customer and some customers no order."""
-    return t.customer.where(F.col("c_acctbal") >= 0).select("c_custkey", "c_mktsegment")
+    """All customers; those in debt under another key, so that some orders find no customer and some customers no order."""
+    key = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).otherwise(F.col("c_custkey") + 1_000_000_000)
+    return t.customer.select(key.alias("c_custkey"), "c_mktsegment")
 
 
 def _large(t: Tables) -> DataFrame:
-    return t.orders.where(F.col("o_totalprice") > 250000).select("o_orderkey", "o_custkey")
+    return t.orders.select("o_orderkey", "o_custkey")
 
 
-_RICH = "(SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal >= 0) c"
-_LARGE = "(SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 250000) o"
+_RICH = "(SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey ELSE c_custkey + 1000000000 END AS c_custkey, c_mktsegment FROM customer) c"
+_LARGE = "(SELECT o_orderkey, o_custkey FROM orders) o"
 
 
 @query(f"SELECT o_custkey AS custkey, o_orderkey, c_mktsegment FROM {_LARGE} JOIN {_RICH} ON o_custkey = c_custkey")
@@ -65,7 +66,9 @@ def join_full(t: Tables) -> DataFrame:
 
 @query(f"SELECT * FROM {_RICH} WHERE EXISTS (SELECT 1 FROM {_LARGE} WHERE o_custkey = c_custkey)")
 def join_semi(t: Tables) -> DataFrame:
-    return _rich(t).join(_large(t), F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    # A customer with very many orders is one row on the right side.
+    ordered = _large(t).select("o_custkey").distinct()
+    return _rich(t).join(ordered, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
 
 
 @query(with_flat("""SELECT e.event_id, e.user_id, e.event_type, e.source FROM flat e

@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from eventloom.plans.adapters import flat, with_flat
 from eventloom.plans.registry import Tables, query
+from eventloom.session import cut_lineage
 from eventloom.sinks.files import write_bucketed, write_partitioned
 
 
+def _tasks(t: Tables) -> int:
+    """Twice the tasks that the session gives a shuffle."""
+    return 2 * int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def sort_multi(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -40,12 +46,12 @@ def top_k(t: Tables) -> DataFrame:
 
 @query("SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1")
 def repartition(t: Tables) -> DataFrame:
-    return t.events.repartition(16).groupBy("event_type").agg(F.count("*").alias("n"))
+    return t.events.repartition(_tasks(t)).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query("SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1")
 def coalesce(t: Tables) -> DataFrame:
-    return t.events.repartition(16).coalesce(4).groupBy("event_type").agg(F.count("*").alias("n"))
+    return t.events.repartition(_tasks(t)).coalesce(max(1, _tasks(t) // 4)).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query(with_flat("SELECT event_type, COUNT(*) AS n, COUNT(DISTINCT event_date) AS n_days FROM flat GROUP BY 1"))
@@ -53,7 +59,10 @@ def cache_reuse(t: Tables) -> DataFrame:
     days = flat(t).select("event_type", "event_date").persist()
     counts = days.groupBy("event_type").agg(F.count("*").alias("n"))
     distinct_days = days.groupBy("event_type").agg(F.count_distinct("event_date").alias("n_days"))
-    return counts.join(distinct_days, "event_type")
+    try:
+        return cut_lineage(counts.join(distinct_days, "event_type"))
+    finally:
+        days.unpersist()
 
 
 @query(with_flat("""SELECT event_id, event_type, user_id, event_date FROM flat

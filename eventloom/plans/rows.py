@@ -133,7 +133,7 @@ def distinct_rows(t: Tables) -> DataFrame:
     return t.orders.select("o_orderstatus", "o_orderpriority").distinct()
 
 
-@query("SELECT event_id, event_type FROM events WHERE left(md5('42:' || event_id), 8) < '19999999'")
+@query("SELECT event_id, event_type FROM events WHERE left(md5('42:' || event_id), 15) < '199999999999999'")
 def sample_rows(t: Tables) -> DataFrame:
     return hash_sample(t.events.select("event_id", "event_type"), "event_id", 0.1, seed=42)
 

@@ -55,10 +55,10 @@ def fn_mask_email(t: Tables) -> DataFrame:
 
 
 @query("""WITH ids AS (SELECT DISTINCT user_id FROM events)
-SELECT event_id, sha256('pepper' || user_id) AS digest, 'tok_' || left(sha256('vault' || user_id), 12) AS user_id FROM events""")
+SELECT event_id, sha256('pepper' || user_id) AS digest, 'tok_' || sha256('vault' || user_id) AS user_id FROM events""")
 def fn_hash_token(t: Tables) -> DataFrame:
     ids = t.events.select(F.col("user_id").cast("string").alias("value")).distinct()
-    vault = ids.withColumn("token", F.concat(F.lit("tok_"), F.left(privacy.hash_token(F.col("value"), "vault"), F.lit(12))))
+    vault = ids.withColumn("token", F.concat(F.lit("tok_"), privacy.hash_token(F.col("value"), "vault")))
     digested = t.events.select(
         "event_id", privacy.hash_token(F.col("user_id"), "pepper").alias("digest"), F.col("user_id").cast("string").alias("user_id")
     )
@@ -255,8 +255,9 @@ def json_encode(t: Tables) -> DataFrame:
 _DEVICES = "['iOS ', ' android', 'Website', 'browser', ' API', 'Kiosk']"
 
 
-@query(f"""SELECT event_id, CASE WHEN s IN ('ios', 'android') THEN 'mobile' WHEN s IN ('website', 'browser') THEN 'web' ELSE s END AS source
-FROM (SELECT event_id, lower(trim(({_DEVICES})[user_id % 6 + 1])) AS s FROM events)""")
+@query(f"""WITH known(name, source) AS (VALUES ('android', 'mobile'), ('browser', 'web'), ('ios', 'mobile'), ('website', 'web'))
+SELECT event_id, coalesce(source, s) AS source
+FROM (SELECT event_id, lower(trim(({_DEVICES})[user_id % 6 + 1])) AS s FROM events) LEFT JOIN known ON name = s""")
 def udf_sql_normalize_source(t: Tables) -> DataFrame:
     sql_functions.register(t.spark)
     names = _DEVICES.strip("[]")

@@ -9,16 +9,18 @@ from eventloom.operators.joins import except_all, intersect, subtract, subtract_
 from eventloom.plans.adapters import flat, users, with_flat
 from eventloom.plans.registry import Tables, query
 
-_HIGH = "(SELECT o_custkey, o_orderpriority FROM orders WHERE o_totalprice > 200000)"
-_DONE = "(SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F')"
+_HIGH = "(SELECT o_custkey + CASE WHEN o_totalprice > 200000 THEN 0 ELSE 1000000000 END AS o_custkey, o_orderpriority FROM orders)"
+_DONE = "(SELECT o_custkey + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1000000000 END AS o_custkey, o_orderpriority FROM orders)"
 
 
 def _high(t: Tables) -> DataFrame:
-    return t.orders.where("o_totalprice > 200000").select("o_custkey", "o_orderpriority")
+    """All orders; the small ones under another customer, so that the two sides differ."""
+    return t.orders.select(F.expr("o_custkey + IF(o_totalprice > 200000, 0, 1000000000)").alias("o_custkey"), "o_orderpriority")
 
 
 def _done(t: Tables) -> DataFrame:
-    return t.orders.where("o_orderstatus = 'F'").select("o_custkey", "o_orderpriority")
+    """All orders; the open ones under another customer."""
+    return t.orders.select(F.expr("o_custkey + IF(o_orderstatus = 'F', 0, 1000000000)").alias("o_custkey"), "o_orderpriority")
 
 
 @query(f"SELECT * FROM {_HIGH} UNION ALL SELECT * FROM {_DONE}")
@@ -32,9 +34,9 @@ def set_union_distinct(t: Tables) -> DataFrame:
 
 
 @query(f"""SELECT o_custkey, o_orderpriority, NULL AS o_totalprice FROM {_HIGH}
-UNION ALL SELECT o_custkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus = 'F'""")
+UNION ALL SELECT o_custkey, o_orderpriority, o_totalprice FROM orders""")
 def set_union_by_name(t: Tables) -> DataFrame:
-    other = t.orders.where("o_orderstatus = 'F'").select("o_totalprice", "o_orderpriority", "o_custkey")
+    other = t.orders.select("o_totalprice", "o_orderpriority", "o_custkey")
     return _high(t).unionByName(other, allowMissingColumns=True)
 
 

@@ -193,9 +193,10 @@ def copy_validate_only(t: Tables) -> DataFrame:
 @query("SELECT c_custkey, c_name, c_acctbal, NULL AS c_phone FROM customer")
 def copy_into_csv_by_name(t: Tables) -> DataFrame:
     path = t.scratch("by-name")
-    t.customer.select(
-        F.col("c_acctbal").alias("C_ACCTBAL"), F.col("c_custkey").alias("C_CustKey"), F.col("c_name").alias("c_NAME")
-    ).write.option("header", True).csv(path)
+    # Two orders of columns in one folder.
+    names = [F.col("c_acctbal").alias("C_ACCTBAL"), F.col("c_custkey").alias("C_CustKey"), F.col("c_name").alias("c_NAME")]
+    for part, columns in ((0, names), (1, names[::-1])):
+        t.customer.where(F.col("c_custkey") % 2 == part).select(*columns).write.mode("append").option("header", True).csv(path)
     target = "c_custkey bigint, c_name string, c_acctbal double, c_phone string"
     return sources.read_csv_by_name(t.spark, path, target)
 

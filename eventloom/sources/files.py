@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,18 +57,39 @@ def read_csv(
     )
 
 
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by their header line. Only file names and headers reach the driver."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("start")
+    )
+    # The first line of a file is the first row of its first block.
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").collect():
+        groups.setdefault(tuple(next(csv.reader([row.header]))), []).append(row.file)
+    return groups
+
+
 def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV columns matched to the target by name, whatever their order and case; unmatched ones are null."""
+    """CSV columns matched to the target by name, file by file, whatever their order and case; unmatched ones are null.
+
+    Files with the same header are read together. A folder without files gives no rows.
+    """
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    raw = spark.read.option("header", True).csv(path)
-    by_name = {name.lower(): name for name in raw.columns}
-    return raw.select(
-        *[
-            (F.col(f"`{by_name[f.name.lower()]}`") if f.name.lower() in by_name else F.lit(None))
-            .cast(f.dataType).alias(f.name)
-            for f in target
-        ]
-    )
+    parts = []
+    for header, files in _headers(spark, path).items():
+        names = [name.lower() for name in header]
+        as_text = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
+        raw = spark.read.schema(as_text).option("header", True).csv(files)
+        parts.append(
+            raw.select(
+                *[
+                    (F.col(f"_{names.index(f.name.lower())}") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
+                    for f in target
+                ]
+            )
+        )
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], target)
 
 
 def average_score(spark: SparkSession, path: str) -> DataFrame:

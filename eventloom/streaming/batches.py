@@ -20,7 +20,7 @@ def arrived_batches(spark: SparkSession, incoming: str, files: str = "*.jsonl")
 
 
 def processed_batches(spark: SparkSession, ledger: str) -> DataFrame:
-    """Names already in the ledger; an absent ledger means none."""
+    """The ledger as a frame of batch names, empty before the first entry."""
     try:
         return spark.read.schema("done boolean, batch string").json(ledger).select("batch").distinct()
     except AnalysisException as error:
@@ -36,7 +36,7 @@ def mark_processed(spark: SparkSession, ledger: str, batch: str) -> None:
 
 
 def next_batch(spark: SparkSession, incoming: str, ledger: str, files: str = "*.jsonl") -> str | None:
-    """First unprocessed batch by name."""
+    """The smallest batch name without a ledger entry, or None."""
     waiting = arrived_batches(spark, incoming, files).join(processed_batches(spark, ledger), "batch", "left_anti")
     return waiting.agg(F.min("batch")).first()[0]
 
@@ -46,7 +46,7 @@ def summarize_folder(spark: SparkSession, folder: str, files: str = "*.jsonl") -
     try:
         events = read_json_lines(spark, f"{folder}/{files}")
     except AnalysisException as error:
-        raise ValueError(f"batch contains no JSON Lines files: {folder}") from error
+        raise ValueError(f"nothing to summarise: {folder} holds no file that matches {files}") from error
     return count_by(events, ["event_type", "source"])
 
 

@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.skew import stored_small
 from eventloom.operators.windows import latest_per_key, with_neighbour
+from eventloom.session import cut_lineage
+
+
+def _single(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with a key at most once; a repeated key stops the query."""
+    one = F.when(F.count("*") == 1, F.any_value(F.struct(*rows.columns))).otherwise(
+        F.raise_error(F.concat(F.lit(f"several rows for one {key}: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    )
+    return rows.groupBy(key).agg(one.alias("_row")).select("_row.*")
 
 
 def merge_upsert(
@@ -16,39 +25,42 @@ def merge_upsert(
 ) -> DataFrame:
     """Target with updates applied by key: matched rows take the ``update`` columns, others are inserted.
 
-    Several updates of one key are first reduced to the newest by ``order``, so both sides hold a key once.
+    Several updates of one key are first reduced to the newest by ``order``; without an order they stop the query.
+    A null key is a key of its own. Which side a row comes from is told by a marker, never by its key.
     """
     update = update or [c for c in target.columns if c != key]
-    newest = latest_per_key(updates, [key], order) if order else updates
-    side = newest.select(F.col(key).alias("_key"), F.struct(*[c for c in target.columns]).alias("_new"))
-    joined = target.join(side, target[key] == side["_key"], "full")
-    inserted, matched = target[key].isNull(), F.col("_key").isNotNull()
+    newest = latest_per_key(updates, [key], order) if order else _single(updates, key)
+    side = newest.select(F.col(key).alias("_key"), F.struct(*[c for c in target.columns]).alias("_new"), F.lit(True).alias("_arrived"))
+    held = target.withColumn("_held", F.lit(True))
+    joined = held.join(side, held[key].eqNullSafe(side["_key"]), "full")
+    inserted, matched = F.col("_held").isNull(), F.col("_arrived").isNotNull()
     columns = []
     for name in target.columns:
         change = inserted | matched if name in update else inserted
-        columns.append(F.when(change, F.col("_new")[name]).otherwise(target[name]).alias(name))
+        columns.append(F.when(change, F.col("_new")[name]).otherwise(held[name]).alias(name))
     return joined.select(*columns)
 
 
 def change_delta(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Rows that differ between two snapshots: after-image, ``action`` and ``is_update``.
 
-    An update appears as a DELETE of the old image and an INSERT of the new one, both with ``is_update``.
+    An update appears as a DELETE of the old image and an INSERT of the new one, both with ``is_update``. A null key
+    is a key of its own.
     """
     columns = before.columns
-    old = before.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
-    new = after.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_new"))
+    old = before.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"), F.lit(True).alias("_was"))
+    new = after.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_new"), F.lit(True).alias("_is"))
     same = reduce(lambda a, b: a & b, [F.col("_old")[c].eqNullSafe(F.col("_new")[c]) for c in columns])
-    both = old.join(new, F.col("_old_key") == F.col("_new_key"), "full")
-    is_update = F.col("_old_key").isNotNull() & F.col("_new_key").isNotNull()
-    changed = both.where(~is_update | ~same)
+    both = old.join(new, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full")
+    was, now = F.col("_was").isNotNull(), F.col("_is").isNotNull()
+    changed = both.where(~(was & now) | ~same)
     images = F.array_compact(
         F.array(
-            F.when(F.col("_old_key").isNotNull(), F.struct(F.lit("DELETE").alias("action"), F.col("_old").alias("row"))),
-            F.when(F.col("_new_key").isNotNull(), F.struct(F.lit("INSERT").alias("action"), F.col("_new").alias("row"))),
+            F.when(was, F.struct(F.lit("DELETE").alias("action"), F.col("_old").alias("row"))),
+            F.when(now, F.struct(F.lit("INSERT").alias("action"), F.col("_new").alias("row"))),
         )
     )
-    return changed.select(is_update.alias("is_update"), F.explode(images).alias("_i")).select(
+    return changed.select((was & now).alias("is_update"), F.explode(images).alias("_i")).select(
         "_i.row.*", F.col("_i.action").alias("action"), "is_update"
     )
 
@@ -77,12 +89,13 @@ def history(
 
 
 def snapshot_increment(current: DataFrame, incoming: DataFrame, key: str, tracked: list[str], at: Column) -> DataFrame:
-    """Next state of a history table: changed current rows are closed at ``at``, new versions are opened."""
-    new = incoming.select(F.col(key).alias("_k"), F.struct(*tracked).alias("_new"))
-    open_rows = current.where("is_current")
-    joined = open_rows.join(new, open_rows[key] == F.col("_k"), "full")
+    """Next state of a history table: changed current rows are closed at ``at``, new versions are opened. A null key is a key of its own."""
+    new = incoming.select(F.col(key).alias("_k"), F.struct(*tracked).alias("_new"), F.lit(True).alias("_arrived"))
+    current = cut_lineage(current)  # read twice: open and closed rows
+    open_rows = current.where("is_current").withColumn("_held", F.lit(True))
+    joined = open_rows.join(new, open_rows[key].eqNullSafe(F.col("_k")), "full")
     same = reduce(lambda a, b: a & b, [open_rows[c].eqNullSafe(F.col("_new")[c]) for c in tracked])
-    existed, arrived = open_rows[key].isNotNull(), F.col("_k").isNotNull()
+    existed, arrived = F.col("_held").isNotNull(), F.col("_arrived").isNotNull()
     changed = arrived & (~existed | ~same)
     kept = F.struct(
         open_rows[key].alias(key), *[open_rows[c].alias(c) for c in tracked], open_rows["valid_from"].alias("valid_from"),

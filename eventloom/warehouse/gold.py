@@ -34,9 +34,9 @@ def dim_entity(events: DataFrame, entity: str, time: str) -> DataFrame:
 
 
 def fact_events(silver: DataFrame) -> DataFrame:
-    """One row per valid event; the key is a hash of the event id, so reruns give the same key."""
+    """One row per valid event; the key is a 128-bit hash of the event id, so reruns give the same key."""
     return silver.select(
-        F.xxhash64("event_id").alias("event_key"), "event_id", "entity_id", "event_type", "event_date", "event_ts",
+        F.md5("event_id").alias("event_key"), "event_id", "entity_id", "event_type", "event_date", "event_ts",
         "source", "ingest_run_id",
     )
 

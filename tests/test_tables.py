@@ -10,7 +10,11 @@ from eventloom.contract import FLAT_EVENT_SCHEMA, USER_SCHEMA
 from eventloom.functions import numbers, text, variants
 from eventloom.operators import joins
 from eventloom.operators.joins import enrich, subtract_keep_copies
-from eventloom.operators.measures import count_by, count_items, count_sources, json_summary, mastery, review_queue, summarize, values_per_key, word_count
+from eventloom.operators.measures import count_by, count_items, count_sources, funnel, json_summary, mastery, review_queue, summarize, values_per_key, word_count
+from eventloom.functions.numbers import lost_amounts, money
+from eventloom.operators.rows import hash_sample
+from eventloom.plans import load_all
+from eventloom.plans.registry import PLANS, Tables
 from eventloom.sinks import files as sinks
 from eventloom.sources import files as sources
 from eventloom.sources.topics import encode_events, topic_options
@@ -152,8 +156,8 @@ def test_sources_are_checked(spark):
     rows = spark.createDataFrame([("web",), ("web",), ("api",)], "source string")
     out = count_sources(rows, ["mobile", "web", "web"], {"web", "mobile", "api"}).orderBy("source").collect()
     assert [tuple(r) for r in out] == [("mobile", 0, 2, 2), ("web", 2, 2, 2)]
-    with pytest.raises(ValueError, match="fax"):
-        count_sources(rows, ["fax"], {"web"})
+    with pytest.raises(Exception, match="fax"):
+        count_sources(rows, ["fax"], {"web"}).collect()
 
 
 def test_progress(spark):
@@ -172,6 +176,62 @@ def test_values_of_a_heavy_key_stay_whole_in_bounded_pieces(spark):
     assert [v for p in pieces for v in p["values"]] == [2 * i for i in range(2500)]
 
 
+def test_pieces_are_numbered_inside_each_key(spark):
+    rows = spark.createDataFrame([(k, i * 3000 + j, j) for j, k in enumerate(("a", None)) for i in range(5)], "k string, id long, v int")
+    out = {(r.k, r.piece): (r.n_pieces, len(r["values"])) for r in values_per_key(rows, "k", "v", "id", size=2).collect()}
+    assert out == {(k, p): (3, n) for k in ("a", None) for p, n in ((0, 2), (1, 2), (2, 1))}
+
+
+def test_hash_sample_bounds(spark):
+    rows = spark.range(10_000)
+    assert [hash_sample(rows, "id", share).count() for share in (0, 1)] == [0, 10_000]
+    assert 4700 < hash_sample(rows, "id", 0.5).count() < 5300
+    with pytest.raises(ValueError):
+        hash_sample(rows, "id", 1.5)
+
+
+def test_large_amounts_are_kept_or_counted(spark):
+    rows = spark.createDataFrame([("12345678901234567890.25",), ("1e60",), ("x",)], "a string")
+    total, lost = rows.agg(F.sum(money(F.col("a"))), lost_amounts(F.col("a"))).first()
+    assert str(total) == "12345678901234567890.25" and lost == 1
+
+
+def test_null_keys_in_changing_tables(spark):
+    held = spark.createDataFrame([(None, "keep"), (1, "a")], "id int, v string")
+    assert {tuple(r) for r in changes.merge_upsert(held, spark.createDataFrame([(1, "b")], "id int, v string"), "id").collect()} == {(None, "keep"), (1, "b")}
+    assert {tuple(r) for r in changes.merge_upsert(held, spark.createDataFrame([(None, "new")], "id int, v string"), "id").collect()} == {(None, "new"), (1, "a")}
+    gone = changes.change_delta(held, held.where("id = 1"), "id").collect()
+    assert [tuple(r) for r in gone] == [(None, "keep", "DELETE", False)]
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string")
+    with pytest.raises(Exception, match="several rows for one id"):
+        changes.merge_upsert(held, twice, "id").collect()
+    current = spark.createDataFrame([(None, "x", 1, None, True)], "id int, v string, valid_from int, valid_to int, is_current boolean")
+    after = changes.snapshot_increment(current, spark.createDataFrame([(2, "y")], "id int, v string"), "id", ["v"], F.lit(9))
+    assert {tuple(r) for r in after.collect()} == {(None, "x", 1, None, True), (2, "y", 9, None, True)}
+
+
+def test_csv_columns_by_name_in_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("name,ID\ny,2\n")
+    rows = sources.read_csv_by_name(spark, str(tmp_path), "id int, name string, extra int").collect()
+    assert {tuple(r) for r in rows} == {(1, "x", None), (2, "y", None)}
+
+
+def test_nothing_stays_cached(spark):
+    load_all()
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    for name in ("agg_cached_by_date_plan", "cache_reuse"):
+        PLANS[name](Tables(spark, "/root/testdata/sf0.001")).collect()
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_funnel_plan_does_not_multiply(spark):
+    events = spark.createDataFrame([(u, s, i) for u in range(3) for i, s in enumerate("abcdef"[: 2 + 2 * u])], "u int, k string, t int")
+    out = funnel(events, list("abcdef"), "u", "k", "t")
+    assert [(r.step, r.users) for r in out.orderBy("step_no").collect()] == list(zip("abcdef", (3, 3, 2, 2, 1, 1), strict=True))
+    assert out._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Scan") <= 1
+
+
 def test_subtract_keeps_copies(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "x")], "a int, b string")
     b = spark.createDataFrame([(1, None)], "a int, b string")

@@ -115,3 +115,10 @@ def test_broadcast_only_when_measured_small(spark):
         assert "SortMergeJoin" in plain._jdf.queryExecution().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("piece_rows", [2, 100])
+def test_null_account_on_both_sides_of_the_limit(spark, piece_rows):
+    rows = spark.createDataFrame([(a, i, Decimal(v)) for a in (None, "x") for i, v in enumerate((5, -9, 4, -7, -2, 3))], "a string, i int, v decimal(18,2)")
+    out = running_balance(rows, "a", ["i"], "v", piece_rows=piece_rows).collect()
+    assert sorted((r.a or "", r.i, int(r.balance)) for r in out) == [(a, i, b) for a in ("", "x") for i, b in enumerate((5, 5, 9, 2, 0, 3))]
