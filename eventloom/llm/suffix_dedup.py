@@ -382,15 +382,19 @@ def rewrite(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_bytes:
     """
     every = docs.columns
     names = [c for c in every if c != "text"]
-    kept = remove_repeats(docs.withColumn("_none", F.col("text").isNull()), length, gram, keep=(*names, "_none"), hot_bytes=hot_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if none else raw.decode("utf-8", "ignore") for raw, none in zip(batch.column("kept").to_pylist(), batch.column("_none").to_pylist(), strict=True)]
-            stays = [t != "" or not spans for t, spans in zip(texts, batch.column("spans").to_pylist(), strict=True)]
-            columns = {n: batch.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([columns[c] for c in every], names=every).filter(pa.array(stays, pa.bool_()))
-
-    return kept.mapInArrow(run, docs.schema)
+        open_ = zstandard.ZstdDecompressor()
+        for whole in batches:
+            for batch in slices(whole, "z", 1 << 20):
+                texts, stays = [], []
+                for z, spans in zip(batch.column("z").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                    texts.append(None if z is None else _remove(open_.decompress(z), spans or []).decode("utf-8", "ignore"))
+                    stays.append(texts[-1] != "" or not spans)
+                columns = {n: batch.column(f"_k{i}") for i, n in enumerate(names)} | {"text": pa.array(texts, pa.string())}
+                if "n_chars" in columns:
+                    columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+                yield pa.RecordBatch.from_arrays([columns[c] for c in every], names=every).filter(pa.array(stays, pa.bool_()))
+
+    joined = _with_spans(docs, "text", names, length, gram, hot_bytes)
+    return joined.select(*[f"_k{i}" for i in range(len(names))], "z", "spans").mapInArrow(run, docs.schema)
