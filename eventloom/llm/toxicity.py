@@ -9,9 +9,10 @@ marginals give the expected number of toxic tokens and the offending spans, and
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -195,7 +196,7 @@ def _spans(text: bytes, marked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def choose_features(toxic: list[set[bytes]], clean: list[set[bytes]]) -> set[bytes]:
+def choose_features(toxic: list[set[bytes]], clean: Iterable[set[bytes]], n_clean: int) -> set[bytes]:
     """Features that explain toxic documents, picked one by one by how many unexplained documents they add.
 
     A document that a chosen feature explains no longer counts for others, so words that only come along with copies
@@ -206,7 +207,7 @@ def choose_features(toxic: list[set[bytes]], clean: list[set[bytes]]) -> set[byt
     kept = {f for f, c in in_toxic.items() if c >= least}
     for d in clean:
         in_clean.update(d & kept)
-    scale = len(toxic) / max(1, len(clean))
+    scale = len(toxic) / max(1, n_clean)
     kept = {f for f in kept if (in_clean[f] + 0.5) * scale <= 0.08 * in_toxic[f]}
     holders = defaultdict(set)
     for i, d in enumerate(toxic):
@@ -238,9 +239,11 @@ def fit(documents: list[tuple[bytes, int]], prior: float, rounds: int = 40) -> M
         return got
 
     chains = [list(lines_of(t)) for t in texts]
-    bags = [{f for line in c for w in line for f in of(w)} for c in chains]
-    chosen = choose_features([b for b, y in zip(bags, labels, strict=True) if y], [b for b, y in zip(bags, labels, strict=True) if not y])
-    del bags
+
+    def bags(wanted: bool) -> Iterator[set[bytes]]:
+        return ({f for w in {w for line in c for w in line} for f in of(w)} for c, y in zip(chains, labels, strict=True) if bool(y) == wanted)
+
+    chosen = choose_features(list(bags(True)), bags(False), int((labels == 0).sum()))
     if not chosen:
         return Model(prior)
     tagged, plain = [], []
@@ -339,8 +342,16 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
     parts = [known.where(F.col("toxic") == y).orderBy(order, "doc_id").limit(sample_docs) for y in (0, 1)]
     sample = F.broadcast(parts[0].unionAll(parts[1]))  # at most two times sample_docs ids
     rows = docs.select("doc_id", "text").where(F.octet_length("text") <= sample_bytes).join(sample, "doc_id")
-    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id")
-    return fit([(r.text.encode(), r.toxic) for r in rows.collect()], toxic / n)
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    prior = toxic / n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = [pair for b in batches for pair in zip(raw_texts(b.column("text")), b.column("toxic").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(sample, prior))], pa.binary())], names=["model"])
+
+    # The bounded sample meets in one task, which spares the driver its texts; only the model comes back.
+    fitted = rows.repartition(1).sortWithinPartitions("doc_id").select("text", "toxic").mapInArrow(run, "model binary").collect()
+    return pickle.loads(fitted[0].model) if fitted else Model(prior)
 
 
 def score_toxicity(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
