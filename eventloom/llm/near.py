@@ -1,7 +1,7 @@
 """Near-duplicate links between sets of hashes: signatures, candidate units, exact verification, components.
 
 Sets that share a band of MinHash values are candidates. Instead of writing out pairs, every set gets a home (the
-smallest leader of its buckets) and homes that meet in a bucket form a unit; the sets of a unit are compared inside one
+smallest leader within two buckets' reach) and homes that meet in a bucket form a unit; the sets of a unit are compared inside one
 task, which returns a count of links and a local root for each set. Large homes are cut into blocks, and each pair of
 blocks is a unit of its own, so no unit grows with the size of a group.
 """
@@ -117,7 +117,10 @@ def candidate_units(bands: DataFrame, sizes: DataFrame) -> DataFrame:
     tagged = bands.select("k", "b", F.xxhash64("k").alias("h"))
     buckets = tagged.groupBy("b").agg(F.min("h").alias("leader"), F.max("h").alias("_last")).where("leader < _last").select(F.col("b").alias("_b"), "leader")
     members = store(tagged.join(buckets, tagged.b == buckets._b).select("k", "b", "leader"), "bucket-members")
-    homes = store(members.groupBy("k").agg(F.min("leader").alias("home")), "homes")
+    # Two steps towards the smallest leader around, so that a group of near copies has few homes and few units.
+    near_by = store(members.join(members.groupBy("k").agg(F.min("leader").alias("home")), "k").select("k", "b", "home"), "near-by")
+    around = near_by.groupBy("b").agg(F.min("home").alias("leader"))
+    homes = store(near_by.join(around, "b").groupBy("k").agg(F.min("leader").alias("home")), "homes")
     sized = homes.join(sizes, "k")
     blocks = sized.groupBy("home").agg(F.count("*").alias("sets"), F.sum("n").alias("hashes")).select(
         "home", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("hashes") / BLOCK_HASHES), F.lit(1)).cast("int").alias("blocks"), "sets"
