@@ -26,7 +26,7 @@ LOW, HIGH = 0.0005, 0.2
 #: Densities 2**-1 .. 2**-LEVELS with SUBSETS lexicon subsets each.
 LEVELS, SUBSETS = 10, 16
 #: A subset with more members than this on average says nothing after an edit and is left out.
-DENSEST = 8
+DENSEST = 2
 #: Most terms of a lexicon that may be broadcast (8 bytes each); beyond it the lower end of the band is raised.
 MOST_TERMS = 2_000_000
 
