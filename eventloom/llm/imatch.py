@@ -31,22 +31,29 @@ DENSEST = 2
 MOST_TERMS = 2_000_000
 
 
+class WordHashes(dict[bytes, int]):
+    """Word to hash; a word not met before is hashed and remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return value
+
+
 class Hasher:
     """Word hashes of a worker, remembered for words met before."""
 
     def __init__(self, most: int = 300_000) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = WordHashes()
         self.most = most
 
     def distinct(self, text: bytes | None) -> np.ndarray:
         """Sorted hashes of the distinct words of a text."""
         if len(self.known) > self.most:
             self.known.clear()
-        known = self.known
         words = set(words_of(text))
-        for w in words.difference(known):
-            known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        return np.unique(np.fromiter((known[w] for w in words), np.uint64, len(words)))
+        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        hashes.sort()
+        return hashes[np.append(True, hashes[1:] != hashes[:-1])] if len(hashes) else hashes
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -110,19 +117,21 @@ class Fingerprinter:
         if not len(kept):
             return out
         drawn = mixed(kept[None, :] ^ self.salts[:, None])
-        # A term with z trailing zero bits lies in the subsets of density 2**-1 .. 2**-z.
-        for level in range(1, self.levels + 1):
-            if len(kept) >> level > DENSEST:
-                continue
-            member = (drawn & np.uint64((1 << level) - 1)) == 0
-            rows, columns = np.nonzero(member)
-            if not len(rows):
-                break
-            # The kept hashes are sorted, so each subset's members are hashed in that order.
-            cuts = np.flatnonzero(np.diff(rows)) + 1
-            for part, row in zip(np.split(columns, cuts), rows[np.concatenate([[0], cuts])].tolist(), strict=True):
-                value = int.from_bytes(hashlib.blake2b(kept[part].tobytes(), digest_size=4).digest(), "little")
-                out[1 + (level - 1) * self.subsets + row] = value or 1
+        # A term with z trailing zero bits lies in the subsets of density 2**-1 .. 2**-z. Members of the densest level
+        # in use hold those of all sparser ones, so the matrix is searched once.
+        densest = 1
+        while len(kept) >> densest > DENSEST:
+            densest += 1
+        rows, columns = np.nonzero((drawn & np.uint64((1 << densest) - 1)) == 0)
+        members: dict[int, list[bytes]] = {}
+        # The kept hashes are sorted, so each subset's members are joined and hashed in that order.
+        for row, bits, term in zip(rows.tolist(), drawn[rows, columns].tolist(), kept[columns].tolist(), strict=True):
+            zeros = min(self.levels, (bits & -bits).bit_length() - 1 if bits else 64)
+            packed = term.to_bytes(8, "little")
+            for level in range(densest, zeros + 1):
+                members.setdefault(1 + (level - 1) * self.subsets + row, []).append(packed)
+        for place, terms in members.items():
+            out[place] = int.from_bytes(hashlib.blake2b(b"".join(terms), digest_size=4).digest(), "little") or 1
         return out
 
     def likeness(self, a: np.ndarray, b: np.ndarray) -> float:
