@@ -25,7 +25,8 @@ from eventloom.llm.common import mixed, raw_texts, slices, words_of
 LOW, HIGH = 0.0005, 0.2
 #: Densities 2**-1 .. 2**-LEVELS with SUBSETS lexicon subsets each.
 LEVELS, SUBSETS = 10, 16
-#: A subset with more members than this on average says nothing after an edit and is left out.
+#: A subset with more members than this on average says nothing after an edit and is left out, but the
+#: sparsest level always stays, so that very long texts have hashes too.
 DENSEST = 2
 #: Most terms of a lexicon that may be broadcast (8 bytes each); beyond it the lower end of the band is raised.
 MOST_TERMS = 2_000_000
@@ -120,7 +121,7 @@ class Fingerprinter:
         # A term with z trailing zero bits lies in the subsets of density 2**-1 .. 2**-z. Members of the densest level
         # in use hold those of all sparser ones, so the matrix is searched once.
         densest = 1
-        while len(kept) >> densest > DENSEST:
+        while len(kept) >> densest > DENSEST and densest < self.levels:
             densest += 1
         rows, columns = np.nonzero((drawn & np.uint64((1 << densest) - 1)) == 0)
         members: dict[int, list[bytes]] = {}

@@ -394,6 +394,15 @@ def test_fingerprints_and_edits(spark, texts):
     assert all(len(p) == 1 for p in prints.values())
 
 
+def test_fingerprints_of_very_long_texts():
+    """A text with more lexicon terms than the sparsest level asks for still resembles its edited text."""
+    words = [b"word%d" % i for i in range(9000)]
+    maker = imatch.Fingerprinter(imatch.Hasher().distinct(b" ".join(words)))
+    whole, edited, other = (maker.fingerprint(b" ".join(w)) for w in (words, words[:8000], [w + b"x" for w in words]))
+    assert whole[1:].any() and 0 < maker.likeness(whole, edited) < 1 and maker.likeness(whole, other) == 0
+    assert np.array_equal(whole, maker.fingerprint(b" ".join(words)))
+
+
 @pytest.mark.parametrize("pieces", [1, 3, 40])
 def test_next_document_across_pieces(spark, odd, pieces):
     rows = [(i, f"text number {i} of many") for i in range(50)]
