@@ -25,6 +25,22 @@ SIMILAR = 0.8
 BLOCK_SETS, BLOCK_HASHES = 512, 400_000
 
 
+def run_hashes(ids: np.ndarray, size: int, factor: int) -> np.ndarray:
+    """Polynomial hash of every run of ``size`` ids; runs of one, two, four, ... ids are put together."""
+    out, done, power = None, 0, ids
+    length, weight = 1, factor
+    with np.errstate(over="ignore"):
+        while True:
+            if size & length:
+                n = len(ids) - done - length + 1
+                out = power[:n] if out is None else out[:n] * np.uint64(weight) + power[done : done + n]
+                done += length
+            if done == size:
+                return out
+            power = power[:-length] * np.uint64(weight) + power[length:]
+            length, weight = 2 * length, weight * weight % 2**64
+
+
 class Shingler:
     """Sets of hashed runs of words. Word hashes are remembered; the memory is cleared when full."""
 

@@ -5,6 +5,10 @@ and verified by exact Jaccard similarity, and of each connected component one pa
 document. Passages that stand inside longer paragraphs, or run over several short ones, are met by overlapping
 passages of whole sentences, which collide when their words are equal (similarity 1). Of any two neighbouring passages
 the one with the smaller hash is kept for the search, so equal texts keep equal passages and rows are saved.
+
+Sentences may be long, and a repeated passage may begin inside one. Therefore windows of words are passages too: of any
+``least + 1`` neighbouring windows of ``least`` words the one with the smallest hash is kept, so two texts that share
+``2 * least`` consecutive words share a kept window, wherever their sentences end.
 """
 
 from __future__ import annotations
@@ -19,9 +23,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import packed_texts, raw_texts, row_key, slices, store, words_of
+from eventloom.llm.common import mixed, packed_texts, raw_texts, row_key, slices, store, word_places, words_of
 from eventloom.llm.near import (
-    SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, band_keys, candidate_units, components, solve_units, tune_bands, unit_batch,
+    SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, band_keys, candidate_units, components, run_hashes, solve_units, tune_bands, unit_batch,
 )
 
 #: Shortest paragraph and passage, in words.
@@ -41,8 +45,38 @@ def paragraphs(text: bytes, least: int) -> Iterator[tuple[int, int, list[bytes]]
         begin += len(line) + 1
 
 
-def passages(text: bytes, least: int) -> list[tuple[int, int, bytes]]:
-    """(begin, end, digest) of runs of whole sentences with just enough words, one from each sentence, then thinned."""
+def passages(text: bytes, least: int, shingler: Shingler | None = None) -> list[tuple[int, int, bytes]]:
+    """(begin, end, digest) of the runs of sentences and the windows of words that take part in the search."""
+    return _sentence_runs(text, least) + _word_windows(text, least, shingler or Shingler())
+
+
+def _sliding(best: np.ufunc, values: np.ndarray, span: int) -> np.ndarray:
+    """``best`` (minimum or maximum) of every ``span`` neighbouring values."""
+    length = 1
+    while 2 * length <= span:
+        values, length = best(values[:-length], values[length:]), 2 * length
+    rest = span - length
+    return best(values[:-rest], values[rest:]) if rest else values
+
+
+def _word_windows(text: bytes, least: int, shingler: Shingler) -> list[tuple[int, int, bytes]]:
+    """The smallest-hash window of ``least`` words out of every ``least + 1`` neighbouring ones (of all, if fewer)."""
+    begins, ends = word_places(text)
+    if len(begins) < least:
+        return []
+    ids = shingler.ids(words_of(text))
+    first, second = mixed(run_hashes(ids, least, 0x9E3779B97F4A7C15)), mixed(run_hashes(ids, least, 0xD6E8FEB86659FD93))
+    # A window is the smallest of some neighbourhood when the largest of its neighbourhoods' minima is its own hash.
+    span = min(least + 1, len(first))
+    none = np.zeros(span - 1, np.uint64)
+    minima = np.concatenate([none, _sliding(np.minimum, first, span), none])
+    chosen = np.flatnonzero(_sliding(np.maximum, minima, span) == first)
+    digests = np.stack([first[chosen], second[chosen]], 1).tobytes()
+    return [(a, b, digests[16 * i : 16 * i + 16]) for i, (a, b) in enumerate(zip(begins[chosen].tolist(), ends[chosen + least - 1].tolist(), strict=True))]
+
+
+def _sentence_runs(text: bytes, least: int) -> list[tuple[int, int, bytes]]:
+    """Runs of whole sentences with just enough words, one from each sentence, then thinned."""
     places, texts, sizes = [], [], []
     for match in _SENTENCE.finditer(text):
         words = words_of(match.group())
@@ -90,13 +124,14 @@ def _paragraph_table(docs: DataFrame, text: str, least: int, words: int, bands:
 
 def _passage_table(docs: DataFrame, text: str, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
         for whole in batches:
             for batch in slices(whole, "_text"):
                 columns: list[list] = [[], [], [], [], []]
                 digests = []
                 for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch.column("_text")), strict=True):
                     t1, t2 = row_key(doc, raw)
-                    for begin, end, digest in passages(raw or b"", least):
+                    for begin, end, digest in passages(raw or b"", least, shingler):
                         digests.append(digest)
                         for column, value in zip(columns, (doc, t1, t2, begin, end), strict=True):
                             column.append(value)

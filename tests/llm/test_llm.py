@@ -461,6 +461,20 @@ def test_embedded_passages_go(spark, odd):
     assert paragraph_dedup.remove_repeats(odd).count() == 11
 
 
+def test_passages_inside_sentences_are_met():
+    draw = random.Random(4)
+    words = lambda n: [draw.choice(["ka", "lo", "mi", "nu", "re", "so", "ta"]) + str(draw.randrange(90)) for _ in range(n)]
+    for least in (1, 5, 25):
+        for _ in range(40):
+            shared = words(2 * least)
+            one, two = (" ".join(words(draw.randrange(9)) + shared + words(draw.randrange(70))).encode() for _ in range(2))
+            assert {d for _, _, d in paragraph_dedup.passages(one, least)} & {d for _, _, d in paragraph_dedup.passages(two, least)}
+            for begin, end, _ in paragraph_dedup.passages(one, least):
+                assert len(paragraph_dedup.words_of(one[begin:end])) >= least
+    assert not paragraph_dedup.passages(b"", 25) and not paragraph_dedup.passages(" ".join(words(24)).encode(), 25)
+    assert paragraph_dedup.passages(b"A b, C!" * 9, 25)
+
+
 # Pipeline
 
 
