@@ -2,18 +2,16 @@
 
 Paragraphs are the lines of a text. Their sets of word runs are banded for high recall, colliding paragraphs are joined
 and verified by exact Jaccard similarity, and of each connected component one paragraph stays: that of the smallest
-document. Passages that stand inside longer paragraphs, or run over several short ones, are met by overlapping
-passages of whole sentences, which collide when their words are equal (similarity 1). Of any two neighbouring passages
-the one with the smaller hash is kept for the search, so equal texts keep equal passages and rows are saved.
+document. Passages that stand inside longer paragraphs, or run over several short ones, are met word by word: every run
+of ``least`` words that also begins elsewhere goes, except at its smallest place, so of a longer common run all goes.
 
-Sentences may be long, and a repeated passage may begin inside one. Therefore windows of words are passages too: of any
-``least + 1`` neighbouring windows of ``least`` words the one with the smallest hash is kept, so two texts that share
-``2 * least`` consecutive words share a kept window, wherever their sentences end.
+Not every run of words is sent through the cluster. Of the shorter runs inside each passage the one with the smallest
+hash is its seed, so equal passages hold equal seeds, and only passages around a seed that occurs again are compared,
+by 96 bits of their hashes. Seeds and passages are sent as packed arrays dealt by hash; of equal ones each task sends one.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +30,12 @@ from eventloom.llm.near import (
 LEAST_WORDS = 25
 #: Bands and values a band: 0.995 of the pairs at just the similarity meet, with at most 24 hashes.
 BANDS, ROWS = tune_bands(SIMILAR, 0.995, 24)
-_SENTENCE = re.compile(rb"[^\n.!?]+[.!?]*")
+#: Bytes of text for one part of the packed seeds or passages.
+PART_BYTES = 8 << 20
+#: Seeds or passages that a task holds before it sends them.
+HELD = 1_000_000
+_SEED = np.dtype([("h", "<u8"), ("t1", "<i8"), ("t2", "<i8"), ("p", "<i8")])
+_PASSAGE = np.dtype([("h", "<u8"), ("g", "<u4"), ("known", "u1"), ("doc", "<i8"), ("t1", "<i8"), ("t2", "<i8"), ("a", "<i8"), ("b", "<i8")])
 
 
 def paragraphs(text: bytes, least: int) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -46,8 +49,18 @@ def paragraphs(text: bytes, least: int) -> Iterator[tuple[int, int, list[bytes]]
 
 
 def passages(text: bytes, least: int, shingler: Shingler | None = None) -> list[tuple[int, int, bytes]]:
-    """(begin, end, digest) of the runs of sentences and the windows of words that take part in the search."""
-    return _sentence_runs(text, least) + _word_windows(text, least, shingler or Shingler())
+    """(begin, end, digest) of every run of ``least`` words."""
+    begins, ends = word_places(text)
+    if len(begins) < least:
+        return []
+    h, g = _run_digests((shingler or Shingler()).ids(words_of(text)), least)
+    return [(a, b, x.tobytes() + y.tobytes()) for a, b, x, y in zip(begins.tolist(), ends[least - 1 :].tolist(), h, g)]
+
+
+def _run_digests(ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits for every run of ``least`` words."""
+    first, second = mixed(run_hashes(ids, least, 0x9E3779B97F4A7C15)), mixed(run_hashes(ids, least, 0xD6E8FEB86659FD93))
+    return first, (second >> np.uint64(32)).astype(np.uint32)
 
 
 def _sliding(best: np.ufunc, values: np.ndarray, span: int) -> np.ndarray:
@@ -59,47 +72,86 @@ def _sliding(best: np.ufunc, values: np.ndarray, span: int) -> np.ndarray:
     return best(values[:-rest], values[rest:]) if rest else values
 
 
-def _word_windows(text: bytes, least: int, shingler: Shingler) -> list[tuple[int, int, bytes]]:
-    """The smallest-hash window of ``least`` words out of every ``least + 1`` neighbouring ones (of all, if fewer)."""
-    begins, ends = word_places(text)
-    if len(begins) < least:
-        return []
-    ids = shingler.ids(words_of(text))
-    first, second = mixed(run_hashes(ids, least, 0x9E3779B97F4A7C15)), mixed(run_hashes(ids, least, 0xD6E8FEB86659FD93))
-    # A window is the smallest of some neighbourhood when the largest of its neighbourhoods' minima is its own hash.
-    span = min(least + 1, len(first))
+def _seed_words(least: int) -> int:
+    return least // 2 + 1
+
+
+def _seeds(ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the shorter runs that are the smallest of some run of ``least`` words."""
+    size = _seed_words(least)
+    hashes = mixed(run_hashes(ids, size, 0x9E3779B97F4A7C15))
+    # A seed is the smallest of some neighbourhood when the largest of its neighbourhoods' minima is its own hash.
+    span = least - size + 1
     none = np.zeros(span - 1, np.uint64)
-    minima = np.concatenate([none, _sliding(np.minimum, first, span), none])
-    chosen = np.flatnonzero(_sliding(np.maximum, minima, span) == first)
-    digests = np.stack([first[chosen], second[chosen]], 1).tobytes()
-    return [(a, b, digests[16 * i : 16 * i + 16]) for i, (a, b) in enumerate(zip(begins[chosen].tolist(), ends[chosen + least - 1].tolist(), strict=True))]
-
-
-def _sentence_runs(text: bytes, least: int) -> list[tuple[int, int, bytes]]:
-    """Runs of whole sentences with just enough words, one from each sentence, then thinned."""
-    places, texts, sizes = [], [], []
-    for match in _SENTENCE.finditer(text):
-        words = words_of(match.group())
-        if words:
-            places.append(match.span())
-            texts.append(b" ".join(words))
-            sizes.append(len(words))
-    out, last, total = [], 0, 0
-    for first in range(len(sizes)):
-        while total < least and last < len(sizes):
-            total += sizes[last]
-            last += 1
-        if total < least:
-            break
-        out.append((places[first][0], places[last - 1][1], xxhash.xxh3_128_digest(b" ".join(texts[first:last]))))
-        total -= sizes[first]
-    if len(out) < 2:
-        return out
-    # Of each two neighbours the smaller hash stays; both stay when they are equal.
-    stay = [False] * len(out)
-    for i in range(len(out) - 1):
-        stay[i if out[i][2] <= out[i + 1][2] else i + 1] = True
-    return [p for p, s in zip(out, stay, strict=True) if s]
+    minima = np.concatenate([none, _sliding(np.minimum, hashes, span), none])
+    chosen = np.flatnonzero(_sliding(np.maximum, minima, span) == hashes)
+    return chosen, hashes[chosen]
+
+
+def _groups(entries: np.ndarray, names: tuple[str, ...]) -> np.ndarray:
+    """Whether each entry, sorted by ``names``, begins a group of equal ones."""
+    new = np.zeros(len(entries), bool)
+    new[:1] = True
+    for name in names:
+        new[1:] |= entries[name][1:] != entries[name][:-1]
+    return new
+
+
+def _again(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The seeds whose hash occurs again, and one seed of each hash."""
+    entries = entries[np.argsort(entries["h"], kind="stable")]
+    new = _groups(entries, ("h",))
+    return entries[~(new & np.append(new[1:], True))], entries[new]
+
+
+def _later(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The passages that also stand at a smaller place, and each passage at its smallest place, null ids first."""
+    entries = entries[np.lexsort([entries[c] for c in ("a", "t2", "t1", "doc", "known", "g", "h")])]
+    new = _groups(entries, ("h", "g"))
+    # The same row may stand in the table twice.
+    return entries[~new & _groups(entries, ("h", "g", "known", "doc", "t1", "t2", "a"))], entries[new]
+
+
+_DEALT = pa.schema([("part", pa.int32()), ("ready", pa.bool_()), ("packed", pa.binary())])
+
+
+def _deal(held: list[np.ndarray], parts: int, meet) -> pa.RecordBatch:
+    """``meet`` inside the task: what it says of these entries is ready, what is left goes to the parts."""
+    ready, left = meet(np.concatenate(held))
+    rows = []
+    for entries, done in ((ready, True), (left, False)):
+        part = (entries["h"] % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        entries, part = entries[order], part[order]
+        begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
+        rows += [(p, done, e.tobytes()) for p, e in zip(part[begins].tolist(), np.split(entries, begins[1:]), strict=True)] if len(part) else []
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _DEALT, strict=True)], schema=_DEALT)
+
+
+def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str, ...]) -> DataFrame:
+    """``columns`` of the entries that ``meet`` gives for each part, and of those that were ready."""
+    names = [c for c in columns]
+
+    def batch_of(entries: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(entries), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(entries[c][i : i + 100_000])) for c in names], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for part, ready, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if ready:
+                    yield from batch_of(np.frombuffer(packed, kind))
+                    continue
+                if part != now and held:
+                    yield from batch_of(meet(np.concatenate(held))[0])
+                    held = []
+                now = part
+                held.append(np.frombuffer(packed, kind))
+        if held:
+            yield from batch_of(meet(np.concatenate(held))[0])
+
+    return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _paragraph_table(docs: DataFrame, text: str, least: int, words: int, bands: int, rows: int) -> DataFrame:
@@ -122,27 +174,89 @@ def _paragraph_table(docs: DataFrame, text: str, least: int, words: int, bands:
     )
 
 
-def _passage_table(docs: DataFrame, text: str, least: int) -> DataFrame:
+def _repeated_seeds(docs: DataFrame, text: str, least: int, parts: int) -> DataFrame:
+    """t1, t2, p (number of its first word) of the seeds that occur again."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
+        held, size = [], 0
         for whole in batches:
             for batch in slices(whole, "_text"):
-                columns: list[list] = [[], [], [], [], []]
-                digests = []
                 for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch.column("_text")), strict=True):
-                    t1, t2 = row_key(doc, raw)
-                    for begin, end, digest in passages(raw or b"", least, shingler):
-                        digests.append(digest)
-                        for column, value in zip(columns, (doc, t1, t2, begin, end), strict=True):
-                            column.append(value)
-                if digests:
-                    halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                    # 96 bits of the digest.
-                    yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1].astype(np.int32)), *[pa.array(c, pa.int64()) for c in columns]], names=["w1", "w2", "doc_id", "t1", "t2", "a", "b"])
+                    words = words_of(raw)
+                    if len(words) < least:
+                        continue
+                    places, hashes = _seeds(shingler.ids(words), least)
+                    entries = np.zeros(len(places), _SEED)
+                    entries["h"], entries["p"] = hashes, places
+                    entries["t1"], entries["t2"] = row_key(doc, raw)
+                    held.append(entries)
+                    size += len(entries)
+                if size > HELD:
+                    yield _deal(held, parts, _again)
+                    held, size = [], 0
+        if held:
+            yield _deal(held, parts, _again)
+
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(run, "part int, ready boolean, packed binary")
+    return _meet(dealt, parts, _SEED, _again, ("t1", "t2", "p"))
+
+
+def _later_passages(texts: DataFrame, least: int, parts: int) -> DataFrame:
+    """t1, t2, a, b of the passages that also stand at a smaller place. ``texts``: _k0 (id), t1, t2, z, ``seeds``."""
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(
-        run, "w1 long, w2 int, doc_id long, t1 long, t2 long, a long, b long"
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, shingler, span = zstandard.ZstdDecompressor(), Shingler(), least - _seed_words(least) + 1
+        held, size = [], 0
+        for batch in batches:
+            for doc, t1, t2, z, seeds in zip(*[batch.column(c).to_pylist() for c in ("_k0", "t1", "t2", "z", "seeds")], strict=True):
+                raw = open_.decompress(z)
+                begins, ends = word_places(raw)
+                h, g = _run_digests(shingler.ids(words_of(raw)), least)
+                at = np.array(seeds, np.int64)
+                change = np.zeros(len(h) + 1, np.int64)
+                np.add.at(change, np.maximum(at - span + 1, 0), 1)
+                np.add.at(change, np.minimum(at + 1, len(h)), -1)
+                near = np.flatnonzero(np.cumsum(change[:-1]) > 0)
+                entries = np.zeros(len(near), _PASSAGE)
+                entries["h"], entries["g"], entries["a"], entries["b"] = h[near], g[near], begins[near], ends[near + least - 1]
+                entries["known"], entries["doc"], entries["t1"], entries["t2"] = doc is not None, doc or 0, t1, t2
+                held.append(entries)
+                size += len(entries)
+                if size > HELD:
+                    yield _deal(held, parts, _later)
+                    held, size = [], 0
+        if held:
+            yield _deal(held, parts, _later)
+
+    dealt = texts.select("_k0", "t1", "t2", "z", "seeds").mapInArrow(run, "part int, ready boolean, packed binary")
+    return _meet(dealt, parts, _PASSAGE, _later, ("t1", "t2", "a", "b"))
+
+
+def _merged(pieces: DataFrame) -> DataFrame:
+    """t1, t2, n_removed, spans of ``pieces`` (t1, t2, cut: arrays of a, b, run)."""
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+    def union(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], np.maximum.accumulate(b[order])
+        new = np.append(True, a[1:] > b[:-1])
+        return a[new], b[np.append(np.flatnonzero(new)[1:] - 1, len(b) - 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = batch.column("cut")
+            edges, flat = cuts.offsets.to_numpy(), cuts.values
+            a, b, runs = flat.field(0).to_numpy(), flat.field(1).to_numpy(), flat.field(2).to_numpy(zero_copy_only=False)
+            numbers, spans = [], []
+            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                inside = runs[x:y]
+                n = int((~inside).sum())
+                numbers.append(n + (len(union(a[x:y][inside], b[x:y][inside])[0]) if n < y - x else 0))
+                spans.append([{"a": i, "b": j} for i, j in zip(*[v.tolist() for v in union(a[x:y], b[x:y])], strict=True)])
+            yield pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), pa.array(numbers, pa.int64()), pa.array(spans, kind)], names=["t1", "t2", "n_removed", "spans"])
+
+    return pieces.select("t1", "t2", "cut").mapInArrow(run, "t1 long, t2 long, n_removed long, spans array<struct<a:bigint,b:bigint>>")
 
 
 def _unit_rows(texts: DataFrame, words: int) -> DataFrame:
@@ -170,7 +284,7 @@ def find_repeats(
     docs: DataFrame, similar: float = SIMILAR, words: int = WORDS, least: int = LEAST_WORDS, text: str = "text",
     bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
-    """t1, t2 (key of a row by id and text), n_removed paragraphs and passages, and their sorted, merged ``spans``."""
+    """t1, t2 (key of a row by id and text), n_removed paragraphs and runs of passages, and their sorted, merged ``spans``."""
     here = F.struct("doc_id", "t1", "t2", "a")
     table = store(_paragraph_table(docs, text, least, words, bands, rows), "paragraphs")
     # Equal paragraphs are one from here on; a line in a third of all documents costs one row per task.
@@ -184,16 +298,12 @@ def find_repeats(
     owners = classed.groupBy("class").agg(F.min("first").alias("o"), F.sum("times").alias("times")).where("times > 1")
     owner = classed.select("k", "class").join(owners, "class").select("k", F.struct("o.doc_id", "o.t1", "o.t2", "o.a").alias("o"))
     gone = table.join(owner, "k").where(~here.eqNullSafe(F.col("o"))).select("t1", "t2", "a", "b")
-    again = _passage_table(docs, text, least).groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    met = store(_passage_table(docs, text, least).join(again, ["w1", "w2"]), "repeated-passages")
-    first = met.groupBy("w1", "w2").agg(F.min(here).alias("o"))
-    inside = met.join(first, ["w1", "w2"]).where(~here.eqNullSafe(F.col("o"))).select("t1", "t2", "a", "b")
-    merged = F.expr(
-        "aggregate(array_sort(collect_list(struct(a, b))), cast(array() as array<struct<a:bigint,b:bigint>>), (x, r) -> CASE"
-        " WHEN size(x) > 0 AND r.a <= element_at(x, -1).b THEN concat(slice(x, 1, size(x) - 1), array(named_struct("
-        "'a', element_at(x, -1).a, 'b', greatest(element_at(x, -1).b, r.b)))) ELSE concat(x, array(r)) END)"
-    )
-    return gone.unionByName(inside).distinct().groupBy("t1", "t2").agg(F.count("*").alias("n_removed"), merged.alias("spans"))
+    size = docs.select(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    seeds = store(_repeated_seeds(docs, text, least, parts), "repeated-seeds").groupBy("t1", "t2").agg(F.collect_set("p").alias("seeds"))
+    inside = store(_later_passages(texts.join(seeds, ["t1", "t2"]), least, parts), "later-passages")
+    cut = gone.distinct().withColumn("run", F.lit(False)).unionByName(inside.withColumn("run", F.lit(True)))
+    return _merged(cut.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "b", "run")).alias("cut")))
 
 
 def remove_repeats(

@@ -475,6 +475,29 @@ def test_passages_inside_sentences_are_met():
     assert paragraph_dedup.passages(b"A b, C!" * 9, 25)
 
 
+def test_repeated_word_runs_go_whole(spark):
+    """Against all runs of 25 words by brute force: common runs of 25 words and more, in different company each time."""
+    draw = random.Random(11)
+    word = lambda: draw.choice(["ka", "lo", "mi", "nu", "re", "so", "ta"]) + str(draw.randrange(900))
+    shared = [word() for _ in range(130)]
+    texts = [[word() for _ in range(60)] for _ in range(40)]
+    for i, length in enumerate([24, 25, 26, 30, 37, 49, 50, 51, 60, 80, 99, 130] * 3):
+        begin = draw.randrange(131 - length)
+        texts[i][30:30] = shared[begin : begin + length]
+    rows = [(i - 1 if i else None, draw.choice([", ", " ", "\n", " - "]).join(t) + ".") for i, t in enumerate(texts)]
+    seen, left = set(), []
+    for i, t in enumerate(texts):
+        keep = [True] * len(t)
+        for p in range(len(t) - 24):
+            if (run := tuple(t[p : p + 25])) in seen:
+                keep[p : p + 25] = [False] * 25
+            seen.add(run)
+        left.append([w for w, k in zip(t, keep, strict=True) if k])
+    out = by_id(paragraph_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [[w.decode() for w in words_of(bytes(out[i].kept))] for i, _ in rows] == left
+    assert sum(map(len, left)) < sum(map(len, texts)) and all(r.n_removed == len(r.spans or []) for r in out.values())
+
+
 # Pipeline
 
 
