@@ -26,7 +26,7 @@ from eventloom.llm.near import (
     SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, band_keys, candidate_units, components, run_hashes, solve_units, tune_bands, unit_batch,
 )
 
-#: Shortest paragraph and passage, in words.
+#: Shortest passage, in words. Paragraphs need the words of one shingle only.
 LEAST_WORDS = 25
 #: Bands and values a band: 0.995 of the pairs at just the similarity meet, with at most 24 hashes.
 BANDS, ROWS = tune_bands(SIMILAR, 0.995, 24)
@@ -38,8 +38,9 @@ _SEED = np.dtype([("h", "<u8"), ("t1", "<i8"), ("t2", "<i8"), ("p", "<i8")])
 _PASSAGE = np.dtype([("h", "<u8"), ("g", "<u4"), ("known", "u1"), ("doc", "<i8"), ("t1", "<i8"), ("t2", "<i8"), ("a", "<i8"), ("b", "<i8")])
 
 
-def paragraphs(text: bytes, least: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    """(begin, end, words) of the lines with enough words; byte offsets, without the line break."""
+def paragraphs(text: bytes, least: int, shingle: int = WORDS) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(begin, end, words) of the lines of ``least`` words or one shingle; byte offsets, without the line break."""
+    least = min(least, shingle)
     begin = 0
     for line in text.split(b"\n"):
         words = words_of(line)
@@ -163,7 +164,7 @@ def _paragraph_table(docs: DataFrame, text: str, least: int, words: int, bands:
                 out = []
                 for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch.column("_text")), strict=True):
                     key = row_key(doc, raw)
-                    for begin, end, found in paragraphs(raw or b"", least):
+                    for begin, end, found in paragraphs(raw or b"", least, words):
                         hashes = shingler.shingles(found)
                         out.append((doc, *key, begin, end, xxhash.xxh3_128_digest(hashes.tobytes()), len(hashes), band_keys(minhash.signature(hashes), rows)))
                 if out:
@@ -313,7 +314,8 @@ def remove_repeats(
     """One row per document: doc_id, n_bytes, n_removed, ``spans`` (byte offsets, end exclusive) and ``kept`` bytes.
 
     A repeated paragraph or passage stays where it stands in the smallest (doc_id, text key, place), null ids first.
-    Paragraphs and passages of fewer than ``least`` words are never removed, so null and empty texts stay as they are.
+    Paragraphs of fewer words than a shingle (or ``least``, if smaller) and passages of fewer than ``least`` words are
+    never removed, so null and empty texts stay as they are.
     Rows equal in id and text count as one document and keep the same parts.
     """
     found = find_repeats(docs, similar, words, least, text, bands, rows)

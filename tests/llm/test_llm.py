@@ -498,6 +498,18 @@ def test_repeated_word_runs_go_whole(spark):
     assert sum(map(len, left)) < sum(map(len, texts)) and all(r.n_removed == len(r.spans or []) for r in out.values())
 
 
+def test_short_paragraphs_go(spark):
+    """Equal and near lines of 5 to 24 words; lines of fewer words than a shingle stay."""
+    line = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [
+        (1, f"first own line of one\n{line}\nfive words in a line\nonly four words here"), (2, f"{line} more\nsecond text has its own"),
+        (3, "Only four words here\nFive words, in a LINE\nthird"), (4, "one two three four five six seven eight but nine ten eleven"),
+    ]
+    out = by_id(paragraph_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [bytes(out[i].kept).decode() for i in range(1, 5)] == [rows[0][1], "\nsecond text has its own", "Only four words here\n\nthird", rows[3][1]]
+    assert [out[i].n_removed for i in range(1, 5)] == [0, 1, 1, 0]
+
+
 # Pipeline
 
 
