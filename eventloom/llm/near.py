@@ -133,6 +133,11 @@ def candidate_units(bands: DataFrame, sizes: DataFrame) -> DataFrame:
     tagged = bands.select("k", "b", F.xxhash64("k").alias("h"))
     buckets = tagged.groupBy("b").agg(F.min("h").alias("leader"), F.max("h").alias("_last")).where("leader < _last").select(F.col("b").alias("_b"), "leader")
     members = store(tagged.join(buckets, tagged.b == buckets._b).select("k", "b", "leader"), "bucket-members")
+    return member_units(members, sizes)
+
+
+def member_units(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``candidate_units`` from stored members of common buckets: k, b, leader (one long for each bucket, of one of its sets)."""
     # Two steps towards the smallest leader around, so that a group of near copies has few homes and few units.
     near_by = store(members.join(members.groupBy("k").agg(F.min("leader").alias("home")), "k").select("k", "b", "home"), "near-by")
     around = near_by.groupBy("b").agg(F.min("home").alias("leader"))

@@ -7,7 +7,7 @@ of ``least`` words that also begins elsewhere goes, except at its smallest place
 
 Not every run of words is sent through the cluster. Of the shorter runs inside each passage the one with the smallest
 hash is its seed, so equal passages hold equal seeds, and only passages around a seed that occurs again are compared,
-by 96 bits of their hashes. Seeds and passages are sent as packed arrays dealt by hash; of equal ones each task sends one.
+by 96 bits of their hashes. Band keys, seeds and passages are sent as packed arrays dealt by hash; of equal ones each task sends one.
 """
 
 from __future__ import annotations
@@ -23,18 +23,22 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import mixed, packed_texts, raw_texts, row_key, slices, store, word_places, words_of
 from eventloom.llm.near import (
-    SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, band_keys, candidate_units, components, run_hashes, solve_units, tune_bands, unit_batch,
+    SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, band_keys, components, member_units, run_hashes, solve_units, tune_bands, unit_batch,
 )
 
 #: Shortest passage, in words. Paragraphs need the words of one shingle only.
 LEAST_WORDS = 25
-#: Bands and values a band: 0.995 of the pairs at just the similarity meet, with at most 24 hashes.
-BANDS, ROWS = tune_bands(SIMILAR, 0.995, 24)
+#: Bands and values a band: of the pairs at just the similarity all but 3e-6 meet, as in the n-gram Jaccard join.
+BANDS, ROWS = tune_bands(SIMILAR, 1 - 1e-5, 96)
+#: Band keys for one packed part.
+PART_KEYS = 400_000
 #: Bytes of text for one part of the packed seeds or passages.
 PART_BYTES = 8 << 20
 #: Seeds or passages that a task holds before it sends them.
 HELD = 1_000_000
 _SEED = np.dtype([("h", "<u8"), ("t1", "<i8"), ("t2", "<i8"), ("p", "<i8")])
+_BAND = np.dtype([("h", "<u8"), ("k1", "<u8"), ("k2", "<u8")])
+_MEMBER = np.dtype([("k1", "<u8"), ("k2", "<u8"), ("b", "<i8"), ("leader", "<i8")])
 _PASSAGE = np.dtype([("h", "<u8"), ("g", "<u4"), ("known", "u1"), ("doc", "<i8"), ("t1", "<i8"), ("t2", "<i8"), ("a", "<i8"), ("b", "<i8")])
 
 
@@ -113,6 +117,23 @@ def _later(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entries[~new & _groups(entries, ("h", "g", "known", "doc", "t1", "t2", "a"))], entries[new]
 
 
+def _distinct(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    entries = entries[np.lexsort([entries[c] for c in ("k2", "k1", "h")])]
+    return entries[:0], entries[_groups(entries, ("h", "k1", "k2"))]
+
+
+def _members(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of the band keys that several sets have, with the smallest of them as leader."""
+    entries = _distinct(entries)[1]
+    new = _groups(entries, ("h",))
+    begins = np.flatnonzero(new)
+    sizes = np.diff(np.append(begins, len(entries)))
+    out = np.zeros(len(entries), _MEMBER)
+    out["k1"], out["k2"], out["b"] = entries["k1"], entries["k2"], np.ascontiguousarray(entries["h"]).view(np.int64)
+    out["leader"] = np.repeat(np.ascontiguousarray(entries["k1"][begins]).view(np.int64), sizes)
+    return out[np.repeat(sizes > 1, sizes)], entries[:0]
+
+
 _DEALT = pa.schema([("part", pa.int32()), ("ready", pa.bool_()), ("packed", pa.binary())])
 
 
@@ -130,12 +151,17 @@ def _deal(held: list[np.ndarray], parts: int, meet) -> pa.RecordBatch:
 
 
 def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str, ...]) -> DataFrame:
-    """``columns`` of the entries that ``meet`` gives for each part, and of those that were ready."""
-    names = [c for c in columns]
+    """``columns`` (``k``: a key of 16 bytes) of the entries that ``meet`` gives for each part, and of those that were ready."""
+
+    def column(entries: np.ndarray, name: str) -> pa.Array:
+        if name != "k":
+            return pa.array(np.ascontiguousarray(entries[name]))
+        keys = pa.py_buffer(np.stack([entries["k1"], entries["k2"]], 1).tobytes())
+        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(entries), [None, keys]).cast(pa.binary())
 
     def batch_of(entries: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(entries), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(entries[c][i : i + 100_000])) for c in names], names=names)
+            yield pa.RecordBatch.from_arrays([column(entries[i : i + 100_000], c) for c in columns], names=list(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -152,13 +178,13 @@ def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str
         if held:
             yield from batch_of(meet(np.concatenate(held))[0])
 
-    return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, ", ".join("k binary" if c == "k" else f"{c} long" for c in columns))
 
 
-def _paragraph_table(docs: DataFrame, text: str, least: int, words: int, bands: int, rows: int) -> DataFrame:
+def _paragraph_table(docs: DataFrame, text: str, least: int, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, minhash = Shingler(words), MinHash(bands * rows)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
+        shingler = Shingler(words)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         for whole in batches:
             for batch in slices(whole, "_text"):
                 out = []
@@ -166,15 +192,52 @@ def _paragraph_table(docs: DataFrame, text: str, least: int, words: int, bands:
                     key = row_key(doc, raw)
                     for begin, end, found in paragraphs(raw or b"", least, words):
                         hashes = shingler.shingles(found)
-                        out.append((doc, *key, begin, end, xxhash.xxh3_128_digest(hashes.tobytes()), len(hashes), band_keys(minhash.signature(hashes), rows)))
+                        out.append((doc, *key, begin, end, xxhash.xxh3_128_digest(hashes.tobytes()), len(hashes)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "t1", "t2", "a", "b", "k", "n", "bands"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "t1", "t2", "a", "b", "k", "n"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(
-        run, "doc_id long, t1 long, t2 long, a long, b long, k binary, n long, bands array<long>"
+        run, "doc_id long, t1 long, t2 long, a long, b long, k binary, n long"
     )
 
 
+def _band_members(docs: DataFrame, text: str, least: int, words: int, bands: int, rows: int, similar: float, parts: int) -> DataFrame:
+    """k, b, leader of the paragraphs that share a band key with a different one; see ``member_units``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, minhash = Shingler(words), MinHash(bands * rows)
+        keys: list[list[int]] = []
+        seen: dict[bytes, None] = {}
+
+        def entries() -> list[np.ndarray]:
+            out = np.zeros((len(keys), bands), _BAND)
+            out["h"] = np.array(keys, np.int64).view(np.uint64)
+            names = np.frombuffer(b"".join(seen), np.uint64).reshape(-1, 2)
+            out["k1"], out["k2"] = names[:, :1], names[:, 1:]
+            return [out.ravel()]
+
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                for raw in raw_texts(batch.column("_text")):
+                    for _, _, found in paragraphs(raw or b"", least, words):
+                        hashes = shingler.shingles(found)
+                        # Another set has at best one hash more or less.
+                        if len(hashes) < similar * (len(hashes) + 1) - 1e-9:
+                            continue
+                        k = xxhash.xxh3_128_digest(hashes.tobytes())
+                        if k not in seen:
+                            seen[k] = None
+                            keys.append(band_keys(minhash.signature(hashes), rows))
+                if len(keys) * bands > HELD:
+                    yield _deal(entries(), parts, _distinct)
+                    keys, seen = [], {}
+        if keys:
+            yield _deal(entries(), parts, _distinct)
+
+    dealt = docs.select(F.col(text).alias("_text")).mapInArrow(run, "part int, ready boolean, packed binary")
+    return _meet(dealt, parts, _BAND, _members, ("k", "b", "leader"))
+
+
 def _repeated_seeds(docs: DataFrame, text: str, least: int, parts: int) -> DataFrame:
     """t1, t2, p (number of its first word) of the seeds that occur again."""
 
@@ -287,10 +350,12 @@ def find_repeats(
 ) -> DataFrame:
     """t1, t2 (key of a row by id and text), n_removed paragraphs and runs of passages, and their sorted, merged ``spans``."""
     here = F.struct("doc_id", "t1", "t2", "a")
-    table = store(_paragraph_table(docs, text, least, words, bands, rows), "paragraphs")
+    table = store(_paragraph_table(docs, text, least, words), "paragraphs")
     # Equal paragraphs are one from here on; a line in a third of all documents costs one row per task.
     sets = store(table.groupBy("k").agg(F.max("n").alias("n"), F.min(F.struct("doc_id", "t1", "t2", "a", "b")).alias("first"), F.count("*").alias("times")), "paragraph-sets")
-    units = candidate_units(table.select("k", F.explode("bands").alias("b")).distinct(), sets.select("k", "n"))
+    least_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = _band_members(docs, text, least, words, bands, rows, similar, max(least_parts, -(-sets.count() * bands // PART_KEYS)))
+    units = member_units(store(members, "bucket-members"), sets.select("k", "n"))
     wanted = units.join(sets.select("k", "first"), "k").groupBy("first.t1", "first.t2").agg(F.collect_list(F.struct("k", "first.a", "first.b", "units")).alias("wanted"))
     texts = packed_texts(docs.select("doc_id", F.col(text).alias("_t")), "_t", ["doc_id"], by="doc_id").where("z IS NOT NULL").dropDuplicates(["t1", "t2"])
     linked = store(solve_units(_unit_rows(texts.join(wanted, ["t1", "t2"]), words), similar, None), "paragraph-links")
@@ -300,7 +365,7 @@ def find_repeats(
     owner = classed.select("k", "class").join(owners, "class").select("k", F.struct("o.doc_id", "o.t1", "o.t2", "o.a").alias("o"))
     gone = table.join(owner, "k").where(~here.eqNullSafe(F.col("o"))).select("t1", "t2", "a", "b")
     size = docs.select(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    parts = max(least_parts, -(-size // PART_BYTES))
     seeds = store(_repeated_seeds(docs, text, least, parts), "repeated-seeds").groupBy("t1", "t2").agg(F.collect_set("p").alias("seeds"))
     inside = store(_later_passages(texts.join(seeds, ["t1", "t2"]), least, parts), "later-passages")
     cut = gone.distinct().withColumn("run", F.lit(False)).unionByName(inside.withColumn("run", F.lit(True)))

@@ -510,6 +510,18 @@ def test_short_paragraphs_go(spark):
     assert [out[i].n_removed for i in range(1, 5)] == [0, 1, 1, 0]
 
 
+def test_near_paragraphs_share_a_band():
+    """Pairs of just the similarity, of short and long paragraphs."""
+    bands, rows = paragraph_dedup.BANDS, paragraph_dedup.ROWS
+    assert (1 - near.SIMILAR**rows) ** bands < 1e-5
+    draw, minhash = np.random.default_rng(3), near.MinHash(bands * rows)
+    for i in range(4000):
+        common = 4 * (1 + i % 20)
+        hashes = draw.integers(0, 2**63, common + common // 4, np.uint64)
+        one, two = hashes[:common], hashes
+        assert set(near.band_keys(minhash.signature(one), rows)) & set(near.band_keys(minhash.signature(two), rows))
+
+
 # Pipeline
 
 
