@@ -20,42 +20,98 @@ from eventloom.llm.common import raw_texts, slices, words_of
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Opening or defining sentences of public licence notices.
+
+
+def _creative_commons() -> dict[str, tuple[str, ...]]:
+    """Short and long notices of the six licences in all versions, with their usual spellings."""
+    parts = {
+        "by": ("Attribution",), "by-sa": ("Attribution-ShareAlike", "Attribution-Share Alike"),
+        "by-nd": ("Attribution-NoDerivatives", "Attribution-NoDerivs", "Attribution-No Derivative Works"),
+        "by-nc": ("Attribution-NonCommercial", "Attribution-Non-Commercial", "Attribution-Noncommercial"),
+        "by-nc-sa": ("Attribution-NonCommercial-ShareAlike", "Attribution-Non-Commercial-Share Alike", "Attribution-Noncommercial-Share Alike"),
+        "by-nc-nd": ("Attribution-NonCommercial-NoDerivatives", "Attribution-NonCommercial-NoDerivs", "Attribution-Non-Commercial-No Derivative Works"),
+    }
+    out = {}
+    for short, names in parts.items():
+        for version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            where = {"4.0": "International", "3.0": "Unported"}.get(version, "Generic")
+            texts = [f"Licensed under CC {short} {version}.", f"creativecommons.org/licenses/{short}/{version}"]
+            for name in names:
+                for article in ("a", "the"):
+                    texts += [f"licensed under {article} Creative Commons {name} {version} License", f"licensed under {article} Creative Commons {name} {version} {where} License"]
+                texts.append(f"This work is licensed under a Creative Commons {name} {version} {where} License.")
+            out[f"cc-{short}-{version}"] = tuple(dict.fromkeys(texts))
+    return out
+
+
+def _gnu() -> dict[str, tuple[str, ...]]:
+    out = {}
+    for label, name, title, versions in (
+        ("gpl", "General", "GNU General Public License", ("1", "2", "3")), ("agpl", "Affero General", "GNU Affero General Public License", ("3",)),
+        ("lgpl", "Lesser General", "GNU Lesser General Public License", ("2.1", "3")), ("lgpl", "Library General", "GNU Library General Public License", ("2",)),
+    ):
+        for version in versions:
+            number = version if "." in version else f"{version}.0"
+            thing = "library" if label == "lgpl" else "program"
+            out[f"{label}-{number}"] = (
+                f"licensed under the {title}, version {version}.", f"{title} version {version}", f"{title} v{version}", f"Licensed under {label.upper()} {number}", f"Licensed under {label.upper()}v{version}",
+                f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public License as"
+                f" published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+                f"This {thing} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} Public License"
+                f" version {version} as published by the Free Software Foundation",
+            )
+    return out
+
+
+# Sentences of public licences and of their usual notices, each sentence for itself.
 TEMPLATES = {
     "mit": (
-        "Released under the MIT License.",
+        "Released under the MIT License.", "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
         " documentation files (the \"Software\"), to deal in the Software without restriction",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the"
+        " Software, and to permit persons to whom the Software is furnished to do so",
+    ),
+    "isc": (
+        "Licensed under the ISC License.", "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided"
+        " that the above copyright notice and this permission notice appear in all copies.",
     ),
     "apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0.", "Released under the Apache License 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
         " compliance with the License.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive,"
+        " no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
         " the following conditions are met",
-        "Released under the BSD License.",
-    ),
-    "gpl-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
-        " Public License as published by the Free Software Foundation",
+        "Released under the BSD License.", "Licensed under the BSD License.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in"
+        " the documentation and/or other materials provided with the distribution.",
+        "may be used to endorse or promote products derived from this software without specific prior written permission",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at",
+        "Licensed under the Mozilla Public License, version 2.0.",
+        "Each Contributor hereby grants You a world-wide, royalty-free, non-exclusive license under intellectual property rights (other than"
+        " patent or trademark) Licensable by such Contributor",
     ),
-    "cc-by-4.0": (
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-    ),
-    "cc-by-sa-4.0": (
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
+    "cc0-1.0": (
+        "Licensed under CC0 1.0.", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication", "creativecommons.org/publicdomain/zero/1.0",
+        "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to"
+        " the work worldwide under copyright law",
     ),
     "unlicense": (
         "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a"
+        " compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ),
+    **_gnu(),
+    **_creative_commons(),
 }
 #: Shortest match, in words, that may take part in a span (whole templates of fewer words always may).
 SHORTEST = 3

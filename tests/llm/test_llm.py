@@ -370,6 +370,22 @@ def test_phrases_equal_brute_force(spark, texts):
         assert out[i].base_labels == ",".join(sorted({label for _, label in places})) and set(out[i].base_labels.split(",")) - {""} <= set(out[i].labels.split(","))
 
 
+def scanned(text):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES, licenses.SHORTEST, licenses.GAP, licenses.COVERED)
+    return [name for _, _, name, _ in scanner.scan(text.encode())[2]]
+
+
+@pytest.mark.parametrize(("text", "label"), [
+    ("Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0"), ("Licensed under CC BY-NC-SA 3.0.", "cc-by-nc-sa-3.0"), ("Licensed under CC0 1.0.", "cc0-1.0"),
+    ("Licensed under CC BY 4.0.", "cc-by-4.0"), ("Licensed under CC BY-SA 4.0.", "cc-by-sa-4.0"), ("Licensed under CC BY-ND 2.5", "cc-by-nd-2.5"),
+    ("Licensed under the GNU General Public License, version 3.", "gpl-3.0"), ("Licensed under the GNU Lesser General Public License, version 2.1.", "lgpl-2.1"),
+    ("Licensed under the GNU Affero General Public License, version 3.", "agpl-3.0"), ("Released under the MIT License.", "mit"),
+    ("Licensed under the Apache License, Version 2.0.", "apache-2.0"), ("Licensed under the ISC License.", "isc"),
+])
+def test_each_licence_line_gets_its_label(text, label):
+    assert set(scanned("Some words. " + text + " More of them.")) == {label}
+
+
 def test_words_are_those_of_the_pattern():
     pattern = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     for text in ("Ab été_1 \x7f x\x85y z Ä-Ö", "A B", "　"):
