@@ -2,7 +2,8 @@
 
 The automaton holds every run of words of every template. Streaming a text through it gives, at each word, the longest
 run ending there that some template contains (matching statistics). Maximal long matches are chained, in text and
-template order, into spans; a span that covers enough of its template names it. Phrases are found by the same stream:
+template order, into spans; a span that covers enough of its template, and
+has all the words that tell the licence from others, names it. Phrases are found by the same stream:
 a phrase ends at a word when its state lies on the suffix path of the current one and the match is long enough.
 """
 
@@ -117,6 +118,11 @@ TEMPLATES = {
 SHORTEST = 3
 #: Words that may lie between two matches of one span, in the text and in the template.
 GAP = 4
+#: Words that tell licences apart, with the one-digit numbers of versions: see ``Scanner.told``.
+TELLING = frozenset(
+    b"nc nd sa noncommercial commercial noderivatives noderivs derivatives derivative derivs sharealike alike lesser library affero mit"
+    b" apache bsd isc mpl mozilla gpl lgpl agpl cc0 zero".split()
+)
 #: Share of a template's words that a span must cover.
 COVERED = 0.75
 
@@ -207,7 +213,7 @@ class Scanner:
     def __init__(self, templates: dict[str, tuple[str, ...]], phrases: dict[str, str], shortest: int, gap: int, covered: float) -> None:
         self.names = [name for name, texts in templates.items() for _ in texts]
         words = [words_of(t.encode()) for texts in templates.values() for t in texts]
-        self.sizes = [len(w) for w in words]
+        self.words, self.sizes = words, [len(w) for w in words]
         self.labels = list(phrases.values())
         self.automaton = Automaton(words, [words_of(p.encode()) for p in phrases])
         self.shortest, self.gap, self.covered = shortest, gap, covered
@@ -216,7 +222,8 @@ class Scanner:
         """Number of words, phrase places (start, end, label) and template spans (start, end, name, coverage)."""
         automaton = self.automaton
         get = automaton.numbers.get
-        numbers = [get(w, 0) for w in words_of(text)]
+        words = words_of(text)
+        numbers = [get(w, 0) for w in words]
         places, matches = [], []
         before = None
         for i, state, matched in automaton.stream(numbers) if any(numbers) else ():
@@ -228,10 +235,32 @@ class Scanner:
             before = (i, state, matched)
         if before:
             matches.append(before)
-        spans = self._chain([m for m in matches if m[2] >= self.shortest])
+        spans = self._chain([m for m in matches if m[2] >= self.shortest], words)
         return len(numbers), sorted(places), spans
 
-    def _chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float]]:
+    def told(self, t: int, first: int, end: int, words: list[bytes]) -> bool:
+        """Whether the text between two places tells the same licence as the template.
+
+        All telling words of the template must be there in order, each with its neighbours, and no other ones. Version
+        numbers count in templates that have some. Neither may the text go on with a telling word that is not the template's.
+        """
+        own = self.words[t]
+        digits = any(len(w) == 1 and w.isdigit() for w in own)
+
+        def telling(w: bytes) -> bool:
+            return w in TELLING or (digits and len(w) == 1 and w.isdigit())
+
+        inside = words[first:end]
+        at, here = [i for i, w in enumerate(own) if telling(w)], [i for i, w in enumerate(inside) if telling(w)]
+        if [own[i] for i in at] != [inside[i] for i in here]:
+            return False
+        for i, j in zip(at, here, strict=True):
+            if i and (not j or own[i - 1] != inside[j - 1]) or i + 1 < len(own) and own[i + 1] != (inside[j + 1] if j + 1 < len(inside) else None):
+                return False
+        after = words[end] if end < len(words) else b""
+        return not (after in TELLING or (len(own[-1]) == 1 and own[-1].isdigit() and len(after) == 1 and after in b"123456789")) or not at
+
+    def _chain(self, matches: list[tuple[int, int, int]], words: list[bytes]) -> list[tuple[int, int, str, float]]:
         """Chain matches of one template whose text and template places both go on with small gaps."""
         open_spans: dict[int, list[list[int]]] = {}
         done: list[tuple[int, int, int, int]] = []
@@ -258,12 +287,16 @@ class Scanner:
                 open_spans[t] = kept
         for t, spans in open_spans.items():
             done += [(t, first, last, count) for first, last, _, count in spans]
+        good = [(t, first, last, count) for t, first, last, count in done if count >= self.covered * self.sizes[t] and self.told(t, first, last, words)]
+        # Of overlapping spans those stay that cover most words; equal ones all stay.
         best: dict[tuple[int, int, str], float] = {}
-        for t, first, last, count in done:
-            share = count / self.sizes[t]
-            if share >= self.covered:
-                key = (first, last, self.names[t])
-                best[key] = max(share, best.get(key, 0.0))
+        kept: list[tuple[int, int, int]] = []
+        for t, first, last, count in sorted(good, key=lambda g: -g[3]):
+            if any(first < y and x < last and n > count for x, y, n in kept):
+                continue
+            kept.append((first, last, count))
+            key = (first, last, self.names[t])
+            best[key] = max(count / self.sizes[t], best.get(key, 0.0))
         return sorted((a, b, name, min(1.0, share)) for (a, b, name), share in best.items())
 
 
@@ -287,8 +320,8 @@ def scan_licenses(
 ) -> DataFrame:
     """``keep``, n_words, phrase ``places`` and template ``spans`` (words from 0, end exclusive) of every whole text.
 
-    Null and empty texts have no words, places or spans. Overlapping spans of several templates are all reported; of
-    equal spans of one template the better coverage stays. The templates are parameters of a few kilobytes.
+    Null and empty texts have no words, places or spans. Of overlapping spans those that cover most words are
+    reported; of equal spans of one template the better coverage stays. The templates are parameters of a few kilobytes.
     """
     settings = (tuple(templates.items()), tuple(phrases.items()), shortest, gap, covered)
 

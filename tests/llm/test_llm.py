@@ -386,6 +386,18 @@ def test_each_licence_line_gets_its_label(text, label):
     assert set(scanned("Some words. " + text + " More of them.")) == {label}
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("This work is licensed under the GNU General Public License, version 2.", {"gpl-2.0"}),
+    ("This work is licensed under the GNU General Public License, version 9.", set()),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", {"cc-by-nc-4.0"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", {"cc-by-nc-nd-4.0"}),
+    ("This work is licensed under a Creative Commons Attribution-Restricted 4.0 International License.", set()),
+    ("Licensed under CC BY 4.1.", set()), ("Licensed under the Apache License, Version 1.1.", set()),
+])
+def test_near_misses_get_no_other_label(text, labels):
+    assert set(scanned("Some words. " + text + " More of them.")) == labels
+
+
 def test_words_are_those_of_the_pattern():
     pattern = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     for text in ("Ab été_1 \x7f x\x85y z Ä-Ö", "A B", "　"):
