@@ -28,8 +28,6 @@ LEVELS, SUBSETS = 10, 16
 #: A subset with more members than this on average says nothing after an edit and is left out, but the
 #: sparsest level always stays, so that very long texts have hashes too.
 DENSEST = 2
-#: Most terms of a lexicon that may be broadcast (8 bytes each); beyond it the lower end of the band is raised.
-MOST_TERMS = 2_000_000
 
 
 class WordHashes(dict[bytes, int]):
@@ -83,14 +81,14 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.groupBy("term").agg(F.sum("n").alias("n_docs"))
 
 
-def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, text: str = "text", most: int = MOST_TERMS) -> np.ndarray:
+def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, text: str = "text") -> np.ndarray:
     """Sorted hashes of the terms within the band, from all documents.
 
-    The band always holds terms of at least one document, so tiny corpora keep theirs.
+    No term of the band is left out; the band bounds the lexicon (8 bytes a term). The band always holds terms of at least one document, so tiny corpora keep theirs.
     """
     total = docs.count()
     counts = document_frequencies(docs, text).where((F.col("n_docs") <= max(1.0, high * total)) & (F.col("n_docs") >= low * total))
-    got = counts.orderBy(F.desc("n_docs"), "term").limit(most).select("term").toArrow().column(0)
+    got = counts.select("term").toArrow().column(0)
     return np.sort(got.to_numpy().astype(np.int64).view(np.uint64))
 
 

@@ -422,6 +422,11 @@ def test_fingerprints_and_edits(spark, texts):
     assert all(len(p) == 1 for p in prints.values())
 
 
+def test_lexicon_holds_the_whole_band(spark):
+    docs = spark.range(1).selectExpr("concat_ws(' ', transform(sequence(1, 2000100), i -> hex(i))) AS text")
+    assert len(imatch.lexicon(docs)) == 2_000_100
+
+
 def test_fingerprints_of_very_long_texts():
     """A text with more lexicon terms than the sparsest level asks for still resembles its edited text."""
     words = [b"word%d" % i for i in range(9000)]
