@@ -69,7 +69,7 @@ def test_batches_one_by_one(spark, drop, tmp_path):
     assert sorted(r.batch for r in batches.processed_batches(spark, ledger).collect()) == done
     drop("incoming/batch_004", "p.jsonl", [event("e4", "purchase", "u", T(3))])
     assert batches.run_next_batch(spark, root, out, ledger) == "batch_004"
-    with pytest.raises(ValueError, match="no JSON Lines"):
+    with pytest.raises(ValueError, match="nothing to summarise"):
         batches.summarize_folder(spark, str(tmp_path / "absent"))
 
 
