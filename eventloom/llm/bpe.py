@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import slices
+from eventloom.llm.common import slices, text_first
 
 NO_PAIR = np.int32(2**31 - 1)
 #: Matches longer than this many bytes merge with a heap over the same pair table, because one merge per round would
@@ -227,12 +227,12 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(shared.value)
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                coded = bpe.encode_batch([t or "" for t in batch.column("_text").to_pylist()])
+            for batch in slices(whole, 0):
+                coded = bpe.encode_batch([t or "" for t in batch.column(0).to_pylist()])
                 column = pa.array([c.tobytes() for c in coded], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], column], names=[*keep, into])
 
-    source = df.select(F.col(text).alias("_text"), *[F.col(f"`{c}`") for c in keep])
+    source = text_first(df, text, keep)
     schema = df.select(*[f"`{c}`" for c in keep], F.lit(b"").alias(into)).schema
     return source.mapInArrow(run, schema)
 

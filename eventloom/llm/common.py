@@ -37,7 +37,15 @@ def raw_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def text_first(df: DataFrame, text: str, keep: list[str] | tuple[str, ...]) -> DataFrame:
+    """The text as the first column, under a name none of the kept columns has, then ``keep``."""
+    name, taken = "_text", {c.lower() for c in keep}
+    while name in taken:
+        name += "_"
+    return df.select(F.col(text).alias(name), *[F.col(f"`{c}`") for c in keep])
+
+
+def slices(batch: pa.RecordBatch, column: str | int, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch whose ``column`` holds about ``most_bytes`` at most, so that memory follows the text and not the row count."""
     lengths = batch.column(column).cast(pa.large_binary())
     sizes = np.diff(np.frombuffer(lengths.buffers()[1], np.int64)[lengths.offset : lengths.offset + len(lengths) + 1])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import raw_texts, slices, store, words_of
+from eventloom.llm.common import raw_texts, slices, store, text_first, words_of
 
 BLOCK = 2
 #: Text bytes of the benchmark rows searched for at a time. A larger benchmark is searched in several such blocks.
@@ -121,8 +121,8 @@ def scan(docs: DataFrame, matcher, text: str = "text", keep: tuple[str, ...] = (
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = matcher.value
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                found = [search.scan(t) for t in raw_texts(batch.column("_text"))]
+            for batch in slices(whole, 0):
+                found = [search.scan(t) for t in raw_texts(batch.column(0))]
                 items = [sorted({search.items[k] for k in f} - {None}) + [None] * (None in {search.items[k] for k in f}) for _, _, f in found]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[1:], pa.array([n for n, _, _ in found], pa.int64()),
@@ -131,7 +131,7 @@ def scan(docs: DataFrame, matcher, text: str = "text", keep: tuple[str, ...] = (
                 )
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [SCAN_TYPE])
-    return docs.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
+    return text_first(docs, text, keep).mapInArrow(run, schema)
 
 
 def decontaminate(

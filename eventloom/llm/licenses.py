@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import raw_texts, slices, words_of
+from eventloom.llm.common import raw_texts, slices, text_first, words_of
 
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -328,8 +328,8 @@ def scan_licenses(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(*settings)
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                found = [scanner.scan(t) for t in raw_texts(batch.column("_text"))]
+            for batch in slices(whole, 0):
+                found = [scanner.scan(t) for t in raw_texts(batch.column(0))]
                 places = [[{"first": a, "end": b, "label": c} for a, b, c in p] for _, p, _ in found]
                 spans = [[{"first": a, "end": b, "template": c, "covered": s} for a, b, c, s in p] for _, _, p in found]
                 yield pa.RecordBatch.from_arrays(
@@ -338,7 +338,7 @@ def scan_licenses(
                 )
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [SCAN_TYPE])
-    return docs.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
+    return text_first(docs, text, keep).mapInArrow(run, schema)
 
 
 def digests(scanned: DataFrame) -> DataFrame:

@@ -370,9 +370,12 @@ def remove_repeats(
 
 
 def digests(removed: DataFrame) -> DataFrame:
-    """doc_id, sizes, number of removed spans and the digest of what remains."""
+    """doc_id, sizes, number of removed spans, the digest of what remains, and that as text (cut characters become U+FFFD)."""
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["b"] - s["a"]))
-    return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return removed.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+    )
 
 
 def rewrite(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_bytes: int = HOT_BYTES) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.bpe import read_vocabulary
-from eventloom.llm.common import slices, store
+from eventloom.llm.common import slices, store, text_first
 
 #: Lengths are summed in ranges of this width first, so no task sees all lengths.
 RANGE = 1024
@@ -36,11 +36,11 @@ def token_lengths(df: DataFrame, vocabulary_path: str, pattern: str, text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(shared.value)
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                counts = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch.column("_text").to_pylist()]
+            for batch in slices(whole, 0):
+                counts = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(counts, pa.int64())], names=[*keep, "n_tokens"])
 
-    source = df.select(F.col(text).alias("_text"), *keep)
+    source = text_first(df, text, keep)
     return source.mapInArrow(run, df.select(*keep, F.lit(0).cast("long").alias("n_tokens")).schema)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import raw_texts, slices, words_of
+from eventloom.llm.common import raw_texts, slices, text_first, words_of
 
 #: Labelled documents per class that the model is fitted on, chosen by a hash of their id; longer texts are not used
 #: for fitting (they are scored whole).
@@ -366,13 +366,13 @@ def score_toxicity(df: DataFrame, model: Model, text: str = "text", keep: tuple[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                scores, facts, spans = scorer.score(raw_texts(batch.column("_text")))
+            for batch in slices(whole, 0):
+                scores, facts, spans = scorer.score(raw_texts(batch.column(0)))
                 columns = [pa.array(scores, pa.float64()), pa.array([e for e, _ in facts], pa.float64()), pa.array([[{"first": a, "end": b} for a, b in s] for s in spans], kind)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=[*keep, "score", "expected", "spans"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema] + ["score double, expected double, spans array<struct<first:bigint,end:bigint>>"])
-    return df.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
+    return text_first(df, text, keep).mapInArrow(run, schema)
 
 
 def kept_documents(docs: DataFrame, model: Model, limit: float = 0.3, text: str = "text") -> DataFrame:

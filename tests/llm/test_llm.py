@@ -568,7 +568,7 @@ def test_stages_one_by_one(spark, texts, tables):
     expected = classes_of(sorted(texts.items()))
     assert joined == {expected[i][0] if i in expected else i for i in texts}
     raws = {i: t.encode() for i, t in texts.items()}
-    left = {i: bytes(c for c, m in zip(r, mask, strict=True) if not m) for (i, r), mask in zip(raws.items(), covered(list(raws.values()), 400), strict=True)}
+    left = {i: bytes(c for c, m in zip(r, mask, strict=True) if not m) for (i, r), mask in zip(raws.items(), covered(list(raws.values()), corpus_pipeline.REPEAT_BYTES), strict=True)}
     cut = {r.doc_id: (r.text, r.n_chars) for r in stages["suffix_array_dedup"](spark, docs, SMALL).collect()}
     assert cut == {i: (t, len(t)) for i, raw in left.items() if (t := raw.decode("utf-8", "ignore")) or not raws[i]}
     items = [(i, t.encode()) for i, t in tables("SELECT item_id, text FROM benchmark")]
@@ -582,3 +582,25 @@ def test_pipeline_runs(spark, encoding):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert rows and all(len(r.token_ids) % 4 == 0 for r in rows)
     assert public_tokenizers.PATTERN == PATTERN
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    for table in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_on_odd_rows(spark, odd, tmp_path):
+    """Null ids and texts, empty and long texts, equal rows and clashing columns go through every stage and the whole run."""
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, None), (1, ""), (2, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    count = {name: stage(spark, odd, str(tmp_path)).count() for name, stage in stages.items()}
+    # Without labels nothing is toxic; equal rows and the two long texts keep one each; the run of one letter vanishes;
+    # the three rows with the benchmark's words go.
+    assert count["toxicity"] == count["byte_bpe"] == 11 and count["benchmark_decontamination"] == 8
+    for name in list(stages)[:-1]:
+        assert stages[name](spark, odd, str(tmp_path)).columns == odd.columns
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {None, 2, 6} <= {r.doc_id for r in rows} and not [r for r in rows if r.doc_id == 5]
