@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bpe, decontaminate, divergence, imatch, jaccard_join, licenses, paragraph_dedup, suffix_dedup, token_counts, toxicity, warc
+from eventloom.llm import bpe, collocations, decontaminate, divergence, imatch, jaccard_join, licenses, paragraph_dedup, suffix_dedup, token_counts, toxicity, warc
 from eventloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return paragraph_dedup.digests(paragraph_dedup.remove_repeats(_table(spark, folder, "documents")))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of two to four words of every language."""
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """Every source of every language beside the other sources and the whole language."""
     return divergence.divergence(_table(spark, folder, "documents"))
@@ -87,7 +92,10 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_byte_bpe, op3_token_counts, op4_suffix_dedup, op5_toxicity, op6_warc, op7_jaccard_join, op8_licenses,
-        op9_imatch, op10_paragraph_dedup, op13_source_divergence,
+        op9_imatch, op10_paragraph_dedup, op12_collocations, op13_source_divergence,
     )
 }
-SQL: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op13_source_divergence": divergence.ORACLE}
+SQL: dict[str, str] = {
+    "op1_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op12_collocations": collocations.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
+}
