@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bpe, collocations, decontaminate, divergence, imatch, jaccard_join, licenses, paragraph_dedup, suffix_dedup, token_counts, toxicity, warc
+from eventloom.llm import bpe, chunk_bpe, collocations, decontaminate, divergence, imatch, jaccard_join, licenses, paragraph_dedup, suffix_dedup, token_counts, toxicity, warc
 from eventloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,6 +79,12 @@ def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return paragraph_dedup.digests(paragraph_dedup.remove_repeats(_table(spark, folder, "documents")))
 
 
+def op11_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded with shared chunks encoded once, and decoded again."""
+    coded = chunk_bpe.encode(_table(spark, folder, "documents"), TOKENIZER, keep=["doc_id"])
+    return bpe.digests(chunk_bpe.decode(coded, TOKENIZER))
+
+
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """The best phrases of two to four words of every language."""
     return collocations.collocations(_table(spark, folder, "documents"))
@@ -92,7 +99,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_byte_bpe, op3_token_counts, op4_suffix_dedup, op5_toxicity, op6_warc, op7_jaccard_join, op8_licenses,
-        op9_imatch, op10_paragraph_dedup, op12_collocations, op13_source_divergence,
+        op9_imatch, op10_paragraph_dedup, op11_chunk_bpe, op12_collocations, op13_source_divergence,
     )
 }
 SQL: dict[str, str] = {
