@@ -11,6 +11,7 @@ from eventloom.plans.registry import Tables, query
 from eventloom.plans.windows import _HISTORY, priority_history
 from eventloom.session import cut_lineage
 from eventloom.sources.files import load_history as history_of_loads
+from eventloom.streaming import ingest
 from eventloom.warehouse import bronze, changes, gold, governance, silver
 
 
@@ -43,11 +44,25 @@ def _with(sql: str) -> str:
     return f"WITH {_BRONZE}\n{sql}"
 
 
-@query(_with("SELECT source_file, 'events' AS stream_topic, 'run_001' AS ingest_run_id, count(*) AS n, max(loaded_at) AS loaded_at FROM bronze GROUP BY 1"))
+@query(_with("""SELECT source_file, 'events' AS stream_topic, CASE WHEN base_id % 10 < 5 THEN 'run_001' ELSE 'run_003' END AS ingest_run_id,
+ line_no % 131 = 0 AS malformed, CASE WHEN line_no % 131 <> 0 THEN event_id END AS event_id, CASE WHEN line_no % 131 <> 0 THEN source END AS source
+FROM bronze"""))
 def bronze_load(t: Tables) -> DataFrame:
-    rows = bronze_rows(t).where(F.col("raw_payload").isNotNull())
-    return rows.groupBy("source_file", "stream_topic", "ingest_run_id").agg(
-        F.count("*").alias("n"), F.max("loaded_at").alias("loaded_at")
+    # Half of the files arrive; the load is run twice; the others arrive and it runs again. Some lines are cut short.
+    landing, paths = t.scratch("bronze-landing"), ingest.Paths(t.scratch("bronze"))
+    cut = F.when(F.pmod("line_no", F.lit(131)) == 0, F.left("value", F.lit(20))).otherwise(F.col("value")).alias("value")
+    lines = raw_lines(t).select(F.col("source_file").alias("file"), cut)
+    first = F.substring("file", 7, 2).cast("int") < 5
+    lines.where(first).write.partitionBy("file").text(f"{landing}/first")
+    for run in ("run_001", "run_002"):
+        bronze.append_bronze(t.spark, landing, paths, "events", run)
+    lines.where(~first).write.partitionBy("file").text(f"{landing}/second")
+    bronze.append_bronze(t.spark, landing, paths, "events", "run_003")
+    rows = t.spark.read.parquet(paths.rows)
+    return rows.select(
+        F.regexp_extract("source_file", "file=([^/]+)/", 1).alias("source_file"), "stream_topic", "ingest_run_id",
+        F.col("raw_payload").isNull().alias("malformed"), F.try_variant_get("raw_payload", "$.event_id", "string").alias("event_id"),
+        F.try_variant_get("raw_payload", "$.source", "string").alias("source"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions import variants
@@ -11,8 +11,9 @@ from eventloom.plans.adapters import payload_events, with_feed
 from eventloom.plans.aggregates import VALID_SQL
 from eventloom.plans.registry import Tables, query
 from eventloom.plans.scalars import _ERRORS_SQL
+from eventloom.session import cut_lineage
 from eventloom.sources import topics
-from eventloom.streaming import batches, ingest, keyed
+from eventloom.streaming import batches, ingest, keyed, ordering, windows
 
 _PARTITIONS = 8
 
@@ -33,12 +34,16 @@ def _topic(t: Tables, name: str) -> str:
     return path
 
 
-def _landing(t: Tables, files: int = 4) -> str:
+def _landing(t: Tables) -> str:
     path = t.scratch("landing")
-    payload_events(t).drop("line_no").repartition(files).write.json(path)
+    payload_events(t).drop("line_no").write.json(path)
     return path
 
 
+#: Files a micro-batch takes at most, so that batches and not only their number grow with the feed.
+_FILES_A_BATCH = 1000
+
+
 @query("SELECT event_id, event_type, user_id, CAST(user_id % 8 AS INT) AS partition, event_id AS \"offset\" FROM events")
 def st_kafka_source(t: Tables) -> DataFrame:
     # The connector is not on the class path here; the same plan runs on files of topic records.
@@ -53,7 +58,7 @@ def st_kafka_source(t: Tables) -> DataFrame:
 
 @query(with_feed("SELECT source, count(*) AS n FROM feed GROUP BY 1"))
 def st_file_source(t: Tables) -> DataFrame:
-    out, stream = t.scratch("taken"), ingest.file_stream(t.spark, _landing(t), max_files=1)
+    out, stream = t.scratch("taken"), ingest.file_stream(t.spark, _landing(t), max_files=_FILES_A_BATCH)
     ingest.append_parquet(stream, out, t.scratch("marks")).awaitTermination()
     return t.spark.read.parquet(out).groupBy("source").agg(F.count("*").alias("n"))
 
@@ -78,7 +83,7 @@ def st_raw_parquet(t: Tables) -> DataFrame:
 
 def _ingested(t: Tables) -> ingest.Paths:
     paths = ingest.Paths(t.scratch("ingest"))
-    stream = ingest.file_stream(t.spark, _landing(t), max_files=2)
+    stream = ingest.file_stream(t.spark, _landing(t), max_files=_FILES_A_BATCH)
     ingest.for_each_batch(stream, ingest.ingest_batch(paths), t.scratch("marks")).awaitTermination()
     return paths
 
@@ -97,7 +102,7 @@ def st_batch_metrics(t: Tables) -> DataFrame:
 @query(with_feed("SELECT event_type, source, count(*) AS event_count FROM feed GROUP BY 1, 2"))
 def st_batch_summary(t: Tables) -> DataFrame:
     out = t.scratch("per-batch")
-    stream = ingest.file_stream(t.spark, _landing(t), max_files=1)
+    stream = ingest.file_stream(t.spark, _landing(t), max_files=_FILES_A_BATCH)
     ingest.for_each_batch(stream, ingest.batch_counts(out, ["event_type", "source"]), t.scratch("marks")).awaitTermination()
     return t.spark.read.parquet(out).groupBy("event_type", "source").agg(F.sum("event_count").alias("event_count"))
 
@@ -153,10 +158,40 @@ def st_commit_after_write(t: Tables) -> DataFrame:
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS event_count FROM events GROUP BY 1, 2, 3")
-def st_windowed_agg(t: Tables) -> DataFrame:
+def st_windowed_batch(t: Tables) -> DataFrame:
     return ingest.windowed_counts(t.events, "ts", "1 hour", ["event_type"])
 
 
+@query("""WITH arrived AS (SELECT event_type, ts, (day(ts) - 1) // 10 + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS arrival,
+  date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end FROM events),
+marks AS (SELECT arrival, lag(seen) OVER (ORDER BY arrival) - INTERVAL 1 DAY AS mark, max(seen) OVER () - INTERVAL 1 DAY AS final
+ FROM (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival) AS seen FROM arrived GROUP BY arrival)),
+judged AS (SELECT a.*, coalesce(window_end <= mark, FALSE) AS late, final FROM arrived a JOIN marks m ON a.arrival = m.arrival)
+SELECT window_start, window_end, event_type, CASE WHEN any_value(window_end <= final) AND count(*) FILTER (NOT late) > 0 THEN count(*) FILTER (NOT late) END AS event_count,
+ count(*) FILTER (late) AS late_rows FROM judged GROUP BY 1, 2, 3
+HAVING count(*) FILTER (late) > 0 OR any_value(window_end <= final)""")
+def st_windowed_agg(t: Tables) -> DataFrame:
+    # Arrivals of ten days each; every fiftieth event comes with the arrival after its own. The stream is started
+    # anew for each arrival and goes on from its checkpoint.
+    landing, paths = t.scratch("arrivals"), windows.Paths(t.scratch("windows"))
+    late_by = F.when(F.pmod("event_id", F.lit(50)) == 0, 1).otherwise(0)
+    arrival = F.expr("(day(ts) - 1) div 10") + late_by
+    events = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), arrival.alias("arrival"))
+    shape = "event_id bigint, event_type string, ts timestamp"
+
+    def read() -> DataFrame:
+        return t.spark.readStream.schema(shape).option("recursiveFileLookup", True).parquet(landing)
+
+    for number in range(5):
+        events.where(F.col("arrival") == number).drop("arrival").write.parquet(f"{landing}/arrival-{number}")
+        windows.run_windows(read, paths, "ts", "1 hour", ["event_type"], "1 day")
+    late = t.spark.read.parquet(paths.late).groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("late_rows"))
+    late = late.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "late_rows")
+    both = t.spark.read.parquet(paths.closed).join(late, ["window_start", "window_end", "event_type"], "full")
+    local = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return both.select(*local, "event_type", "event_count", F.coalesce("late_rows", F.lit(0)).alias("late_rows"))
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def st_dedup(t: Tables) -> DataFrame:
     # Every event arrives twice; the repeats fall within the delay and are dropped.
@@ -171,21 +206,49 @@ def st_dedup(t: Tables) -> DataFrame:
 
 @query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")
 def st_idempotent_sink(t: Tables) -> DataFrame:
-    landing, log = t.scratch("updates"), t.scratch("log")
-    t.events.select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts")).repartition(3).write.parquet(landing)
-    shape = "user_id bigint, event_id bigint, event_type string, ts timestamp"
-    for _ in range(2):
-        # A fresh checkpoint replays everything; each batch replaces its own folder, so the state is the same.
-        stream = t.spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(landing)
-        ingest.for_each_batch(stream, keyed.upsert_log(log, "user_id", ["ts", "event_id"]), t.scratch("marks")).awaitTermination()
-    return keyed.current_rows(t.spark, log, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+    # Three arrivals, compacted after every second batch: the result is read from one snapshot and one batch after it.
+    # Then a fresh checkpoint replays everything; what it stores again changes nothing.
+    landing, log, order = t.scratch("updates"), t.scratch("log"), ["ts", "event_id"]
+    updates = t.events.select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    shape, marks = "user_id bigint, event_id bigint, event_type string, ts timestamp", t.scratch("marks")
 
+    def run(checkpoint: str) -> None:
+        stream = t.spark.readStream.schema(shape).option("recursiveFileLookup", True).parquet(landing)
+        handle = keyed.upsert_log(log, "user_id", order, compact_every=2)
+        ingest.for_each_batch(stream, handle, checkpoint).awaitTermination()
 
-@query("SELECT CAST(user_id AS VARCHAR) AS key, 1 AS n_partitions, CAST(user_id % 8 AS INT) AS partition, count(*) AS n_messages FROM events GROUP BY 1, 3")
-def st_keyed_order(t: Tables) -> DataFrame:
+    for number in range(3):
+        updates.where(F.pmod("event_id", F.lit(3)) == number).write.parquet(f"{landing}/part-{number}")
+        run(marks)
+    run(t.scratch("marks"))
+    return keyed.current_rows(t.spark, log, "user_id", order).select("user_id", "event_id", "event_type")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS key, count(DISTINCT user_id % 8) AS n_partitions, CAST(min(user_id % 8) AS INT) AS partition, count(*) AS n_messages FROM events GROUP BY 1")
+def st_key_partitions(t: Tables) -> DataFrame:
     return keyed.key_partitions(_topic_rows(t))
 
 
+@query("""WITH numbered AS (SELECT CAST(user_id AS VARCHAR) AS key, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS number FROM events),
+kept AS (SELECT * FROM numbered WHERE number % 17 <> 0)
+SELECT key, row_number() OVER (PARTITION BY key ORDER BY number) AS place, number, number - lag(number, 1, 0) OVER (PARTITION BY key ORDER BY number) - 1 AS missing,
+ CAST(event_id AS VARCHAR) AS body FROM kept WHERE ts <= (SELECT max(ts) - INTERVAL 12 HOUR FROM kept)""")
+def st_keyed_order(t: Tables) -> DataFrame:
+    # Messages carry a number in their key; every seventeenth is lost, some come up to six hours late, some twice.
+    landing, out, marks = t.scratch("messages"), t.scratch("ordered"), t.scratch("marks")
+    in_key = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    numbered = t.events.select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), F.row_number().over(in_key).cast("long").alias("number"))
+    sent = cut_lineage(numbered.where("number % 17 <> 0"))
+    sent = sent.unionByName(sent.where("event_id % 29 = 0"))
+    arrival = F.expr("cast((unix_seconds(ts) - unix_seconds(timestamp'2024-01-01') + (event_id % 7) * 3600) div (10 * 86400) as int)")
+    for number in range(4):
+        sent.where(arrival == number).write.parquet(f"{landing}/part-{number}")
+        stream = t.spark.readStream.schema(sent.schema).option("recursiveFileLookup", True).parquet(landing)
+        ordered = ordering.in_key_order(stream, "user_id", "number", "ts", "12 hours", "event_id")
+        ingest.append_parquet(ordered, out, marks).awaitTermination()
+    return t.spark.read.parquet(out).select("key", "place", "number", "missing", "body")
+
+
 @query("""SELECT event_type, user_id AS hot_key, n AS key_rows, CAST(total AS BIGINT) AS group_rows, round(n / CAST(total AS DOUBLE), 6) AS share FROM (
  SELECT event_type, user_id, count(*) AS n, sum(count(*)) OVER (PARTITION BY event_type) AS total,
   row_number() OVER (PARTITION BY event_type ORDER BY count(*) DESC, user_id DESC) AS r FROM events GROUP BY 1, 2) WHERE r = 1""")

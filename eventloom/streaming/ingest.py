@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +44,18 @@ def append_parquet(stream: DataFrame, path: str, checkpoint: str, available_now:
 
 
 def for_each_batch(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True,
+    skip_empty: bool = True,
 ) -> StreamingQuery:
-    """Run ``handle`` on every batch that has rows."""
+    """Run ``handle`` on every batch (that has rows), which is kept on executor disks meanwhile and so read once."""
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            handle(batch, batch_id)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not (skip_empty and batch.isEmpty()):
+                handle(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(guarded).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -72,12 +78,14 @@ def ingest_batch(paths: Paths, contract: Contract = DEFAULT_CONTRACT) -> Callabl
         broken = F.size("validation_errors") > 0
         good = judged.where(~broken).drop("validation_errors")
         bad = judged.where(broken).withColumn("reject_reason", F.array_join("validation_errors", "; "))
-        good.write.mode("overwrite").parquet(batch_folder(paths.valid, batch_id))
-        bad.drop("validation_errors").write.mode("overwrite").parquet(batch_folder(paths.rejected, batch_id))
-        judged.agg(
-            F.count("*").alias("input_rows"), F.count_if(~broken).alias("valid"), F.count_if(broken).alias("rejected")
-        ).write.mode("overwrite").parquet(batch_folder(paths.metrics, batch_id))
-        judged.unpersist()
+        try:
+            good.write.mode("overwrite").parquet(batch_folder(paths.valid, batch_id))
+            bad.drop("validation_errors").write.mode("overwrite").parquet(batch_folder(paths.rejected, batch_id))
+            judged.agg(
+                F.count("*").alias("input_rows"), F.count_if(~broken).alias("valid"), F.count_if(broken).alias("rejected")
+            ).write.mode("overwrite").parquet(batch_folder(paths.metrics, batch_id))
+        finally:
+            judged.unpersist()
 
     return handle
 
@@ -101,9 +109,34 @@ def log_line(batch_id: int, input_rows: int, valid: int, rejected: int) -> str:
     return f"ingest.batch batch_id={batch_id} input_rows={input_rows} valid={valid} rejected={rejected}"
 
 
+def first_in_task(rows: DataFrame, key: str, most_keys: int = 1_000_000) -> DataFrame:
+    """The first row of each key that a task meets, so that a hot key leaves a task as one row.
+
+    Works on streams, where Spark has no aggregate before the state. A task forgets its keys after ``most_keys`` of them;
+    repeats that get through are found by whatever follows.
+    """
+    place = rows.columns.index(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set = set()
+        for batch in batches:
+            new = []
+            for value in batch.column(place).to_pylist():
+                new.append(value not in met)
+                met.add(value)
+            yield batch.filter(pa.array(new, pa.bool_()))
+            if len(met) > most_keys:
+                met.clear()
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def drop_repeats(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
-    """First event per key among those within ``delay`` of each other; the state is bounded by the delay."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    """First event per key among those within ``delay`` of each other; the state is bounded by the delay.
+
+    Repeats inside a task go before the shuffle to the state.
+    """
+    return first_in_task(stream, key).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def windowed_counts(events: DataFrame, time: str, width: str, by: list[str], delay: str | None = None) -> DataFrame:

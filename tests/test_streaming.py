@@ -1,11 +1,13 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators.quality import collect_errors
 from eventloom.sources.topics import partition_of, read_topic_files
-from eventloom.streaming import batches, ingest, keyed
+from eventloom.streaming import batches, ingest, keyed, ordering, windows
+from eventloom.warehouse import bronze
 from samples import COLLECTED, T, event
 
 
@@ -157,3 +159,112 @@ def test_versions(spark):
     rows = spark.createDataFrame(list(enumerate(bodies)), "i int, b string").selectExpr("i", "parse_json(b) AS payload")
     readers = {1: lambda p: F.try_variant_get(p, "$.k", "int"), 2: lambda p: F.try_variant_get(p, "$.data.k", "int")}
     assert [(r.version, r.fields) for r in ingest.by_version(rows, readers).orderBy("i").collect()] == [(1, 1), (1, 2), (2, 3), (9, None)]
+
+
+H = "2026-06-30T{:02d}:30:00Z".format
+
+
+def test_every_row_is_in_a_window_or_kept_as_late(spark, drop, tmp_path):
+    paths = windows.Paths(str(tmp_path / "w"))
+    read = lambda: spark.readStream.schema("kind string, ts timestamp").json(str(tmp_path / "in"))
+    run = lambda: windows.run_windows(read, paths, "ts", "1 hour", ["kind"], "30 minutes")
+    drop("in", "a.jsonl", [{"kind": "a", "ts": H(h)} for h in (0, 0, 1, 4)] + [{"kind": "a"}])
+    run()
+    closed = lambda: sorted((r.window_start.hour, r.event_count) for r in spark.read.parquet(paths.closed).collect())
+    late = lambda: sorted((r.ts.hour if r.ts else -1, r.reason) for r in spark.read.parquet(paths.late).collect())
+    assert closed() == [(0, 2), (1, 1)] and late() == [(-1, "no event time")]
+    drop("in", "b.jsonl", [{"kind": "a", "ts": H(h)} for h in (1, 3, 4, 9)])
+    closing, _ = run()
+    assert sum(p.stateOperators[0].numRowsDroppedByWatermark for p in closing.recentProgress if p.stateOperators) == 2
+    # The mark stood at 04:00, so the windows of 01 and 03 had closed; 04 was open.
+    expected = [(0, 2), (1, 1), (4, 2)], [(-1, "no event time"), (1, "window closed"), (3, "window closed")]
+    assert (closed(), late()) == expected
+    run()
+    assert (closed(), late()) == expected
+
+
+def test_late_rows_survive_a_replay(spark, drop, tmp_path):
+    paths = windows.Paths(str(tmp_path / "w"))
+    for attempt in range(2):
+        for number, hours in enumerate(((5,), (1, 6), (2,))):
+            drop(f"in{attempt}", f"{number}.jsonl", [{"ts": H(h)} for h in hours])
+            stream = spark.readStream.schema("ts timestamp").json(str(tmp_path / f"in{attempt}"))
+            handle = windows.keep_late(paths, "ts", "1 hour", "1 hour")
+            ingest.for_each_batch(stream, handle, str(tmp_path / f"m{attempt}"), skip_empty=False).awaitTermination()
+        assert sorted(r.ts.hour for r in spark.read.parquet(paths.late).collect()) == [1, 2]
+
+
+def test_messages_are_put_in_order(spark, drop, tmp_path):
+    out, marks = str(tmp_path / "out"), str(tmp_path / "marks")
+
+    def run(name, messages):
+        landing = drop("in", name, [{"k": k, "n": n, "ts": f"2026-06-30T14:{m:02d}:00Z"} for k, n, m in messages])
+        stream = spark.readStream.schema("k string, n bigint, ts timestamp").json(landing)
+        ingest.append_parquet(ordering.in_key_order(stream, "k", "n", "ts", "10 minutes", "n"), out, marks).awaitTermination()
+        rows = spark.read.parquet(out).orderBy("key", "place").collect()
+        return [(r.key, r.place, r.number, r.missing, r.body) for r in rows]
+
+    first = run("a", [("x", 3, 7), ("x", 1, 1), ("y", 2, 2), ("x", 3, 7), (None, 9, 1), ("x", 6, 20)])
+    assert first == [("x", 1, 1, 0, "1"), ("x", 2, 3, 1, "3"), ("y", 1, 2, 1, "2")]
+    # Number 2 comes too late; 5 and 4 come out of order within the delay; 6 waits until the mark passes it.
+    second = run("b", [("x", 2, 6), ("x", 5, 15), ("x", 4, 12), ("y", 3, 40)])
+    assert second == [*first[:2], ("x", 3, 4, 0, "4"), ("x", 4, 5, 0, "5"), ("x", 5, 6, 0, "6"), first[2]]
+    assert run("c", [("y", 4, 55), ("x", 6, 20)]) == [*second, ("y", 2, 3, 0, "3")]
+
+
+def test_log_is_compacted_and_a_crash_leaves_it_whole(spark, tmp_path, monkeypatch):
+    log, order = str(tmp_path / "log"), ["at"]
+    rows = lambda *values: spark.createDataFrame(list(values), "k string, v int, at int")
+    state = lambda: {(r.k, r.v) for r in keyed.current_rows(spark, log, "k", order).collect()}
+    handle = keyed.upsert_log(log, "k", order, compact_every=2)
+    handle(rows(("x", 1, 1), ("y", 1, 1)), 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(keyed, "_publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            handle(rows(("x", 2, 2)), 1)
+    assert keyed.published_snapshot(spark, log) is None and state() == {("x", 2), ("y", 1)}
+    handle(rows(("x", 2, 2)), 1)  # the batch is run again
+    assert keyed.published_snapshot(spark, log) == 1 and state() == {("x", 2), ("y", 1)}
+    handle(rows(("x", 3, 2), ("z", 1, 1), ("y", 0, 0)), 2)
+    assert state() == {("x", 3), ("y", 1), ("z", 1)}  # a later batch wins a tie
+    plan = keyed.current_rows(spark, log, "k", order)
+    scans = plan._jdf.queryExecution().executedPlan().toString()
+    assert any("_snapshots/upto=1/" in f for f in plan.inputFiles()) and re.search(r"PartitionFilters: \[[^\]]*batch_id[^\]]* > 1", scans)
+    handle(rows(("w", 1, 1)), 3)
+    assert keyed.published_snapshot(spark, log) == 3 and state() == {("x", 3), ("y", 1), ("z", 1), ("w", 1)}
+    keyed.compact_log(spark, log, "k", order, 1)
+    assert keyed.published_snapshot(spark, log) == 3
+
+
+def test_bronze_takes_each_file_once(spark, tmp_path, monkeypatch):
+    landing, paths = tmp_path / "in", ingest.Paths(str(tmp_path / "bronze"))
+    landing.mkdir()
+    (landing / "a.jsonl").write_text('{"id": 1}\n{broken\n\n')
+    load = lambda run: bronze.append_bronze(spark, str(landing), paths, "events", run)
+    loaded = lambda: sorted((r.raw_text, r.raw_payload is None, r.ingest_run_id) for r in spark.read.parquet(paths.rows).collect())
+    load("r1")
+    first = [("", True, "r1"), ('{"id": 1}', False, "r1"), ("{broken", True, "r1")]
+    assert loaded() == first
+    load("r2")
+    assert loaded() == first
+    (landing / "b.jsonl").write_text('{"id": 2}\n')
+    with monkeypatch.context() as patch:
+        # The run stops after the rows and before the manifest; the next one does the batch again.
+        patch.setattr(bronze.F, "count_if", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            load("r3")
+    load("r4")
+    assert loaded() == sorted([*first, ('{"id": 2}', False, "r4")])
+    manifest = {(r.source_file.rsplit("/", 1)[1], r.lines, r.malformed, r.ingest_run_id) for r in spark.read.parquet(paths.manifest).collect()}
+    assert manifest == {("a.jsonl", 3, 2, "r1"), ("b.jsonl", 1, 0, "r4")}
+
+
+def test_a_hot_key_reaches_the_state_once_a_task(spark, drop, tmp_path):
+    landing = drop("in", "a.jsonl", [{"event_id": "hot" if i % 3 else f"e{i}", "ts": T(1)} for i in range(600)])
+    stream = spark.readStream.schema("event_id string, ts timestamp").json(landing)
+    query = ingest.append_parquet(ingest.drop_repeats(stream, "event_id", "ts", "1 hour"), str(tmp_path / "out"), str(tmp_path / "m"))
+    query.awaitTermination()
+    state = [p.stateOperators[0] for p in query.recentProgress if p.numInputRows]
+    assert state[0].numRowsUpdated == 201 and state[0].customMetrics["numDroppedDuplicateRows"] == 0
+    twice = spark.createDataFrame([(i % 5,) for i in range(40)], "k int").coalesce(1)
+    assert ingest.first_in_task(twice, "k").count() == 5 and ingest.first_in_task(twice, "k", most_keys=2).count() <= 40
