@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,6 +68,53 @@ def values_per_key(rows: DataFrame, key: str, value: str, sequence: str, size: i
     return placed.groupBy(key, piece, n_pieces).agg(F.transform(pairs, lambda p: p[value]).alias("values"))
 
 
+@dataclass(frozen=True)
+class Step:
+    """One step of ``sum_through``: rows meet ``lookup`` where ``key`` equals its ``match``, and ``attributes`` take the key's place."""
+
+    key: str
+    lookup: DataFrame
+    match: str
+    attributes: tuple[str, ...]
+    how: str = "left"
+
+
+def value_counts(rows: DataFrame, value: str, by: list[str], weight: str = "n") -> DataFrame:
+    """by, value, weight: how often each value occurs in its group (nulls left out), stored once for several figures."""
+    return cut_lineage(rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias(weight)))
+
+
+def weighted_moments(counts: DataFrame, value: str, by: list[str], weight: str = "n") -> DataFrame:
+    """by, mean, sd_pop, sd_samp of counted values. Squares are taken of the distance from the mean, so nothing cancels."""
+    number, n = F.col(value).cast("double"), F.col(weight)
+    means = counts.groupBy(*by).agg(F.sum(n).alias("_n"), (F.sum(number * n) / F.sum(n)).alias("mean"))
+    apart = attach_groups(counts, means, by, "_n", ["_n", "mean"])
+    squares = F.sum((number - F.col("mean")) ** 2 * n)
+    return apart.groupBy(*by).agg(
+        F.first("mean").alias("mean"), F.sqrt(squares / F.first("_n")).alias("sd_pop"),
+        F.sqrt(F.try_divide(squares, F.first("_n") - 1)).alias("sd_samp"),
+    )
+
+
+def sum_through(fact: DataFrame, sums: dict[str, Column], steps: list[Step], by: tuple[str, ...] = ()) -> DataFrame:
+    """Sums of a fact by attributes that lie behind foreign keys, grouped before and after each join.
+
+    The fact itself is moved once, by the key of the first step; each later join meets one row for each combination of
+    the keys and attributes still needed. A key may be an attribute of an earlier step. A lookup has one row for each key.
+    """
+    later = [{s.key for s in steps[i + 1 :]} for i in range(len(steps))]
+    groups = [c for c in dict.fromkeys([*by, *[s.key for s in steps]]) if c in fact.columns]
+    rows = fact.select(*groups, *[c.alias(n) for n, c in sums.items()])
+    totals = [F.sum(n).alias(n) for n in sums]
+    if groups == [steps[0].key]:
+        rows = rows.groupBy(*groups).agg(*totals)
+    for step, needed in zip(steps, later, strict=True):
+        side = step.lookup.select(F.col(step.match).alias("_match"), *step.attributes)
+        groups = [*[c for c in groups if c != step.key or c in needed], *step.attributes]
+        rows = rows.join(side, rows[step.key] == side["_match"], step.how).groupBy(*groups).agg(*totals)
+    return rows
+
+
 def pct_of_total(aggregated: DataFrame, measure: str, kept: list[str], name: str = "pct") -> DataFrame:
     """Share of an aggregated measure in the total over all groups with the same ``kept`` keys."""
     total = F.sum(measure).over(Window.partitionBy(*kept))
@@ -73,15 +122,13 @@ def pct_of_total(aggregated: DataFrame, measure: str, kept: list[str], name: str
 
 
 def year_over_year(aggregated: DataFrame, measure: str, year: str, period: list[str]) -> DataFrame:
-    """This year's measure beside last year's for the same period, with change and percent."""
-    last = aggregated.select(
-        (F.col(year) + 1).alias("_year"), *[F.col(p).alias(f"_{p}") for p in period], F.col(measure).alias("previous_year")
+    """This year's measure beside last year's for the same period, with change and percent; reads the aggregate once."""
+    before = F.lag(F.struct(year, measure)).over(Window.partitionBy(*period).orderBy(year))
+    rows = aggregated.withColumn("_before", before).withColumn(
+        "previous_year", F.when(F.col(f"_before.{year}") == F.col(year) - 1, F.col(f"_before.{measure}"))
     )
-    on = F.col(year) == F.col("_year")
-    for p in period:
-        on = on & F.col(p).eqNullSafe(F.col(f"_{p}"))
     change = F.col(measure) - F.col("previous_year")
-    return aggregated.join(last, on, "left").select(
+    return rows.select(
         year, *period, measure, "previous_year", change.alias("yoy_change"),
         F.round(safe_ratio(change, F.col("previous_year")), 6).alias("yoy_pct"),
     )

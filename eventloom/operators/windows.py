@@ -159,14 +159,21 @@ def running_balance(
 
 
 def exact_median(rows: DataFrame, value: str, by: list[str], pieces: int = 256, name: str = "median") -> DataFrame:
-    """Exact median per group without gathering a group's values in one task.
+    """Exact median per group without gathering a group's values in one task; equal values are counted first."""
+    return median_of_counts(rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n")), value, by, "_n", pieces, name)
 
-    Equal values are counted first. Approximate quantiles only choose where to cut the value range; the exact
-    counts per piece then tell which piece holds the middle, and only that piece is ordered.
+
+def median_of_counts(
+    counts: DataFrame, value: str, by: list[str], weight: str, pieces: int = 256, name: str = "median"
+) -> DataFrame:
+    """Exact median per group of counted values.
+
+    Approximate quantiles of the different values only choose where to cut the value range; the exact counts per piece
+    then tell which piece holds the middle, and only that piece is ordered.
     """
-    freq = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    freq = counts.select(*by, value, F.col(weight).alias("_n"))
     shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    cuts = rows.groupBy(*by).agg(
+    cuts = freq.groupBy(*by).agg(
         F.percentile_approx(value, shares, F.lit(10_000)).alias("_cuts"), F.count("*").alias("_weight")
     )
     placed = cut_lineage(

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.numbers import money, total_with_tax
 from eventloom.operators.joins import enrich
-from eventloom.operators.measures import count_by, summarize, values_per_key, word_count
+from eventloom.operators.measures import count_by, summarize, value_counts, values_per_key, weighted_moments, word_count
 from eventloom.operators.quality import collect_errors, first_reason, split_errors, split_reason
-from eventloom.operators.windows import exact_median
+from eventloom.operators.windows import median_of_counts
 from eventloom.plans.adapters import feed, flat, payload_events, users, with_feed, with_flat
 from eventloom.plans.registry import Tables, query
 from eventloom.plans.rows import WORDS_SQL
@@ -162,14 +162,12 @@ def agg_counts_kinds(t: Tables) -> DataFrame:
  round(STDDEV_POP(o_totalprice), 4) AS sd_pop, round(STDDEV_SAMP(o_totalprice), 4) AS sd_samp
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def agg_stats(t: Tables) -> DataFrame:
+    # The join is read once, for the counts of prices; all four figures come from these.
     priced = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("c_mktsegment", "o_totalprice")
-    price = "o_totalprice"
-    moments = priced.groupBy("c_mktsegment").agg(
-        F.round(F.avg(price), 4).alias("mean"), F.round(F.stddev_pop(price), 4).alias("sd_pop"),
-        F.round(F.stddev_samp(price), 4).alias("sd_samp"),
-    )
-    middle = exact_median(priced, price, ["c_mktsegment"]).withColumn("median", F.round("median", 4))
-    return moments.join(middle, "c_mktsegment")
+    by, price = ["c_mktsegment"], "o_totalprice"
+    counts = value_counts(priced, price, by)
+    figures = weighted_moments(counts, price, by).join(median_of_counts(counts, price, by, "n"), by)
+    return figures.select(*by, *[F.round(c, 4).alias(c) for c in ("mean", "median", "sd_pop", "sd_samp")])
 
 
 @query("""SELECT COUNT(*) FILTER (valid) AS good, COUNT(*) FILTER (NOT valid) AS bad FROM

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.numbers import money
 from eventloom.operators.checks import one_row
 from eventloom.operators.joins import enrich, lookup_join, outer_join, star
+from eventloom.operators.measures import Step, sum_through
 from eventloom.plans.adapters import flat, users, with_flat
 from eventloom.plans.registry import Tables, query
 
@@ -128,21 +129,20 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON
 LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
 LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
 def join_star(t: Tables) -> DataFrame:
-    joined = star(
-        t.lineitem,
+    # The two outer dimensions are flattened first; the lines are grouped by what is left of their keys at every step.
+    segments = star(t.orders, [(t.customer, F.col("o_custkey") == F.col("c_custkey"))], ["o_orderkey", "c_mktsegment"])
+    regions = star(
+        t.supplier, [(t.nation, F.col("s_nationkey") == F.col("n_nationkey")), (t.region, F.col("n_regionkey") == F.col("r_regionkey"))],
+        ["s_suppkey", F.col("r_name").alias("region")],
+    )
+    sums = sum_through(
+        t.lineitem, {"n_lines": F.lit(1).cast("long"), "sales": money(F.col("l_extendedprice"))},
         [
-            (t.orders, F.col("l_orderkey") == F.col("o_orderkey")),
-            (t.customer, F.col("o_custkey") == F.col("c_custkey")),
-            (t.part, F.col("l_partkey") == F.col("p_partkey")),
-            (t.supplier, F.col("l_suppkey") == F.col("s_suppkey")),
-            (t.nation, F.col("s_nationkey") == F.col("n_nationkey")),
-            (t.region, F.col("n_regionkey") == F.col("r_regionkey")),
+            Step("l_orderkey", segments, "o_orderkey", ("c_mktsegment",)), Step("l_partkey", t.part, "p_partkey", ("p_brand",)),
+            Step("l_suppkey", regions, "s_suppkey", ("region",)),
         ],
-        [F.col("r_name").alias("region"), "p_brand", "c_mktsegment", "l_extendedprice"],
-    )
-    return joined.groupBy("region", "p_brand", "c_mktsegment").agg(
-        F.count("*").alias("n_lines"), F.sum(money(F.col("l_extendedprice"))).cast("double").alias("sales")
     )
+    return sums.withColumn("sales", F.col("sales").cast("double"))
 
 
 @query("""SELECT d.year, count(*) FILTER (role = 'ordered') AS ordered_lines, count(*) FILTER (role = 'shipped') AS shipped_lines

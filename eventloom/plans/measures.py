@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.numbers import money, safe_ratio
@@ -14,6 +14,8 @@ from eventloom.operators.measures import (
     pct_of_total,
     retention,
     review_queue,
+    Step,
+    sum_through,
     year_over_year,
     z_scores,
 )
@@ -21,16 +23,25 @@ from eventloom.plans.adapters import flat, with_flat
 from eventloom.plans.registry import Tables, query
 
 
-def _sales(t: Tables) -> DataFrame:
-    """Order lines with the attributes the measures group by."""
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        t.customer, F.col("o_custkey") == F.col("c_custkey"), "left"
-    ).join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return joined.select(
-        F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"), "o_orderkey", "o_custkey",
-        F.col("c_mktsegment").alias("segment"), F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
-        "l_returnflag", money(F.col("l_extendedprice")).alias("amount"),
-    )
+def _orders(t: Tables, *attributes: str) -> Step:
+    """From an order line to its order; the columns a measure needs are named."""
+    made = {
+        "year": F.year("o_orderdate"), "quarter": F.quarter("o_orderdate"), "customer": F.col("o_custkey"), "order": F.col("o_orderkey")
+    }
+    lookup = t.orders.select(F.col("o_orderkey").alias("_order"), *[made[a].alias(a) for a in attributes])
+    return Step("l_orderkey", lookup, "_order", attributes, how="inner")
+
+
+def _part(t: Tables, name: str, attribute: str) -> Step:
+    return Step("l_partkey", t.part.select("p_partkey", F.col(attribute).alias(name)), "p_partkey", (name,))
+
+
+def _segment(t: Tables) -> Step:
+    return Step("customer", t.customer.select("c_custkey", F.col("c_mktsegment").alias("segment")), "c_custkey", ("segment",))
+
+
+def _amount() -> Column:
+    return money(F.col("l_extendedprice"))
 
 
 SALES_SQL = """sales AS (
@@ -43,16 +54,15 @@ SALES_SQL = """sales AS (
 @query(f"""WITH {SALES_SQL} SELECT year, CAST(SUM(amount) AS DOUBLE) AS total_sales,
  CAST(SUM(amount) FILTER (l_returnflag = 'R') AS DOUBLE) AS returned_sales FROM sales GROUP BY 1""")
 def agg_filtered(t: Tables) -> DataFrame:
-    returned = F.sum(F.when(F.col("l_returnflag") == "R", F.col("amount")))
-    return _sales(t).groupBy("year").agg(
-        F.sum("amount").cast("double").alias("total_sales"), returned.cast("double").alias("returned_sales")
-    )
+    returned = F.when(F.col("l_returnflag") == "R", _amount())
+    sums = sum_through(t.lineitem, {"total_sales": _amount(), "returned_sales": returned}, [_orders(t, "year")])
+    return sums.select("year", *[F.col(c).cast("double").alias(c) for c in ("total_sales", "returned_sales")])
 
 
 @query(f"""WITH {SALES_SQL}, g AS (SELECT year, brand, SUM(amount) AS s FROM sales GROUP BY 1, 2)
 SELECT year, brand, CAST(s AS DOUBLE) AS sales, round(CAST(s AS DOUBLE) / CAST(SUM(s) OVER (PARTITION BY year) AS DOUBLE), 6) AS pct FROM g""")
 def agg_pct_of_total(t: Tables) -> DataFrame:
-    by_brand = _sales(t).groupBy("year", "brand").agg(F.sum("amount").alias("sales"))
+    by_brand = sum_through(t.lineitem, {"sales": _amount()}, [_orders(t, "year"), _part(t, "brand", "p_brand")])
     return pct_of_total(by_brand, "sales", ["year"]).withColumn("sales", F.col("sales").cast("double"))
 
 
@@ -65,14 +75,18 @@ def agg_filter_modifiers(t: Tables) -> DataFrame:
     # and removing all filters takes the total over every row.
     outer = F.col("category").isin("ECONOMY", "PROMO")
     inner = F.col("category").isin("ECONOMY", "STANDARD")
-    by_segment = _sales(t).groupBy("segment").agg(
+    customers = t.orders.select(F.col("o_orderkey").alias("_order"), F.col("o_custkey").alias("customer"))
+    segments = customers.join(_segment(t).lookup, F.col("customer") == F.col("c_custkey"), "left").select("_order", "segment")
+    by_both = sum_through(
+        t.lineitem, {"amount": _amount()},
+        [Step("l_orderkey", segments, "_order", ("segment",), how="inner"), _part(t, "category", "p_type")],
+    )
+    by_segment = by_both.groupBy("segment").agg(
         F.sum(F.when(outer & inner, F.col("amount"))).alias("kept"),
         F.sum(F.when(inner, F.col("amount"))).alias("replaced"),
         F.sum("amount").alias("_all"),
     )
-    from pyspark.sql import Window
-
-    total = F.sum("_all").over(Window.partitionBy())
+    total = F.sum("_all").over(Window.partitionBy())  # one row for each segment
     return by_segment.select(
         "segment", F.col("kept").cast("double").alias("kept"), F.col("replaced").cast("double").alias("replaced"),
         total.cast("double").alias("everything"),
@@ -84,7 +98,7 @@ SELECT a.year, a.quarter, CAST(a.s AS DOUBLE) AS sales, CAST(b.s AS DOUBLE) AS p
  round(CAST(a.s - b.s AS DOUBLE) / CAST(b.s AS DOUBLE), 6) AS yoy_pct
 FROM g a LEFT JOIN g b ON a.year = b.year + 1 AND a.quarter = b.quarter""")
 def agg_yoy(t: Tables) -> DataFrame:
-    by_quarter = _sales(t).groupBy("year", "quarter").agg(F.sum("amount").alias("sales"))
+    by_quarter = sum_through(t.lineitem, {"sales": _amount()}, [_orders(t, "year", "quarter")])
     compared = year_over_year(by_quarter, "sales", "year", ["quarter"])
     return compared.select(
         "year", "quarter", *[F.col(c).cast("double").alias(c) for c in ("sales", "previous_year", "yoy_change")], "yoy_pct"
@@ -94,17 +108,20 @@ def agg_yoy(t: Tables) -> DataFrame:
 @query(f"""WITH {SALES_SQL} SELECT year, category, CAST(SUM(amount) AS DOUBLE) AS sales, COUNT(DISTINCT o_orderkey) AS orders
 FROM sales GROUP BY 1, 2""")
 def agg_summarize_cols(t: Tables) -> DataFrame:
-    grouped = _sales(t).groupBy("year", "category").agg(
-        F.sum("amount").cast("double").alias("sales"), F.count_distinct("o_orderkey").alias("orders")
-    )
-    return grouped.orderBy("year", F.desc("sales"))
+    # One row for each order and category, so counting rows counts orders.
+    per_order = sum_through(t.lineitem, {"sales": _amount()}, [_part(t, "category", "p_type")], by=("l_orderkey",))
+    per_order = per_order.withColumn("orders", F.lit(1).cast("long"))
+    grouped = sum_through(per_order, {"sales": F.col("sales"), "orders": F.col("orders")}, [_orders(t, "year")], by=("category",))
+    return grouped.select("year", "category", F.col("sales").cast("double").alias("sales"), "orders").orderBy("year", F.desc("sales"))
 
 
 @query(f"""WITH {SALES_SQL} SELECT segment, CAST(SUM(amount) AS DOUBLE) / COUNT(DISTINCT o_custkey) AS sales_per_customer
 FROM sales GROUP BY 1""")
 def agg_ratio_measure(t: Tables) -> DataFrame:
-    ratio = safe_ratio(F.sum("amount"), F.count_distinct("o_custkey"))
-    return _sales(t).groupBy("segment").agg(ratio.alias("sales_per_customer"))
+    per_customer = sum_through(t.lineitem, {"sales": _amount()}, [_orders(t, "customer")])
+    counted = F.when(F.col("customer").isNotNull(), 1).cast("long")
+    by_segment = sum_through(per_customer, {"sales": F.col("sales"), "customers": counted}, [_segment(t)])
+    return by_segment.select("segment", safe_ratio(F.col("sales"), F.col("customers")).alias("sales_per_customer"))
 
 
 @query("""SELECT COUNT(*) AS total_events, COUNT(DISTINCT user_id) AS distinct_entities,

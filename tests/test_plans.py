@@ -60,6 +60,37 @@ def test_parsed_json_is_not_repeated_in_filters(plan_of):
     assert not re.search(r"Filter [^\n]*parseJson", plan)
 
 
+def fact_shuffles(plan, column):
+    """How often scanned rows with ``column`` are moved before an aggregate makes them fewer."""
+    found, path = 0, []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        path = [(d, node) for d, node in path if d < depth] + [(depth, line.strip(" :+-"))]
+        if re.search(rf"FileScan parquet \[[^\]]*\b{column}#", line):
+            upward = [node.split("(")[0].split(" ")[0] for _, node in reversed(path)]
+            until = next((i for i, node in enumerate(upward) if node.endswith("Aggregate")), len(upward))
+            found += upward[:until].count("Exchange") or 1
+    return found
+
+
+@pytest.mark.parametrize("name", [
+    "join_star", "agg_filtered", "agg_pct_of_total", "agg_filter_modifiers", "agg_yoy", "agg_summarize_cols", "agg_ratio_measure",
+])
+def test_the_fact_is_moved_once(spark, plan_of, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert fact_shuffles(plan, "l_extendedprice") == 1 and "SortMergeJoin" in plan
+    used = {"agg_filtered": "c_custkey|p_partkey", "agg_yoy": "c_custkey|p_partkey", "agg_pct_of_total": "c_custkey", "agg_summarize_cols": "c_custkey", "agg_ratio_measure": "p_partkey"}
+    assert not re.search(used.get(name, "nothing"), plan)
+
+
+def test_values_are_joined_once(plan_of):
+    assert "o_totalprice" in PLANS["agg_stats"].__code__.co_consts and "o_orderkey" not in plan_of("agg_stats")
+
+
 LAZY = sorted(set(PLANS) - {n for n in PLANS if n.startswith(("st_", "sink_", "scan_", "copy_"))})
 
 

@@ -7,8 +7,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from eventloom.operators.measures import Step, sum_through, value_counts, weighted_moments, year_over_year
 from eventloom.operators.skew import attach_groups, attach_per_key, broadcast_if_small, fits_broadcast
-from eventloom.operators.windows import count_per_key, exact_median, later_copies, latest_per_key, running_balance, with_neighbour
+from eventloom.operators.windows import (
+    count_per_key, exact_median, later_copies, latest_per_key, median_of_counts, running_balance, with_neighbour,
+)
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +125,36 @@ def test_null_account_on_both_sides_of_the_limit(spark, piece_rows):
     rows = spark.createDataFrame([(a, i, Decimal(v)) for a in (None, "x") for i, v in enumerate((5, -9, 4, -7, -2, 3))], "a string, i int, v decimal(18,2)")
     out = running_balance(rows, "a", ["i"], "v", piece_rows=piece_rows).collect()
     assert sorted((r.a or "", r.i, int(r.balance)) for r in out) == [(a, i, b) for a in ("", "x") for i, b in enumerate((5, 5, 9, 2, 0, 3))]
+
+
+def test_moments_and_median_of_counted_values(spark, skewed):
+    rows, df = skewed
+    shifted = df.select("k", (F.col("v") + 1e9).alias("v")).unionByName(spark.createDataFrame([("k1", None), ("one", 5.0)], "k string, v double"))
+    frame = pd.DataFrame(rows, columns=["k", "seq", "v"]).fillna({"k": "-"})
+    groups = frame.assign(v=frame.v + 1e9).groupby("k")["v"]
+    counts = value_counts(shifted, "v", ["k"])
+    out = {r.k or "-": r for r in weighted_moments(counts, "v", ["k"]).collect()}
+    for k, values in groups:
+        assert out[k].mean == pytest.approx(values.mean()) and out[k].sd_pop == pytest.approx(values.std(ddof=0), rel=1e-6, abs=1e-6)
+        assert len(values) == 1 or out[k].sd_samp == pytest.approx(values.std(), rel=1e-6)
+    assert out["one"].sd_samp is None and out["one"].sd_pop == 0
+    middle = {r.k or "-": r.median for r in median_of_counts(counts, "v", ["k"], "n", pieces=16).collect()}
+    assert {k: v for k, v in middle.items() if k != "one"} == groups.median().to_dict()
+
+
+def test_sums_behind_foreign_keys(spark):
+    fact = spark.createDataFrame([(1, 7, 2), (1, 8, 3), (2, 7, 5), (3, None, 11), (None, 8, 13)], "o int, p int, v int")
+    orders = spark.createDataFrame([(1, "ann"), (2, "bob"), (4, "eve")], "o int, who string")
+    parts = spark.createDataFrame([(7, "red"), (8, None)], "p int, colour string")
+    people = spark.createDataFrame([("ann", "north")], "who string, region string")
+    steps = [Step("o", orders, "o", ("who",)), Step("p", parts, "p", ("colour",)), Step("who", people, "who", ("region",))]
+    got = sum_through(fact, {"s": F.col("v"), "n": F.lit(1)}, steps).collect()
+    assert {(r.region, r.colour, r.s, r.n) for r in got} == {("north", "red", 2, 1), ("north", None, 3, 1), (None, "red", 5, 1), (None, None, 24, 2)}
+    inner = sum_through(fact, {"s": F.col("v")}, [Step("o", orders, "o", ("who",), "inner")]).collect()
+    assert {(r.who, r.s) for r in inner} == {("ann", 5), ("bob", 5)}
+
+
+def test_last_year_is_the_year_before(spark):
+    rows = spark.createDataFrame([(2020, "a", 10), (2021, "a", 15), (2023, "a", 30), (2021, None, 4), (2022, None, 2)], "y int, p string, v int")
+    got = {(r.y, r.p, r.previous_year, r.yoy_change, r.yoy_pct) for r in year_over_year(rows, "v", "y", ["p"]).collect()}
+    assert got == {(2020, "a", None, None, None), (2021, "a", 10, 5, 0.5), (2023, "a", None, None, None), (2021, None, None, None, None), (2022, None, 4, -2, -0.5)}
