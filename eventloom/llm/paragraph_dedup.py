@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import mixed, packed_texts, raw_texts, row_key, slices, store, word_places, words_of
 from eventloom.llm.near import (
-    SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, band_keys, components, member_units, run_hashes, solve_units, tune_bands, unit_batch,
+    SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, components, member_units, run_hashes, solve_units, tune_bands, unit_batch,
 )
 
 #: Shortest passage, in words. Paragraphs need the words of one shingle only.
@@ -34,8 +34,15 @@ BANDS, ROWS = tune_bands(SIMILAR, 1 - 1e-5, 96)
 PART_KEYS = 400_000
 #: Bytes of text for one part of the packed seeds or passages.
 PART_BYTES = 8 << 20
-#: Seeds or passages that a task holds before it sends them.
-HELD = 1_000_000
+#: Band keys, seeds or passages that a task holds before it sends them.
+HELD = 200_000
+#: Hashes in one block of signatures.
+SIGN_BLOCK = 8192
+#: Word hashes that a task remembers.
+REMEMBERED = 300_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: As the bytes of words, with line feeds kept.
+_LINE_BYTES = bytes(10 if c == 10 else c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _SEED = np.dtype([("h", "<u8"), ("t1", "<i8"), ("t2", "<i8"), ("p", "<i8")])
 _BAND = np.dtype([("h", "<u8"), ("k1", "<u8"), ("k2", "<u8")])
 _MEMBER = np.dtype([("k1", "<u8"), ("k2", "<u8"), ("b", "<i8"), ("leader", "<i8")])
@@ -53,6 +60,104 @@ def paragraphs(text: bytes, least: int, shingle: int = WORDS) -> Iterator[tuple[
         begin += len(line) + 1
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > REMEMBERED:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+class LineSets:
+    """The paragraphs of some texts and their sets of hashed word runs, for all of them at once.
+
+    ``text``, ``begin``, ``end``: where each paragraph is; ``hashes`` from ``at[i]`` to ``at[i + 1]``: its sorted set.
+    The same paragraphs and sets as ``paragraphs`` and ``Shingler.shingles`` give one by one.
+    """
+
+    def __init__(self, texts: list[bytes | None], least: int, size: int, known: WordHashes) -> None:
+        least = min(least, size)
+        words: list[bytes] = []
+        rows: list[tuple[int, int, int, int]] = []
+        for number, raw in enumerate(texts):
+            begin = 0
+            for line in (raw or b"").translate(_LINE_BYTES).split(b"\n"):
+                found = line.split()
+                if len(found) >= least:
+                    words += found
+                    rows.append((number, begin, begin + len(line), len(found)))
+                begin += len(line) + 1
+        self.text, self.begin, self.end, counts = (np.array(c, np.int64) for c in (zip(*rows, strict=True) if rows else [()] * 4))
+        ids = known.ids(words)
+        line = np.repeat(np.arange(len(rows)), counts)
+        hashes, lines = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        if len(ids) >= size:
+            run = _run_of(ids, size, np.arange(len(ids) - size + 1))
+            inside = line[: len(run)] == line[size - 1 :]
+            hashes.append(run[inside])
+            lines.append(line[: len(run)][inside])
+        for short in range(least, size):
+            some = np.flatnonzero(counts == short)
+            hashes.append(_run_of(ids, short, (np.cumsum(counts) - counts)[some]))
+            lines.append(some)
+        every, owner = np.concatenate(hashes), np.concatenate(lines)
+        order = np.lexsort((every, owner))
+        every, owner = every[order], owner[order]
+        new = np.ones(len(every), bool)
+        new[1:] = (every[1:] != every[:-1]) | (owner[1:] != owner[:-1])
+        self.hashes = every[new]
+        self.at = np.searchsorted(owner[new], np.arange(len(rows) + 1))
+
+    def keys(self) -> list[bytes]:
+        """128 bits of each set."""
+        raw, at = self.hashes.tobytes(), (8 * self.at).tolist()
+        return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def signatures(self, chosen: np.ndarray, minhash: MinHash) -> np.ndarray:
+        """The signature of each of the chosen sets."""
+        out = np.zeros((len(chosen), len(minhash.flip)), np.uint32)
+        sizes = (self.at[1:] - self.at[:-1])[chosen]
+        upto = np.cumsum(sizes)
+        first = 0
+        while first < len(chosen):
+            before = upto[first] - sizes[first]
+            last = max(first + 1, int(np.searchsorted(upto, before + SIGN_BLOCK, side="right")))
+            if last == first + 1:
+                out[first] = minhash.signature(self.hashes[self.at[chosen[first]] : self.at[chosen[first] + 1]])
+            else:
+                places = np.arange(int(sizes[first:last].sum())) + np.repeat(self.at[chosen[first:last]] - (upto[first:last] - sizes[first:last] - before), sizes[first:last])
+                part = ((self.hashes[places] >> np.uint64(32)).astype(np.uint32)[:, None] ^ minhash.flip) * minhash.factor
+                part ^= part >> np.uint32(15)
+                out[first:last] = np.minimum.reduceat(part, upto[first:last] - sizes[first:last] - before, axis=0)
+            first = last
+        return out
+
+
+def _run_of(ids: np.ndarray, size: int, begins: np.ndarray) -> np.ndarray:
+    """The hash of the ``size`` words from each begin, as ``Shingler`` has it."""
+    with np.errstate(over="ignore"):
+        out = np.full(len(begins), np.uint64(size))
+        for k in range(size):
+            out = out * _STEP + ids[begins + k]
+    return mixed(out)
+
+
+def band_matrix(signatures: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key for each set and band of ``rows`` values."""
+    bands = signatures.shape[1] // rows
+    values = signatures[:, : bands * rows].reshape(-1, bands, rows).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        out = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), values.shape[:2])
+        for k in range(rows):
+            out = mixed(out * _STEP + values[:, :, k])
+    return out
+
+
 def passages(text: bytes, least: int, shingler: Shingler | None = None) -> list[tuple[int, int, bytes]]:
     """(begin, end, digest) of every run of ``least`` words."""
     begins, ends = word_places(text)
@@ -111,10 +216,15 @@ def _again(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _later(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The passages that also stand at a smaller place, and each passage at its smallest place, null ids first."""
+    entries = entries[np.argsort(entries["h"], kind="stable")]
+    new = _groups(entries, ("h",))
+    alone = new & np.append(new[1:], True)
+    single, entries = entries[alone], entries[~alone]
+    # Only passages with equal hashes need an order among them.
     entries = entries[np.lexsort([entries[c] for c in ("a", "t2", "t1", "doc", "known", "g", "h")])]
     new = _groups(entries, ("h", "g"))
     # The same row may stand in the table twice.
-    return entries[~new & _groups(entries, ("h", "g", "known", "doc", "t1", "t2", "a"))], entries[new]
+    return entries[~new & _groups(entries, ("h", "g", "known", "doc", "t1", "t2", "a"))], np.concatenate([single, entries[new]])
 
 
 def _distinct(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +250,7 @@ _DEALT = pa.schema([("part", pa.int32()), ("ready", pa.bool_()), ("packed", pa.b
 def _deal(held: list[np.ndarray], parts: int, meet) -> pa.RecordBatch:
     """``meet`` inside the task: what it says of these entries is ready, what is left goes to the parts."""
     ready, left = meet(np.concatenate(held))
+    held.clear()
     rows = []
     for entries, done in ((ready, True), (left, False)):
         part = (entries["h"] % np.uint64(parts)).astype(np.int32)
@@ -183,18 +294,15 @@ def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str
 
 def _paragraph_table(docs: DataFrame, text: str, least: int, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        known = WordHashes()
         for whole in batches:
             for batch in slices(whole, "_text"):
-                out = []
-                for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch.column("_text")), strict=True):
-                    key = row_key(doc, raw)
-                    for begin, end, found in paragraphs(raw or b"", least, words):
-                        hashes = shingler.shingles(found)
-                        out.append((doc, *key, begin, end, xxhash.xxh3_128_digest(hashes.tobytes()), len(hashes)))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "t1", "t2", "a", "b", "k", "n"])
+                docs_, texts = batch.column("doc_id"), raw_texts(batch.column("_text"))
+                sets = LineSets(texts, least, words, known)
+                if len(sets.text):
+                    keys = np.array([row_key(d, t) for d, t in zip(docs_.to_pylist(), texts, strict=True)], np.int64).reshape(-1, 2)[sets.text]
+                    columns = [docs_.take(pa.array(sets.text)), *[pa.array(np.ascontiguousarray(c)) for c in (keys[:, 0], keys[:, 1], sets.begin, sets.end)], pa.array(sets.keys(), pa.binary()), pa.array(np.diff(sets.at))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "t2", "a", "b", "k", "n"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(
         run, "doc_id long, t1 long, t2 long, a long, b long, k binary, n long"
@@ -205,34 +313,34 @@ def _band_members(docs: DataFrame, text: str, least: int, words: int, bands: int
     """k, b, leader of the paragraphs that share a band key with a different one; see ``member_units``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, minhash = Shingler(words), MinHash(bands * rows)
-        keys: list[list[int]] = []
-        seen: dict[bytes, None] = {}
-
-        def entries() -> list[np.ndarray]:
-            out = np.zeros((len(keys), bands), _BAND)
-            out["h"] = np.array(keys, np.int64).view(np.uint64)
-            names = np.frombuffer(b"".join(seen), np.uint64).reshape(-1, 2)
-            out["k1"], out["k2"] = names[:, :1], names[:, 1:]
-            return [out.ravel()]
-
+        known, minhash = WordHashes(), MinHash(bands * rows)
+        held: list[np.ndarray] = []
+        seen: set[bytes] = set()
         for whole in batches:
             for batch in slices(whole, "_text"):
-                for raw in raw_texts(batch.column("_text")):
-                    for _, _, found in paragraphs(raw or b"", least, words):
-                        hashes = shingler.shingles(found)
-                        # Another set has at best one hash more or less.
-                        if len(hashes) < similar * (len(hashes) + 1) - 1e-9:
-                            continue
-                        k = xxhash.xxh3_128_digest(hashes.tobytes())
-                        if k not in seen:
-                            seen[k] = None
-                            keys.append(band_keys(minhash.signature(hashes), rows))
-                if len(keys) * bands > HELD:
-                    yield _deal(entries(), parts, _distinct)
-                    keys, seen = [], {}
-        if keys:
-            yield _deal(entries(), parts, _distinct)
+                sets = LineSets(raw_texts(batch.column("_text")), least, words, known)
+                sizes = np.diff(sets.at)
+                # Another set has at best one hash more or less.
+                fresh = {}
+                for i, k in enumerate(sets.keys()):
+                    if k not in seen and k not in fresh and sizes[i] >= similar * (sizes[i] + 1) - 1e-9:
+                        fresh[k] = i
+                seen.update(fresh)
+                chosen = np.array(list(fresh.values()), np.int64)
+                # At most HELD entries at a time, whatever the texts of the slice.
+                for i in range(0, len(chosen), HELD // bands):
+                    some = chosen[i : i + HELD // bands]
+                    names = np.frombuffer(b"".join(list(fresh)[i : i + HELD // bands]), np.uint64).reshape(-1, 2)
+                    out = np.zeros((len(some), bands), _BAND)
+                    out["h"] = band_matrix(sets.signatures(some, minhash), rows)
+                    out["k1"], out["k2"] = names[:, :1], names[:, 1:]
+                    held.append(out.ravel())
+                    if sum(map(len, held)) > HELD:
+                        yield _deal(held, parts, _distinct)
+                if len(seen) > HELD:
+                    seen.clear()
+        if held:
+            yield _deal(held, parts, _distinct)
 
     dealt = docs.select(F.col(text).alias("_text")).mapInArrow(run, "part int, ready boolean, packed binary")
     return _meet(dealt, parts, _BAND, _members, ("k", "b", "leader"))
@@ -242,7 +350,7 @@ def _repeated_seeds(docs: DataFrame, text: str, least: int, parts: int) -> DataF
     """t1, t2, p (number of its first word) of the seeds that occur again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        known = WordHashes()
         held, size = [], 0
         for whole in batches:
             for batch in slices(whole, "_text"):
@@ -250,7 +358,7 @@ def _repeated_seeds(docs: DataFrame, text: str, least: int, parts: int) -> DataF
                     words = words_of(raw)
                     if len(words) < least:
                         continue
-                    places, hashes = _seeds(shingler.ids(words), least)
+                    places, hashes = _seeds(known.ids(words), least)
                     entries = np.zeros(len(places), _SEED)
                     entries["h"], entries["p"] = hashes, places
                     entries["t1"], entries["t2"] = row_key(doc, raw)
@@ -270,13 +378,13 @@ def _later_passages(texts: DataFrame, least: int, parts: int) -> DataFrame:
     """t1, t2, a, b of the passages that also stand at a smaller place. ``texts``: _k0 (id), t1, t2, z, ``seeds``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, shingler, span = zstandard.ZstdDecompressor(), Shingler(), least - _seed_words(least) + 1
+        open_, known, span = zstandard.ZstdDecompressor(), WordHashes(), least - _seed_words(least) + 1
         held, size = [], 0
         for batch in batches:
             for doc, t1, t2, z, seeds in zip(*[batch.column(c).to_pylist() for c in ("_k0", "t1", "t2", "z", "seeds")], strict=True):
                 raw = open_.decompress(z)
                 begins, ends = word_places(raw)
-                h, g = _run_digests(shingler.ids(words_of(raw)), least)
+                h, g = _run_digests(known.ids(words_of(raw)), least)
                 at = np.array(seeds, np.int64)
                 change = np.zeros(len(h) + 1, np.int64)
                 np.add.at(change, np.maximum(at - span + 1, 0), 1)
@@ -298,7 +406,7 @@ def _later_passages(texts: DataFrame, least: int, parts: int) -> DataFrame:
 
 
 def _merged(pieces: DataFrame) -> DataFrame:
-    """t1, t2, n_removed, spans of ``pieces`` (t1, t2, cut: arrays of a, b, run)."""
+    """t1, t2, n_paragraphs, n_runs, spans of ``pieces`` (t1, t2, cut: arrays of a, b, run)."""
     kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
     def union(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,15 +420,15 @@ def _merged(pieces: DataFrame) -> DataFrame:
             cuts = batch.column("cut")
             edges, flat = cuts.offsets.to_numpy(), cuts.values
             a, b, runs = flat.field(0).to_numpy(), flat.field(1).to_numpy(), flat.field(2).to_numpy(zero_copy_only=False)
-            numbers, spans = [], []
+            lines, met, spans = [], [], []
             for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 inside = runs[x:y]
-                n = int((~inside).sum())
-                numbers.append(n + (len(union(a[x:y][inside], b[x:y][inside])[0]) if n < y - x else 0))
+                lines.append(int((~inside).sum()))
+                met.append(len(union(a[x:y][inside], b[x:y][inside])[0]) if inside.any() else 0)
                 spans.append([{"a": i, "b": j} for i, j in zip(*[v.tolist() for v in union(a[x:y], b[x:y])], strict=True)])
-            yield pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), pa.array(numbers, pa.int64()), pa.array(spans, kind)], names=["t1", "t2", "n_removed", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), pa.array(lines, pa.int64()), pa.array(met, pa.int64()), pa.array(spans, kind)], names=["t1", "t2", "n_paragraphs", "n_runs", "spans"])
 
-    return pieces.select("t1", "t2", "cut").mapInArrow(run, "t1 long, t2 long, n_removed long, spans array<struct<a:bigint,b:bigint>>")
+    return pieces.select("t1", "t2", "cut").mapInArrow(run, "t1 long, t2 long, n_paragraphs long, n_runs long, spans array<struct<a:bigint,b:bigint>>")
 
 
 def _unit_rows(texts: DataFrame, words: int) -> DataFrame:
@@ -348,7 +456,7 @@ def find_repeats(
     docs: DataFrame, similar: float = SIMILAR, words: int = WORDS, least: int = LEAST_WORDS, text: str = "text",
     bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
-    """t1, t2 (key of a row by id and text), n_removed paragraphs and runs of passages, and their sorted, merged ``spans``."""
+    """t1, t2 (key of a row by id and text), n_paragraphs and n_runs (of passages) removed, and their sorted, merged ``spans``."""
     here = F.struct("doc_id", "t1", "t2", "a")
     table = store(_paragraph_table(docs, text, least, words), "paragraphs")
     # Equal paragraphs are one from here on; a line in a third of all documents costs one row per task.
@@ -376,7 +484,10 @@ def remove_repeats(
     docs: DataFrame, similar: float = SIMILAR, words: int = WORDS, least: int = LEAST_WORDS, text: str = "text",
     bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, ``spans`` (byte offsets, end exclusive) and ``kept`` bytes.
+    """One row per document: doc_id, n_bytes, n_paragraphs and n_runs removed, ``spans`` (byte offsets, end exclusive) and ``kept`` bytes.
+
+    n_paragraphs is what banding, verification and components removed, n_runs the runs of passages met word by word,
+    n_removed both.
 
     A repeated paragraph or passage stays where it stands in the smallest (doc_id, text key, place), null ids first.
     Paragraphs of fewer words than a shingle (or ``least``, if smaller) and passages of fewer than ``least`` words are
@@ -397,16 +508,19 @@ def remove_repeats(
                 for raw, cut in zip(raws, spans, strict=True):
                     edges = [0, *[e for s in cut for e in (s["a"], s["b"])], len(raw)]
                     kept.append(b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]))
-                yield pa.RecordBatch.from_arrays([batch.column("_k0"), pa.array([len(r) for r in raws], pa.int64()), batch.column("n_removed"), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+                yield pa.RecordBatch.from_arrays([batch.column("_k0"), pa.array([len(r) for r in raws], pa.int64()), batch.column("n_paragraphs"), batch.column("n_runs"), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_paragraphs", "n_runs", "spans", "kept"])
 
-    joined = packed.join(found, ["t1", "t2"], "left").select("_k0", "z", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), "spans")
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, spans array<struct<a:bigint,b:bigint>>, kept binary")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_paragraphs", "n_runs")]
+    joined = packed.join(found, ["t1", "t2"], "left").select("_k0", "z", *numbers, "spans")
+    out = joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_paragraphs long, n_runs long, spans array<struct<a:bigint,b:bigint>>, kept binary")
+    return out.withColumn("n_removed", F.col("n_paragraphs") + F.col("n_runs"))
 
 
 def digests(removed: DataFrame) -> DataFrame:
     """doc_id, sizes, what went, and the digest of what remains."""
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["b"] - s["a"]))
     return removed.select(
-        "doc_id", "n_bytes", F.col("n_removed").alias("n_passages_removed"), gone.alias("n_bytes_removed"), F.size("spans").cast("long").alias("n_spans"),
+        "doc_id", "n_bytes", F.col("n_removed").alias("n_passages_removed"),
+        F.col("n_paragraphs").alias("n_paragraphs_removed"), F.col("n_runs").alias("n_runs_removed"), gone.alias("n_bytes_removed"), F.size("spans").cast("long").alias("n_spans"),
         "spans", F.sha2("kept", 256).alias("kept_sha256"),
     )

@@ -604,3 +604,19 @@ def test_stages_on_odd_rows(spark, odd, tmp_path):
         assert stages[name](spark, odd, str(tmp_path)).columns == odd.columns
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {None, 2, 6} <= {r.doc_id for r in rows} and not [r for r in rows if r.doc_id == 5]
+
+
+def test_line_sets_equal_one_by_one(texts):
+    draw = random.Random(11)
+    rows = [t.encode() for t in texts.values()] + [None, b"", b"\n\n", b"a b\nc d e f g h a b c d e f g h\n" * 3, " ".join(draw.choice("abc") for _ in range(20_000)).encode()]
+    for least, size in ((25, 5), (3, 5), (1, 2)):
+        sets = paragraph_dedup.LineSets(rows, least, size, paragraph_dedup.WordHashes())
+        shingler, minhash = near.Shingler(size), near.MinHash(24)
+        expected = [(i, a, b, shingler.shingles(w)) for i, t in enumerate(rows) for a, b, w in paragraph_dedup.paragraphs(t or b"", least, size)]
+        assert [e[:3] for e in expected] == list(zip(sets.text.tolist(), sets.begin.tolist(), sets.end.tolist(), strict=True))
+        assert all(np.array_equal(h, sets.hashes[a:b]) for (*_, h), a, b in zip(expected, sets.at[:-1], sets.at[1:], strict=True))
+        chosen = np.array(sorted(draw.sample(range(len(expected)), len(expected) // 2)))
+        signed = sets.signatures(chosen, minhash)
+        assert all(np.array_equal(signed[i], minhash.signature(expected[c][3])) for i, c in enumerate(chosen.tolist()))
+        keys = paragraph_dedup.band_matrix(signed, 4)
+        assert keys.shape == (len(chosen), 6) and len(np.unique(keys)) == len({(b, *row[4 * b : 4 * b + 4]) for row in signed.tolist() for b in range(6)})
