@@ -33,8 +33,8 @@ LEAST = 30
 LISTED = 2000
 #: Prefixes expanded per language in the first round; each later round takes ``GROWTH`` times as many.
 FIRST, GROWTH = 20_000, 8
-#: Words in one counting batch, and words that a task remembers.
-BATCH_WORDS, HELD = 4_000_000, 600_000
+#: Words in one counting batch, different words that a task remembers, and phrases in one batch that it hands on.
+BATCH_WORDS, HELD, HANDED = 1_000_000, 500_000, 50_000
 BITS_PER_ENTRY, MOST_BITS = 16, 28
 _PAGE = 1 << 15
 #: A-Z lower-cased; the characters that end a piece become line feeds, tabs become spaces.
@@ -112,8 +112,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         def counted() -> Iterator[pa.RecordBatch]:
             for lang, words in seen.items():
-                names = list(words)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array([words[w] for w in names], pa.int64())], names=["lang", "phrase", "n"])
+                every = list(words.items())
+                for i in range(0, len(every), HANDED):
+                    names, n = zip(*every[i : i + HANDED], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
             seen.clear()
 
         for whole in batches:
@@ -194,12 +196,13 @@ def phrase_counts(docs: DataFrame, sets: dict[str, Bitmap], batch_words: int = B
                 code = [ids[at] << 32 | ids[at + 1]]
                 if m > 2:
                     code.append(ids[at + 2] << 32 | (ids[at + 3] if m > 3 else 0))
-                some, n = _runs(code)
-                begins = at[some]
-                columns = [ids[begins + k].tolist() for k in range(m)]
-                phrases = [b" ".join([names[i][1] for i in t]) for t in zip(*columns, strict=True)]
-                langs = [names[i][0] for i in columns[0]]
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([m] * len(langs), pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "m", "phrase", "n"])
+                some, times = _runs(code)
+                for i in range(0, len(some), HANDED):
+                    begins, n = at[some[i : i + HANDED]], times[i : i + HANDED]
+                    columns = [ids[begins + k].tolist() for k in range(m)]
+                    phrases = [b" ".join([names[i][1] for i in t]) for t in zip(*columns, strict=True)]
+                    langs = [names[i][0] for i in columns[0]]
+                    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([m] * len(langs), pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "m", "phrase", "n"])
 
         for whole in batches:
             for batch in slices(whole, "text"):
