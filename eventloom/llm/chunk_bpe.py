@@ -94,9 +94,9 @@ class ChunkCoder:
         """Characters and tokens at which matches begin that no text behind can change."""
         if not encoding.ids:
             return np.zeros(1, np.int64), np.zeros(1, np.int64)
-        words = np.array(encoding.word_ids)
+        words, offsets = np.array(encoding.word_ids), encoding.offsets
         tokens = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-        begins = np.array([encoding.offsets[t][0] for t in tokens.tolist()])
+        begins = np.array([offsets[t][0] for t in tokens.tolist()])
         # The last match touches the end; those that begin within LOOK of it may still become another alternative.
         settled = np.append(begins[1:], length) < length
         settled &= begins <= length - LOOK
@@ -109,11 +109,21 @@ class ChunkCoder:
 
     def coded(self, texts: list[str]) -> list[tuple[np.ndarray, int, int]]:
         """For each chunk its ids, the last settled begin of a match, and the tokens before it."""
-        out = []
-        for text, encoding in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            begins, tokens = self._matches(encoding, len(text))
-            out.append((np.array(encoding.ids, "<u4"), int(begins[-1]), int(tokens[-1])))
-        return out
+        return [
+            (np.array(e.ids, "<u4"), *self._last_settled(e, len(t)))
+            for t, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True)
+        ]
+
+    @staticmethod
+    def _last_settled(encoding, length: int) -> tuple[int, int]:
+        """The end of ``_matches``, found from behind: only some matches at the end of a text are not settled."""
+        match = encoding.token_to_word(len(encoding) - 1)
+        while match:
+            begin, end = encoding.word_to_chars(match - 1)
+            if end < length and begin <= length - LOOK:
+                break
+            match -= 1
+        return encoding.word_to_chars(match)[0], encoding.word_to_tokens(match)[0]
 
     def join(self, parts: list[str], coded: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
         """The ids of the joined parts from the ids of each."""

@@ -38,6 +38,9 @@ def test_joins_are_repaired_exactly(coder, library):
         parts = ["".join(draw.choices(plain, k=draw.randrange(1, 12))) for _ in range(draw.randrange(1, 7))]
         if draw.random() < 0.1:
             parts[draw.randrange(len(parts))] = draw.choice(["y", " ", "7"]) * draw.randrange(1, 400)
+        for text, (ids, sure, n_sure) in zip(parts, coder.coded(parts), strict=True):
+            begins, tokens = coder._matches(coder.tokenizer.encode(text, add_special_tokens=False), len(text))
+            assert (sure, n_sure) == (begins[-1], tokens[-1]) and len(ids)
         got = coder.join(parts, coder.coded(parts)).tolist()
         assert got == library.encode("".join(parts), add_special_tokens=False).ids, parts
 
