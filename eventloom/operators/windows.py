@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import pandas as pd
@@ -33,22 +32,60 @@ def later_copies(rows: DataFrame, keys: list[str], order: str, name: str = "is_l
     return joined.withColumn(name, F.col(order) > F.col("_first")).drop("_first")
 
 
+#: Pieces that one step makes of a heavy group.
+_FAN = 64
+
+
+def _measured(rows: DataFrame, column: str, offset: int) -> Column:
+    """A value that quantiles can be taken of and that never runs against the order of the column; seven bytes of a text."""
+    kind = rows.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        part = F.substring(F.col(column).cast("binary"), offset + 1, 7)
+        return F.conv(F.rpad(F.hex(part), 14, "0"), 16, 10).cast("bigint")
+    return F.col(column).cast("int") if isinstance(kind, T.BooleanType) else F.col(column)
+
+
 def in_pieces(rows: DataFrame, keys: list[str], order: list[str], piece_rows: int) -> DataFrame:
     """Add ``_piece``: null for ordinary keys, and for a key with more than ``piece_rows`` rows the number of the
-    piece a row falls in. Pieces follow ``order`` and hold about ``piece_rows`` rows.
+    piece a row falls in. Pieces follow ``order`` and hold about ``piece_rows`` rows; rows equal in ``order`` share one.
 
-    Heavy keys are laid out by range of key and order, so a piece is one range partition. That layout is stored,
-    because ranges come from a sample and every later step must see the same pieces.
+    Heavy keys are cut at quantiles from mergeable sketches, one small row per key, and pieces that are still too heavy
+    are cut again, by the next column where one is constant. The cuts are stored, so every later step sees the same
+    pieces; three numbers a step come to the driver, whatever the number of pieces.
     """
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    heavy = cut_lineage(counts.where(F.col("_n") > piece_rows))
-    total = heavy.agg(F.sum("_n")).first()[0]
-    if total is None:
-        return rows.withColumn("_piece", F.lit(None).cast("int"))
+    heavy = cut_lineage(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > piece_rows))
+    if heavy.isEmpty():
+        return rows.withColumn("_piece", F.lit(None).cast("bigint"))
     marked = attach_groups(rows, heavy, keys, "_n", ["_n"])
-    light = marked.where(F.col("_n").isNull()).select(*rows.columns, F.lit(None).cast("int").alias("_piece"))
-    ranged = marked.where(F.col("_n").isNotNull()).repartitionByRange(math.ceil(total / piece_rows), *keys, *order)
-    return light.unionByName(cut_lineage(ranged.select(*rows.columns, F.spark_partition_id().alias("_piece"))))
+    piece = F.when(F.col("_n").isNotNull(), F.lit(0).cast("bigint")).alias("_piece")
+    cut = marked.select(*rows.columns, piece)
+    shares = F.array(*[F.lit(i / _FAN) for i in range(1, _FAN)])
+    place, offset = 0, 0
+    while place < len(order):
+        column = order[place]
+        long = isinstance(rows.schema[column].dataType, T.StringType)
+        value = _measured(rows, column, offset)
+        groups = cut.where(F.col("_piece").isNotNull()).groupBy(*keys, "_piece").agg(
+            F.count("*").alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(value).alias("_known"),
+            F.percentile_approx(value, shares, F.lit(10_000)).alias("_cuts"), F.max(F.octet_length(column) if long else F.lit(0)).alias("_length"),
+        )
+        groups = cut_lineage(groups.where(F.col("_n") > piece_rows))
+        mixed = "_low < _high OR (_known > 0 AND _known < _n)"
+        state = groups.agg(F.count("*").alias("groups"), F.count_if(F.expr(mixed)).alias("mixed"), F.max("_length").alias("length")).first()
+        if not state.groups:
+            break
+        if state.mixed:
+            # Nulls come first and the smallest value is a cut too, so that every step divides whatever is not constant.
+            cuts = groups.where(mixed).select(*keys, "_piece", "_n", F.array_union(F.array("_low"), "_cuts").alias("_cuts"))
+            joined = attach_groups(cut.where(F.col("_piece").isNotNull()), cuts, [*keys, "_piece"], "_n", ["_cuts"])
+            inside = F.when(F.col("_cuts").isNull() | value.isNull(), 0).otherwise(1 + F.size(F.filter("_cuts", lambda c: c < value)))
+            deeper = joined.withColumn("_piece", F.col("_piece") * (2 * _FAN) + inside).drop("_cuts")
+            cut = cut.where(F.col("_piece").isNull()).unionByName(deeper.select(cut.columns))
+        elif long and offset + 7 < (state.length or 0):
+            offset += 7
+        else:
+            place, offset = place + 1, 0
+    return cut
 
 
 def with_neighbour(

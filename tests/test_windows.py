@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.operators.measures import Step, sum_through, value_counts, weighted_moments, year_over_year
 from eventloom.operators.skew import attach_groups, attach_per_key, broadcast_if_small, fits_broadcast
 from eventloom.operators.windows import (
-    count_per_key, exact_median, later_copies, latest_per_key, median_of_counts, running_balance, with_neighbour,
+    count_per_key, exact_median, in_pieces, later_copies, latest_per_key, median_of_counts, running_balance, with_neighbour,
 )
 
 
@@ -158,3 +158,27 @@ def test_last_year_is_the_year_before(spark):
     rows = spark.createDataFrame([(2020, "a", 10), (2021, "a", 15), (2023, "a", 30), (2021, None, 4), (2022, None, 2)], "y int, p string, v int")
     got = {(r.y, r.p, r.previous_year, r.yoy_change, r.yoy_pct) for r in year_over_year(rows, "v", "y", ["p"]).collect()}
     assert got == {(2020, "a", None, None, None), (2021, "a", 10, 5, 0.5), (2023, "a", None, None, None), (2021, None, None, None, None), (2022, None, 4, -2, -0.5)}
+
+
+@pytest.mark.parametrize("piece_rows", [10, 1000])
+def test_pieces_follow_the_order_without_a_range_sample(spark, monkeypatch, piece_rows):
+    draw = random.Random(4)
+    # One value fills most of the first column, texts differ only behind a long common beginning, and there are nulls.
+    rows = [("hot", draw.choice([1.5, 1.5, 1.5, 2.5, None]), f"{'long common beginning ' * (i % 2)}{draw.randrange(400)}", i) for i in range(3000)]
+    rows += [("same", 7.0, "x", i) for i in range(40)] + [(None, float(i), None, i) for i in range(30)] + [("few", 1.0, "y", 1)]
+    frame = spark.createDataFrame(rows, "k string, a double, b string, i int").repartition(5)
+    monkeypatch.setattr(type(frame), "repartitionByRange", lambda *a: (_ for _ in ()).throw(AssertionError("sampled")))
+    collected = []
+    plain = type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: collected.append(r := plain(self)) or r)
+    out = in_pieces(frame, ["k"], ["a", "b"], piece_rows)
+    monkeypatch.undo()
+    assert all(len(r) == 1 for r in collected) and len(collected) < 60  # some numbers a step
+    got = {}
+    for r in out.collect():
+        got.setdefault((r.k, r._piece), []).append((r.a is not None, r.a or 0, r.b is not None, (r.b or "").encode(), r.i))
+    assert sum(map(len, got.values())) == len(rows) and ("few", None) in got
+    for key in ("hot", "same", None):
+        pieces = sorted((p, v) for (k, p), v in got.items() if k == key and p is not None)
+        assert all(max(x)[:4] < min(y)[:4] for (_, x), (_, y) in zip(pieces, pieces[1:]))
+        assert all(len(v) <= piece_rows or len({x[:4] for x in v}) == 1 for _, v in pieces)
