@@ -9,6 +9,7 @@ from eventloom.plans.adapters import flat, with_flat
 from eventloom.plans.registry import Tables, query
 from eventloom.session import cut_lineage
 from eventloom.sinks.files import write_bucketed, write_partitioned
+from eventloom.sinks.tables import TableScope, bucket_count
 
 
 def _tasks(t: Tables) -> int:
@@ -73,10 +74,19 @@ def partition_prune(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).where("event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'")
 
 
+def bucketed_join(t: Tables, scope: TableScope) -> DataFrame:
+    """Lines per priority from two bucketed tables of the scope."""
+    orders, lines = t.orders.select("o_orderkey", "o_orderpriority"), t.lineitem.select("l_orderkey")
+    buckets, names = bucket_count(orders, lines), []
+    for rows, kind, key in ((orders, "orders", "o_orderkey"), (lines, "lines", "l_orderkey")):
+        name, path = scope.table(kind)
+        write_bucketed(rows, name, key, buckets, path=path)
+        names.append(name)
+    joined = t.spark.table(names[0]).join(t.spark.table(names[1]), F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(F.count("*").alias("n_lines"))
+
+
 @query("""SELECT o_orderpriority, COUNT(*) AS n_lines FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
 def sink_bucketed(t: Tables) -> DataFrame:
-    orders, lines = (f"{kind}_{t.scratch(kind)[-32:]}" for kind in ("orders", "lines"))
-    write_bucketed(t.orders.select("o_orderkey", "o_orderpriority"), orders, "o_orderkey", path=t.scratch(orders))
-    write_bucketed(t.lineitem.select("l_orderkey"), lines, "l_orderkey", path=t.scratch(lines))
-    joined = t.spark.table(orders).join(t.spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
-    return joined.groupBy("o_orderpriority").agg(F.count("*").alias("n_lines"))
+    with TableScope(t.spark) as scope:
+        return scope.keep(bucketed_join(t, scope))

@@ -13,6 +13,7 @@ from eventloom.operators.skew import broadcast_if_small
 from eventloom.plans.adapters import flat, payload_events, with_feed, with_flat
 from eventloom.plans.registry import Tables, query
 from eventloom.sinks import files as sinks
+from eventloom.sinks.tables import TableScope
 from eventloom.sources import files as sources
 from eventloom.sources.topics import encode_events
 from eventloom.streaming.batches import summarize_folder
@@ -193,10 +194,10 @@ def copy_validate_only(t: Tables) -> DataFrame:
 @query("SELECT c_custkey, c_name, c_acctbal, NULL AS c_phone FROM customer")
 def copy_into_csv_by_name(t: Tables) -> DataFrame:
     path = t.scratch("by-name")
-    # Two orders of columns in one folder.
+    # Three orders of columns in one folder.
     names = [F.col("c_acctbal").alias("C_ACCTBAL"), F.col("c_custkey").alias("C_CustKey"), F.col("c_name").alias("c_NAME")]
-    for part, columns in ((0, names), (1, names[::-1])):
-        t.customer.where(F.col("c_custkey") % 2 == part).select(*columns).write.mode("append").option("header", True).csv(path)
+    for part, columns in ((0, names), (1, names[::-1]), (2, [names[1], names[0], names[2]])):
+        t.customer.where(F.col("c_custkey") % 3 == part).select(*columns).write.mode("append").option("header", True).csv(path)
     target = "c_custkey bigint, c_name string, c_acctbal double, c_phone string"
     return sources.read_csv_by_name(t.spark, path, target)
 
@@ -277,25 +278,25 @@ def sink_json_summary(t: Tables) -> DataFrame:
 
 @query(with_flat("SELECT event_type, count(*) AS n FROM flat GROUP BY 1"))
 def ctas(t: Tables) -> DataFrame:
-    path = t.scratch("ctas")
-    name = f"counts_{path[-32:]}"
-    t.spark.sql(
-        f"CREATE TABLE {name} USING parquet LOCATION '{path}' AS SELECT event_type, count(*) AS n FROM {{events}} GROUP BY event_type",
-        events=flat(t),
-    )
-    return t.spark.table(name)
+    with TableScope(t.spark) as scope:
+        name, path = scope.table("counts")
+        t.spark.sql(
+            f"CREATE TABLE {name} USING parquet LOCATION '{path}' AS SELECT event_type, count(*) AS n FROM {{events}} GROUP BY event_type",
+            events=flat(t),
+        )
+        return scope.keep(t.spark.table(name))
 
 
 @query("SELECT o_orderpriority, count(*) AS n, 'first' AS run FROM orders GROUP BY 1 UNION ALL SELECT o_orderpriority, count(*), 'second' FROM orders GROUP BY 1")
 def insert_select(t: Tables) -> DataFrame:
-    path = t.scratch("insert")
-    name = f"runs_{path[-32:]}"
-    t.spark.sql(f"CREATE TABLE {name} (o_orderpriority STRING, n BIGINT, run STRING) USING parquet LOCATION '{path}'")
-    for run in ("first", "second"):
-        t.spark.sql(
-            f"INSERT INTO {name} SELECT o_orderpriority, count(*), '{run}' FROM {{orders}} GROUP BY o_orderpriority", orders=t.orders
-        )
-    return t.spark.table(name)
+    with TableScope(t.spark) as scope:
+        name, path = scope.table("runs")
+        t.spark.sql(f"CREATE TABLE {name} (o_orderpriority STRING, n BIGINT, run STRING) USING parquet LOCATION '{path}'")
+        for run in ("first", "second"):
+            t.spark.sql(
+                f"INSERT INTO {name} SELECT o_orderpriority, count(*), '{run}' FROM {{orders}} GROUP BY o_orderpriority", orders=t.orders
+            )
+        return scope.keep(t.spark.table(name))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +11,8 @@ from pyspark.sql import types as T
 from eventloom.contract import EVENT_SCHEMA
 from eventloom.functions.text import has_content, strip
 from eventloom.operators.rows import computed_once
-from eventloom.operators.skew import stored_small
+from eventloom.operators.skew import attach_groups, stored_small
+from eventloom.session import cut_lineage
 
 CORRUPT = "_corrupt_record"
 
@@ -57,39 +56,36 @@ def read_csv(
     )
 
 
-def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files below ``path`` by their header line. Only file names and headers reach the driver."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("start")
-    )
-    # The first line of a file is the first row of its first block.
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in first.orderBy("file").collect():
-        groups.setdefault(tuple(next(csv.reader([row.header]))), []).append(row.file)
-    return groups
-
-
 def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV columns matched to the target by name, file by file, whatever their order and case; unmatched ones are null.
 
-    Files with the same header are read together. A folder without files gives no rows.
+    The first line of each file tells where its columns stand. Lines meet the places of their file in the executors
+    and are parsed by them there; only the greatest number of columns comes to the driver. A record is one line; empty
+    lines and a folder without lines give no rows.
     """
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    parts = []
-    for header, files in _headers(spark, path).items():
-        names = [name.lower() for name in header]
-        as_text = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
-        raw = spark.read.schema(as_text).option("header", True).csv(files)
-        parts.append(
-            raw.select(
-                *[
-                    (F.col(f"_{names.index(f.name.lower())}") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name)
-                    for f in target
-                ]
-            )
-        )
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], target)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"),
+        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"),
+    )
+    # The first line of a file is the first row of its first block.
+    first = lines.where("_start = 0").groupBy("_file").agg(F.min(F.struct("_at", "value")).alias("_head"), F.max("_size").alias("_size"))
+    heads = cut_lineage(first.select("_file", "_size", F.col("_head._at").alias("_head_at"), F.col("_head.value").alias("_head")))
+    width = heads.agg(F.max(F.size(F.split("_head", ",")))).first()[0] or 1
+    shape = ", ".join(f"_{i} string" for i in range(width))
+
+    def fields(line: str) -> Column:
+        parsed = F.from_csv(F.col(line), shape)
+        return F.array(*[parsed[f"_{i}"] for i in range(width)])
+
+    names = F.transform(fields("_head"), F.lower)
+    places = F.array(*[F.array_position(F.coalesce(names, F.array()), f.name.lower()).cast("int") for f in target])
+    placed = attach_groups(lines, heads.select("_file", "_size", "_head_at", places.alias("_places")).withColumnRenamed("_size", "_weight"), ["_file"], "_weight", ["_head_at", "_places"])
+    body = placed.where((F.col("_at") != F.col("_head_at")) & has_content(F.col("value")))
+    values = computed_once(body.select("value", "_places"), {"_fields": fields("value")})
+    return values.select(*[
+        F.when(F.col("_places")[i] > 0, F.get("_fields", F.col("_places")[i] - 1)).cast(f.dataType).alias(f.name) for i, f in enumerate(target)
+    ])
 
 
 def average_score(spark: SparkSession, path: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,3 +134,47 @@ def incremental_rebuild(
     touched = stored_small(source.where(changed).select(partition).distinct())
     rows = source.join(touched, partition, "left_semi")
     build(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def _file_ranges(spark: SparkSession, files: list[str], day: Column) -> DataFrame:
+    """file, first, last: the days in each of some files; reads the columns that the day needs."""
+    rows = spark.read.parquet(*files).select(F.col("_metadata.file_path").alias("file"), day.alias("_day"))
+    return rows.groupBy("file").agg(F.min("_day").alias("first"), F.max("_day").alias("last"))
+
+
+def rebuild_from_files(
+    spark: SparkSession, source: str, build: Callable[[DataFrame], DataFrame], path: str, manifest: str, day: Column,
+    partition: str = "event_date",
+) -> list[str]:
+    """Rebuild the partitions that new files of ``source`` touch; returns the files that were read for it.
+
+    ``manifest`` keeps the first and last day of every file that was built. New files are those without an entry. Their
+    days are the touched ones, and of the older files only those whose range holds a touched day are read again, so a
+    run costs what arrived and what lies beside it. Entries are added after the partitions, so a run that stops is
+    repeated whole. Rows without a day belong to no partition. File names come to the driver, as in any listing.
+    """
+    known = read_or_empty(spark, manifest, "file string, first date, last date")
+    # Only the listing is read, not the files.
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(source)
+    listed = listed.select(F.col("_metadata.file_path").alias("file"))
+    new = sorted(r.file for r in listed.join(known, "file", "left_anti").collect())
+    if not new:
+        return []
+    ranges = cut_lineage(_file_ranges(spark, new, day))
+    touched = stored_small(spark.read.parquet(*new).select(day.alias(partition)).where(F.col(partition).isNotNull()).distinct())
+    beside = known.join(touched, F.col(partition).between(F.col("first"), F.col("last")), "left_semi")
+    files = sorted({*new, *[r.file for r in beside.select("file").collect()]})
+    rows = spark.read.parquet(*files).withColumn(partition, day).join(touched, partition, "left_semi")
+    build(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    ranges.write.mode("append").parquet(manifest)
+    return files
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet folder, or no rows before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

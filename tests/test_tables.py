@@ -16,6 +16,7 @@ from eventloom.operators.rows import hash_sample
 from eventloom.plans import load_all
 from eventloom.plans.registry import PLANS, Tables
 from eventloom.sinks import files as sinks
+from eventloom.sinks.tables import TableScope, bucket_count, measured_bytes
 from eventloom.sources import files as sources
 from eventloom.sources.topics import encode_events, topic_options
 from eventloom.warehouse import changes, gold, governance, silver
@@ -126,7 +127,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         for name in ("left_b", "right_b"):
-            sinks.write_bucketed(spark.range(200), name, "id", path=str(tmp_path / name))
+            sinks.write_bucketed(spark.range(200), name, "id", 8, path=str(tmp_path / name))
         plan = spark.table("left_b").join(spark.table("right_b"), "id")
         assert plan.count() == 200
         assert "Exchange hashpartitioning" not in spark.table("left_b").join(spark.table("right_b"), "id")._jdf.queryExecution().executedPlan().toString()
@@ -334,3 +335,60 @@ def test_outer_join_equals_the_plain_join(spark, how):
     assert sorted(map(str, split.collect())) == sorted(map(str, a.join(b, a.k == b.c, how).collect()))
     with pytest.raises(ValueError):
         joins.outer_join(a, b, "k", "c", "inner")
+
+
+def test_three_header_orders_are_placed_without_a_collect(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text('id,name,"odd, one"\n1,"x, y",p\n\n2,,q\nid,name,r\n')
+    (tmp_path / "b.csv").write_text("NAME,ID\ny,3\n")
+    (tmp_path / "c.csv").write_text('"Odd, One",note,Id\nr,n,4\n')
+    (tmp_path / "d.csv").write_text("")
+    collected, kind = [], type(spark.range(0))
+    plain = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: collected.append(r := plain(self)) or r)
+    frame = sources.read_csv_by_name(spark, str(tmp_path), "id string, name string, `odd, one` string, extra int")
+    monkeypatch.undo()
+    assert all(len(r) == 1 for r in collected)  # the widest header, and whether the headers may be broadcast
+    expected = {("1", "x, y", "p", None), ("2", None, "q", None), ("id", "name", "r", None), ("3", "y", None, None), ("4", None, "r", None)}
+    assert {tuple(r) for r in frame.collect()} == expected
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sources.read_csv_by_name(spark, str(tmp_path), "id int").collect()
+    (tmp_path / "none").mkdir()
+    assert sources.read_csv_by_name(spark, str(tmp_path / "none"), "id int").collect() == []
+
+
+def test_only_files_beside_new_days_are_read(spark, tmp_path):
+    source, mart, manifest = (str(tmp_path / n) for n in ("source", "mart", "days"))
+    put = lambda n, *days: spark.createDataFrame([(d, n) for d in days], "d int, v int").coalesce(1).write.mode("append").parquet(source)
+    day = F.date_add(F.lit("2026-01-01").cast("date"), F.col("d"))
+    build = lambda rows: rows.groupBy("event_date").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+    run = lambda builder=build: changes.rebuild_from_files(spark, source, builder, mart, manifest, day)
+    state = lambda: {(r.event_date.day - 1, r.v, r.n) for r in spark.read.parquet(mart).collect()}
+    put(1, 0, 1)
+    put(2, 5, 6)
+    put(3, 10, 11)
+    assert len(run()) == 3 and state() == {(0, 1, 1), (1, 1, 1), (5, 2, 1), (6, 2, 1), (10, 3, 1), (11, 3, 1)}
+    assert run() == []
+    put(4, 6, 20, None)
+    with pytest.raises(OSError):
+        run(lambda rows: (_ for _ in ()).throw(OSError("lost")))
+    files = run()
+    assert len(files) == 2 and state() == {(0, 1, 1), (1, 1, 1), (5, 2, 1), (6, 6, 2), (10, 3, 1), (11, 3, 1), (20, 4, 1)}
+    assert run() == []
+
+
+def test_no_table_is_left_behind(spark):
+    load_all()
+    for name in ("ctas", "insert_select", "sink_bucketed"):
+        assert PLANS[name](Tables(spark, "/root/testdata/sf0.001")).count()
+    with pytest.raises(ValueError), TableScope(spark) as scope:
+        name, path = scope.table("kept")
+        spark.range(3).write.option("path", path).saveAsTable(name)
+        raise ValueError
+    left = [r.tableName for r in spark.sql("SHOW TABLES").collect() if not r.isTemporary]
+    assert not [n for n in left if n.startswith(("counts_", "runs_", "orders_", "lines_", "kept_"))]
+
+
+def test_buckets_follow_the_bytes(spark):
+    frame = spark.createDataFrame([(i, "x" * 100) for i in range(50)] + [(None, None)], "a long, b string")
+    assert measured_bytes(frame) == 50 * 108 + 8 and measured_bytes(frame.limit(0)) == 0
+    assert bucket_count(frame, spark.range(1)) == 1 and bucket_count(frame, bucket_bytes=1000) == 8 and bucket_count(frame.limit(0)) == 1
