@@ -14,6 +14,7 @@ The strings of added tokens are found first; chunks do not cross them.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -80,8 +81,25 @@ class ChunkCoder:
         self.added = {t.content: i for i, t in added.items()}
         names = sorted(self.added, key=len, reverse=True)
         self.cuts = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.bytes_of = self._token_bytes() if json.loads(vocabulary)["decoder"]["type"] == "ByteLevel" else None
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
+    def _token_bytes(self) -> list[bytes]:
+        """What each id stands for: a byte-level token has one character for each byte; other tokens are their own text."""
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        out = [b""] * (max(self.tokenizer.get_vocab().values()) + 1)
+        for token, i in self.tokenizer.get_vocab().items():
+            out[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        return out
+
+    def decode(self, packed: list[np.ndarray]) -> list[str]:
+        """The library's text of ids, added tokens included; ids that stand for nothing are left out."""
+        if self.bytes_of is None:
+            return self.tokenizer.decode_batch([p.tolist() for p in packed], skip_special_tokens=False)
+        known, get = len(self.bytes_of), self.bytes_of.__getitem__
+        return [b"".join(map(get, p[p < known].tolist())).decode("utf-8", "replace") for p in packed]
+
     def segments(self, text: str) -> list[str]:
         """The text between added tokens, and these, in turn."""
         return self.cuts.split(text) if self.cuts else [text]
@@ -290,11 +308,10 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "token_ids", into: st
     shared = _share(df.sparkSession, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _coder(shared.value).tokenizer
+        coder = _coder(shared.value)
         for whole in batches:
             for batch in slices(whole, ids):
-                packed = [np.frombuffer(p or b"", "<u4").tolist() for p in batch.column(ids).to_pylist()]
-                column = pa.array(tokenizer.decode_batch(packed, skip_special_tokens=False), pa.string())
+                column = pa.array(coder.decode([np.frombuffer(p or b"", "<u4") for p in batch.column(ids).to_pylist()]), pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*keep, into])
 
     return df.select(*[f"`{c}`" for c in keep]).mapInArrow(run, df.select(*[f"`{c}`" for c in keep], F.lit("").alias(into)).schema)

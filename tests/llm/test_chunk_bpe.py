@@ -45,6 +45,13 @@ def test_joins_are_repaired_exactly(coder, library):
         assert got == library.encode("".join(parts), add_special_tokens=False).ids, parts
 
 
+def test_decoding_equals_the_library(coder, library):
+    draw = np.random.default_rng(3)
+    rows = [draw.integers(0, 50_400, n) for n in (0, 1, 5, 300, 3000)] + [draw.integers(0, 300, 2000), np.array([50256, 50256]), np.array([60_000])]
+    texts = [library.decode(r.tolist(), skip_special_tokens=False) for r in rows]
+    assert coder.decode([r.astype("<u4") for r in rows]) == texts and any("\ufffd" in t for t in texts)
+
+
 def test_chunks_follow_the_content():
     draw = random.Random(2)
     text = "".join(draw.choice("abcdefgh é日") for _ in range(40_000)).encode()
