@@ -184,7 +184,14 @@ def dq_fail_fast(t: Tables) -> DataFrame:
     return checked.select("line_number", "event_type")
 
 
-@query("""SELECT COUNT(*) AS n_rows, 'missing column source,column value is double, expected decimal(18,2)' AS differences FROM events""")
+# The expected shape as rows, compared with what the catalogue says of the table.
+@query("""WITH expected AS (SELECT * FROM (VALUES (1, 'event_id', 'BIGINT', 'bigint'), (2, 'user_id', 'BIGINT', 'bigint'), (3, 'source', 'VARCHAR', 'string'),
+  (4, 'value', 'DECIMAL(18,2)', 'decimal(18,2)')) e(place, name, kind, shown)),
+found AS (SELECT column_name AS name, column_type AS kind FROM (DESCRIBE SELECT * FROM events)),
+differences AS (SELECT place, CASE WHEN f.name IS NULL THEN 'missing column ' || e.name
+  WHEN f.kind <> e.kind THEN 'column ' || e.name || ' is ' || lower(f.kind) || ', expected ' || shown END AS says
+ FROM expected e LEFT JOIN found f ON e.name = f.name)
+SELECT (SELECT count(*) FROM events) AS n_rows, string_agg(says, ',' ORDER BY place) AS differences FROM differences WHERE says IS NOT NULL""")
 def dq_schema_contract(t: Tables) -> DataFrame:
     from pyspark.sql import types as T
 
