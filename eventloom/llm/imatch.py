@@ -23,11 +23,12 @@ from eventloom.llm.common import mixed, raw_texts, slices, words_of
 
 #: Document-frequency band of the lexicon, as shares of all documents: idf between log(1/high) and log(1/low).
 LOW, HIGH = 0.0005, 0.2
-#: Densities 2**-1 .. 2**-LEVELS with SUBSETS lexicon subsets each.
+#: Densities 2**-1 .. 2**-LEVELS with SUBSETS lexicon subsets each; a text with more terms has more levels.
 LEVELS, SUBSETS = 10, 16
-#: A subset with more members than this on average says nothing after an edit and is left out, but the
-#: sparsest level always stays, so that very long texts have hashes too.
+#: A subset with more members than this on average says nothing after an edit and is left out.
 DENSEST = 2
+#: Levels that every text has beyond its densest one in use, so that texts of similar length share some.
+SPARSER = 3
 
 
 class WordHashes(dict[bytes, int]):
@@ -101,31 +102,32 @@ class Fingerprinter:
         self.hasher = Hasher()
 
     def fingerprint(self, text: bytes | None) -> np.ndarray:
-        """levels x subsets 32-bit hashes, 0 for a subset without terms, after the hash of the whole text's words.
+        """levels x subsets 32-bit hashes, 0 for a subset without terms, after 32 bits of a hash of the whole text.
 
-        A text without lexicon terms uses all its distinct words. The first value depends on the words of the text in
-        order, so texts without words still differ from all others but are equal to each other.
+        A text without lexicon terms uses all its distinct words. The first value is of the text as it stands, so that
+        different texts without words differ too. The number of levels follows the number of terms.
         """
         kept = self.hasher.distinct(text)
         if len(self.terms):
             at = np.searchsorted(self.terms, kept).clip(max=len(self.terms) - 1)
             inside = kept[self.terms[at] == kept]
             kept = inside if len(inside) else kept
-        out = np.zeros(1 + self.levels * self.subsets, np.uint32)
+        densest = 1
+        while len(kept) >> densest > DENSEST:
+            densest += 1
+        levels = max(self.levels, densest + SPARSER)
+        out = np.zeros(1 + levels * self.subsets, np.uint32)
         out[0] = int.from_bytes(hashlib.blake2b(text or b"", digest_size=4).digest(), "little")
         if not len(kept):
             return out
         drawn = mixed(kept[None, :] ^ self.salts[:, None])
         # A term with z trailing zero bits lies in the subsets of density 2**-1 .. 2**-z. Members of the densest level
         # in use hold those of all sparser ones, so the matrix is searched once.
-        densest = 1
-        while len(kept) >> densest > DENSEST and densest < self.levels:
-            densest += 1
         rows, columns = np.nonzero((drawn & np.uint64((1 << densest) - 1)) == 0)
         members: dict[int, list[bytes]] = {}
         # The kept hashes are sorted, so each subset's members are joined and hashed in that order.
         for row, bits, term in zip(rows.tolist(), drawn[rows, columns].tolist(), kept[columns].tolist(), strict=True):
-            zeros = min(self.levels, (bits & -bits).bit_length() - 1 if bits else 64)
+            zeros = min(levels, (bits & -bits).bit_length() - 1 if bits else 64)
             packed = term.to_bytes(8, "little")
             for level in range(densest, zeros + 1):
                 members.setdefault(1 + (level - 1) * self.subsets + row, []).append(packed)
@@ -134,10 +136,14 @@ class Fingerprinter:
         return out
 
     def likeness(self, a: np.ndarray, b: np.ndarray) -> float:
-        """1 for equal fingerprints; else the share of equal hashes among the subsets in use, at densities that leave some unused."""
+        """1 for equal fingerprints; else the share of equal hashes among the subsets in use, at densities that leave some unused.
+
+        Only levels that both have are compared.
+        """
         if np.array_equal(a, b):
             return 1.0
-        x, y = a[1:].reshape(self.levels, -1), b[1:].reshape(self.levels, -1)
+        upto = min(len(a), len(b))
+        x, y = a[1:upto].reshape(-1, self.subsets), b[1:upto].reshape(-1, self.subsets)
         used = ((x > 0) | (y > 0)).sum(1)
         same = ((x > 0) & (x == y)).sum(1)
         fit = (used > 0) & (used <= 0.7 * self.subsets)
