@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -145,16 +146,21 @@ def decontaminate(
     ``block_bytes``. For several blocks every document is scanned once per block and the answers are united by its key
     and text, first within tasks.
     """
-    spark = docs.sparkSession
-    matchers = [spark.sparkContext.broadcast(Matcher(b, window)) for b in _blocks(benchmark, item, item_text, block_bytes)]
-    if len(matchers) == 1:
-        return scan(docs, matchers[0], text, keep)
+    spark, blocks = docs.sparkSession, _blocks(benchmark, item, item_text, block_bytes)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        return scan(docs, spark.sparkContext.broadcast(Matcher(block, window)), text, keep)
     # Copies of a row meet in one group and are put out again as often as they came in.
     marked = docs.select(*keep, text, F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_digest"), F.col(text).isNull().alias("_none"))
     key = [*keep, "_digest", "_none"]
-    parts = [scan(marked, m, text, tuple(key)) for m in matchers]
+    parts = []
+    for block in chain([block, following], blocks):
+        # The hits of a block are written before the next one is built, so the driver holds one matcher at a time.
+        matcher = spark.sparkContext.broadcast(Matcher(block, window))
+        parts.append(store(scan(marked, matcher, text, tuple(key)), "hits"))
+        matcher.destroy()
     copies = marked.groupBy(*key).agg(F.count("*").alias("_copies"))
-    every = store(reduce(DataFrame.unionByName, parts), "hits").groupBy(*key).agg(
+    every = reduce(DataFrame.unionByName, parts).groupBy(*key).agg(
         F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("runs"))).alias("runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
@@ -178,10 +184,18 @@ def digests(scanned: DataFrame) -> DataFrame:
     )
 
 
-def kept_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no test string occurs, unchanged, found in one pass for each block of strings."""
-    out, spark = docs, docs.sparkSession
-    for block in _blocks(benchmark, "item_id", "text", BLOCK_BYTES):
+def kept_documents(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs`` in which no test string occurs, unchanged.
+
+    Each block of strings takes one pass; what a pass keeps is written before the next block is built. Null texts and
+    rows that repeat stay as they are.
+    """
+    out, spark, blocks = docs, docs.sparkSession, _blocks(benchmark, "item_id", "text", block_bytes)
+    following = next(blocks)
+    while following is not None:
+        block, following = following, next(blocks, None)
         matcher = spark.sparkContext.broadcast(Matcher(block, window))
 
         def run(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
@@ -191,6 +205,9 @@ def kept_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, text
                     yield batch.filter(pa.array(clean, pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)
+        if following is not None:
+            out = store(out, "clean")
+            matcher.destroy()
     return out
 
 
