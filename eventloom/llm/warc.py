@@ -11,6 +11,7 @@ writes, and a file is published by renaming, so a task that runs again leaves th
 from __future__ import annotations
 
 import base64
+import datetime
 import hashlib
 import json
 import uuid
@@ -19,6 +20,8 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,17 +50,29 @@ def record_head(fields: dict[str, str], size: int) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n"
 
 
-def page_record(page: dict, payload: bytes) -> bytes:
-    """One record of a page; a revisit has no payload of its own and names the page that has it."""
+def record_id(page_id: int | None, url: str | None, digest: str, *more: int) -> str:
+    """The id of the first record of a page in a task; ``more`` tells further equal rows apart."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, json.dumps([page_id, url, digest, *more]))}>"
+
+
+def _uri(url: str) -> str:
+    return "".join(c if " " < c < "\x7f" else "%" + "%".join(f"{b:02X}" for b in c.encode()) for c in url)
+
+
+def page_record(page: dict, payload: bytes, date: str) -> bytes:
+    """One record of a page; a revisit has no payload of its own and names the record that has it."""
     digest = "sha1:" + base64.b32encode(bytes.fromhex(page["digest"])).decode()
     fields = {
-        "WARC-Type": page["record_type"], "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, json.dumps([page['page_id'], page['url'], page['digest'], page['copy']]))}>",
+        "WARC-Type": page["record_type"], "WARC-Record-ID": record_id(page["page_id"], page["url"], page["digest"], *page["more"]), "WARC-Date": date,
         "WARC-Payload-Digest": digest, "X-Payload-Length": str(page["payload_bytes"]), "X-Page": json.dumps([page["page_id"], page["refers_to"]]),
     }
     if page["url"]:
-        fields["WARC-Target-URI"] = "".join(c if " " < c < "\x7f" else "%" + "%".join(f"{b:02X}" for b in c.encode()) for c in page["url"])
+        fields["WARC-Target-URI"] = _uri(page["url"])
     if page["record_type"] == "revisit":
         fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+        fields["WARC-Refers-To"] = record_id(page["refers_to"], page["refers_url"], page["digest"])
+        if page["refers_url"]:
+            fields["WARC-Refers-To-Target-URI"] = _uri(page["refers_url"])
         payload = b""
     return record_head(fields, len(payload)) + payload + b"\r\n\r\n"
 
@@ -150,7 +165,7 @@ def read_records(folder: pafs.FileSystem, path: str) -> Iterator[tuple[dict[str,
 
 
 def plan_records(pages: DataFrame, page_id: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
-    """page_id, url, html, digest, payload_bytes, record_type and refers_to of every page.
+    """page_id, url, html, digest, payload_bytes, record_type, refers_to and refers_url of every page.
 
     Null html is the empty payload. Of equal payloads of at least 1000 bytes the row with the largest id is the
     response (all of them, if rows repeat that id; null is the smallest id); the others revisit it.
@@ -158,14 +173,21 @@ def plan_records(pages: DataFrame, page_id: str = "page_id", html: str = "html",
     raw = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).alias("html"), F.sha1(raw).alias("digest"), F.octet_length(raw).cast("long").alias("payload_bytes"))
     # Only digests and ids are moved and counted; a hot payload is combined before the shuffle.
-    shared = rows.where(F.col("payload_bytes") >= SHORTEST_SHARED).groupBy("digest").agg(F.max("page_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select(F.col("digest").alias("_digest"), "_first")
+    shared = rows.where(F.col("payload_bytes") >= SHORTEST_SHARED).groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("_f"), F.count("*").alias("_n")).where("_n > 1").select(F.col("digest").alias("_digest"), F.col("_f.page_id").alias("_first"), F.col("_f.url").alias("_url"))
     joined = rows.join(shared, (rows.digest == shared._digest) & (rows.payload_bytes >= SHORTEST_SHARED), "left")
     revisit = F.col("_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return joined.select("page_id", "url", "html", "digest", "payload_bytes", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_first")).alias("refers_to"))
+    return joined.select("page_id", "url", "html", "digest", "payload_bytes", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("_first")).alias("refers_to"), F.when(revisit, F.col("_url")).alias("refers_url"))
+
 
+def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, date: str | None = None) -> DataFrame:
+    """Write the planned records into archives, one gzip stream each, and return their paths (one row per archive).
 
-def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write the planned records into archives, one gzip stream each, and return their paths (one row per archive)."""
+    ``date`` is the time of capture (default: now), the same for all records of a run. The first record of a page in a
+    task has an id made of page, address and digest, which revisits refer to; equal rows after it have ids with the
+    numbers of the task and of the row, so ids differ in and across the archives of a task. Rows equal in id, address
+    and payload that lie in different tasks share their first id, as their records are equal too.
+    """
+    date = date or datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = open_folder(folder)
@@ -181,18 +203,20 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
             files.move(mark, path)
             paths.append(path)
 
-        copies: dict[tuple, int] = {}
+        task, number = TaskContext.get().partitionId(), 0
+        seen: set[bytes] = set()
         for batch in batches:
-            columns = {n: batch.column(n).to_pylist() for n in ("page_id", "url", "digest", "payload_bytes", "record_type", "refers_to")}
+            columns = {n: batch.column(n).to_pylist() for n in ("page_id", "url", "digest", "payload_bytes", "record_type", "refers_to", "refers_url")}
             for i, raw in enumerate(raw_texts(batch.column("html"))):
                 page = {k: v[i] for k, v in columns.items()}
-                key = (page["page_id"], page["url"], page["digest"])
-                page["copy"] = copies[key] = copies.get(key, -1) + 1 if key in copies else 0
+                key = xxhash.xxh3_128_digest(record_id(page["page_id"], page["url"], page["digest"]))
+                number += 1
+                page["more"] = (task, number) if key in seen else ()
+                seen.add(key)
                 if file is None:
                     mark = f"{base}/{uuid.uuid4().hex}.open"
                     file, stream, name, size = files.open_output_stream(mark, compression=None), zlib.compressobj(1, zlib.DEFLATED, 31), hashlib.sha1(), 0
-                    copies = {key: page["copy"]}
-                record = page_record(page, raw or b"")
+                record = page_record(page, raw or b"", date)
                 name.update(record)
                 file.write(stream.compress(record))
                 size += len(record)
@@ -226,12 +250,12 @@ def normalise_archives(paths: DataFrame, folder: str) -> DataFrame:
     return paths.mapInArrow(run, "path string")
 
 
-def round_trip(planned: DataFrame, base: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+def round_trip(planned: DataFrame, base: str, archive_bytes: int = ARCHIVE_BYTES, date: str | None = None) -> DataFrame:
     """Write planned records below ``base``, normalise the archives, and read them back by offset (without payloads).
 
     Paths are stored after each step, so a step is not run twice; every archive is a task's work of its own.
     """
-    raw = store(write_archives(planned, f"{base}/streams", archive_bytes), "warc-streams")
+    raw = store(write_archives(planned, f"{base}/streams", archive_bytes, date), "warc-streams")
     tasks = max(1, min(10_000, raw.count()))
     members = store(normalise_archives(raw.repartition(tasks), f"{base}/members"), "warc-members")
     return read_archives(members.repartition(tasks), f"{base}/members", payload=False).drop("payload")
