@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import halves, mixed, packed_texts, raw_texts, slices, store
+from eventloom.operators.skew import attach_per_key
 
 LENGTH = 400
 #: Bytes of the k-grams that serve as anchors.
@@ -298,8 +299,9 @@ def _counted_spans(content: DataFrame, length: int) -> DataFrame:
 
     windows = content.select("c", "t1", "t2", "pos", "data").mapInArrow(run, "h1 long, h2 long, c long, t1 long, t2 long, p long")
     windows = store(windows, "hot-windows")
-    again = windows.groupBy("h1", "h2").agg(F.sum("c").alias("all")).where(F.col("all") > 1).drop("all")
-    return windows.where("c = 1").join(again, ["h1", "h2"]).groupBy("t1", "t2", (F.col("p") / 4096).cast("int").alias("part")).agg(
+    # The counts of the commonest windows go to the rows, so that one window's rows never meet in a task.
+    times = windows.groupBy("h1", "h2").agg(F.sum("c").alias("all"), F.count("*").alias("rows"))
+    return attach_per_key(windows.where("c = 1"), times, ["h1", "h2"], "rows", ["all"]).where(F.col("all") > 1).groupBy("t1", "t2", (F.col("p") / 4096).cast("int").alias("part")).agg(
         F.array_sort(F.collect_set("p")).alias("ps")
     ).select("t1", "t2", F.explode(F.expr(f"transform(filter(sequence(0, size(ps) - 1), i -> i = 0 OR ps[i] > ps[i - 1] + 1), i -> ps[i])")).alias("a"), "ps").select(
         "t1", "t2", "a", F.expr(f"a + {length} + aggregate(ps, 0L, (n, p) -> CASE WHEN p = a + n THEN n + 1 ELSE n END) - 1").alias("b")
