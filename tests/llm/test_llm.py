@@ -86,6 +86,15 @@ def windows_found(text, items, window):
     return len(words), len(hit), sorted(found)
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 12])
+def test_kept_documents_have_no_window(spark, odd, block_bytes):
+    bench = spark.createDataFrame([(1, "alpha beta gamma delté eps alpha"), (2, None), (None, "a b c"), (3, ""), (4, "zz zz")], "item_id long, text string")
+    kept = decontaminate.kept_documents(odd, bench, window=3, block_bytes=block_bytes)
+    found = decontaminate.decontaminate(odd, bench, window=3, keep=("doc_id", "text"), block_bytes=block_bytes)
+    expected = Counter((r.doc_id, r.text) for r in found.collect() if not r.runs)
+    assert kept.columns == odd.columns and Counter((r.doc_id, r.text) for r in kept.collect()) == expected and 0 < sum(expected.values()) < 11
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 12])
 def test_search_finds_every_window(spark, block_bytes):
     draw = random.Random(1)
@@ -266,6 +275,43 @@ def test_archives_keep_pages(spark, tmp_path):
         assert bytes(out[i].payload) == (payload if out[i].record_type == "response" else b"")
 
 
+def plain_records(raw):
+    """Records of members, by a parser that knows only the format."""
+    import gzip
+    import io
+
+    data = gzip.GzipFile(fileobj=io.BytesIO(raw)).read()
+    while data:
+        head, data = data.split(b"\r\n\r\n", 1)
+        version, *lines = head.decode("ascii").split("\r\n")
+        assert version == "WARC/1.1"
+        fields = dict(line.split(": ", 1) for line in lines)
+        size = int(fields["Content-Length"])
+        yield fields, data[:size]
+        assert data[size : size + 4] == b"\r\n\r\n"
+        data = data[size + 4 :]
+
+
+def test_other_readers_resolve_revisits(spark, tmp_path):
+    same = "<p>" + "x" * 2000
+    rows = [(i, f"http://a/é {i}", same) for i in range(6)] + [(7, "http://b", "short")] * 5 + [(5, None, same), (8, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    raw = warc.write_archives(warc.plan_records(pages), f"{tmp_path}/a", archive_bytes=2500, date="2026-01-02T03:04:05Z")
+    paths = [r.path for r in raw.collect()]
+    warc.normalise_archives(spark.createDataFrame([(p,) for p in paths], "path string"), f"{tmp_path}/b").collect()
+    records = [r for path in sorted((tmp_path / "b").glob("*.warc.gz")) for r in plain_records(path.read_bytes())]
+    by_id = {f["WARC-Record-ID"]: (f, body) for f, body in records}
+    assert len(by_id) == len(records) == len(rows) and all(f["WARC-Date"] == "2026-01-02T03:04:05Z" for f, _ in records)
+    revisits = [f for f, _ in records if f["WARC-Type"] == "revisit"]
+    assert len(revisits) == 5
+    for f in revisits:
+        target, body = by_id[f["WARC-Refers-To"]]
+        assert target["WARC-Type"] == "response" and body.decode() == same
+        assert target["WARC-Payload-Digest"] == f["WARC-Payload-Digest"] and target["WARC-Target-URI"] == f["WARC-Refers-To-Target-URI"]
+    days = {f["WARC-Date"][:2] for path in [warc.write_archives(warc.plan_records(pages), f"{tmp_path}/c").first().path] for f, _ in plain_records(open(path, "rb").read())}
+    assert days == {"20"}
+
+
 # Jaccard join
 
 
@@ -436,6 +482,39 @@ def test_fingerprints_of_very_long_texts():
     assert np.array_equal(whole, maker.fingerprint(b" ".join(words)))
 
 
+@pytest.mark.parametrize("n", [50, 300, 2000, 6000, 20_000, 100_000])
+def test_a_third_replaced_stays_near_at_every_length(n):
+    words, others = ([b"%s%d" % (w, i) for i in range(n)] for w in (b"word", b"other"))
+    maker = imatch.Fingerprinter(imatch.Hasher().distinct(b" ".join(words + others)))
+    whole, edited, other = (maker.fingerprint(b" ".join(w)) for w in (words, words[: n - n // 3] + others[: n // 3], others))
+    # Some tens of subsets are compared, so the share varies around a half to a third.
+    assert 0.15 < maker.likeness(whole, edited) < 0.8 and maker.likeness(whole, other) < 0.05
+
+
+def test_fingerprints_equal_brute_force():
+    draw = random.Random(8)
+    vocabulary = [b"t%d" % i for i in range(3000)]
+    hasher = imatch.Hasher()
+    maker = imatch.Fingerprinter(hasher.distinct(b" ".join(vocabulary[::2])))
+    lexicon = set(maker.terms.tolist())
+    for n in (0, 1, 3, 40, 700, 5000):
+        text = b" ".join(draw.choices(vocabulary, k=n))
+        every = sorted({hasher.known[w] for w in words_of(text)}) if n else []
+        kept = [t for t in every if t in lexicon] or every
+        got = maker.fingerprint(text)
+        levels = (len(got) - 1) // maker.subsets
+        first = next(d for d in range(1, 65) if len(kept) >> d <= imatch.DENSEST)
+        assert levels == max(imatch.LEVELS, first + imatch.SPARSER)
+        expected = [int.from_bytes(hashlib.blake2b(text, digest_size=4).digest(), "little")]
+        for level in range(1, levels + 1):
+            for salt in maker.salts:
+                with np.errstate(over="ignore"):
+                    members = [t for t in kept if int(imatch.mixed(np.array([t], np.uint64) ^ salt)[0]) % (1 << level) == 0]
+                digest = hashlib.blake2b(b"".join(t.to_bytes(8, "little") for t in members), digest_size=4).digest()
+                expected.append((int.from_bytes(digest, "little") or 1) if members and level >= first else 0)
+        assert got.tolist() == expected
+
+
 @pytest.mark.parametrize("pieces", [1, 3, 40])
 def test_next_document_across_pieces(spark, odd, pieces):
     rows = [(i, f"text number {i} of many") for i in range(50)]
