@@ -100,7 +100,7 @@ _LINE = """CASE WHEN base_id % 131 = 0 THEN '{"event_id":"x'
  ELSE '{"event_id":"' || event_id || '","event_type":"page_view","user_id":"u","event_ts":"2024-01-01T00:00:00Z","source":"web","payload":{"page":"/"}}' END"""
 _BLANK_ID = "trim(event_id, ' ') = ''"
 _ID_ERROR = f"CASE WHEN {_BLANK_ID} THEN 'event_id must be a non-empty string' END"
-_LINE_ERRORS = f"""CASE WHEN base_id % 131 = 0 THEN ['invalid JSON']
+_LINE_ERRORS = f"""CASE WHEN base_id % 131 = 0 THEN ['invalid JSON at column 13: Unterminated string starting at']
  WHEN base_id % 17 = 0 THEN ['missing fields: [''source'', ''user_id'']', {_ID_ERROR}]
  WHEN base_id % 19 = 0 THEN [{_ID_ERROR}, 'user_id must be a non-empty string', 'event_ts must be an ISO 8601 timestamp with a timezone']
  WHEN base_id % 23 = 0 THEN ['event must be a JSON object'] ELSE [{_ID_ERROR}] END"""

@@ -96,12 +96,19 @@ def test_structure_of_lines(spark):
     short = {k: v for k, v in whole.items() if k not in ("source", "payload")}
     found = errors_of(spark, whole, "", "   ", "{oops", "[1]", '"text"', short, whole, {**short, "payload": None, "source": None})
     assert found == {
-        1: [], 4: ["invalid JSON"], 5: ["event must be a JSON object"], 6: ["event must be a JSON object"],
+        1: [], 4: ["invalid JSON at column 2: Expecting property name enclosed in double quotes"], 5: ["event must be a JSON object"], 6: ["event must be a JSON object"],
         7: ["missing fields: ['payload', 'source']", "duplicate event_id: e1"], 8: ["duplicate event_id: e1"],
         9: ["source is not allowed", "payload must be an object", "duplicate event_id: e1"],
     }
 
 
+def test_place_and_cause_of_malformed_lines(spark):
+    texts = {'{"a": }': "invalid JSON at column 7: Expecting value", "nul": "invalid JSON at column 1: Expecting value", '{"a": "b': "invalid JSON at column 7: Unterminated string starting at",
+             '{"a": NaN}': "invalid JSON: NaN, Infinity or a repeated key", '{"a":1,"a":2}': "invalid JSON: NaN, Infinity or a repeated key"}
+    found = errors_of(spark, *texts)
+    assert [found[i + 1] for i in range(len(texts))] == [[m] for m in texts.values()]
+
+
 def test_zoned_timestamps(spark):
     texts = ["2026-06-30T14:00:00Z", "2026-06-30T10:00:00-04:00", "2026-06-30T14:00:00", "not-a-timestamp", "2026-06-30", "", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(is_zoned_timestamp(F.col("t")).alias("ok"))
