@@ -23,6 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ LISTED = 2000
 #: Prefixes expanded per language in the first round; each later round takes ``GROWTH`` times as many.
 FIRST, GROWTH = 20_000, 8
 #: Words in one counting batch, different words that a task remembers, and phrases in one batch that it hands on.
-BATCH_WORDS, HELD, HANDED = 1_000_000, 500_000, 50_000
+BATCH_WORDS, HELD, HANDED = 2_000_000, 500_000, 100_000
 BITS_PER_ENTRY, MOST_BITS = 16, 28
 _PAGE = 1 << 15
 #: A-Z lower-cased; the characters that end a piece become line feeds, tabs become spaces.
@@ -134,28 +135,31 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class _Words(dict):
     """Numbers of the frequent words of one language in a task; 0 for all others."""
 
-    def __init__(self, lang: str, frequent: Bitmap, names: list[tuple[str, bytes]], hashes: list[int]) -> None:
+    def __init__(self, lang: str, frequent: Bitmap, names: list[bytes], langs: list[str], hashes: list[int]) -> None:
         super().__init__()
-        self.lang, self.frequent, self.names, self.hashes = lang, frequent, names, hashes
+        self.lang, self.frequent, self.names, self.langs, self.hashes = lang, frequent, names, langs, hashes
 
     def __missing__(self, word: bytes) -> int:
         value, number = _word_hash(self.lang, word), 0
         if self.frequent.has_one(value):
             number = len(self.names)
-            self.names.append((self.lang, word))
+            self.names.append(word)
+            self.langs.append(self.lang)
             self.hashes.append(value)
         self[word] = number
         return number
 
 
-def _runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """One place of each distinct row of the columns and how often the row occurs."""
-    order = np.lexsort(columns[::-1])
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = reduce(np.logical_or, [c[order][1:] != c[order][:-1] for c in columns])
-    begins = np.flatnonzero(new)
-    return order[begins], np.diff(np.append(begins, len(order)))
+def _counted_rows(ids: np.ndarray, at: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different runs of ``m`` numbers from the given places, and how often each occurs."""
+    if m == 2:
+        codes, times = np.unique(ids[at] << 32 | ids[at + 1], return_counts=True)  # a plain sort of one column
+        return np.stack([codes >> 32, codes & 0xFFFFFFFF], 1), times
+    rows = np.stack([ids[at + k] for k in range(m)], 1)
+    order = np.lexsort(rows.T[::-1])
+    rows = rows[order]
+    begins = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(1))) if len(rows) else np.zeros(0, np.int64)
+    return rows[begins], np.diff(np.append(begins, len(rows)))
 
 
 def _wanted_places(ids: np.ndarray, hashes: np.ndarray, sets: dict[str, Bitmap]) -> Iterator[tuple[int, np.ndarray]]:
@@ -185,30 +189,27 @@ def phrase_counts(docs: DataFrame, sets: dict[str, Bitmap], batch_words: int = B
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = shared.value
         words: dict[str, _Words] = {}
-        names: list = [None]
+        names: list[bytes] = [b""]
+        langs: list[str] = [""]
         hashes: list[int] = [0]
         row: list[int] = []
 
         def counted() -> Iterator[pa.RecordBatch]:
             ids = np.array([0, *row, 0, 0, 0], np.int64)
             row.clear()
+            words_, langs_ = pa.array(names, pa.binary()).cast(pa.string()), pa.array(langs, pa.string())
             for m, at in _wanted_places(ids, np.array(hashes, np.uint64), asked):
-                code = [ids[at] << 32 | ids[at + 1]]
-                if m > 2:
-                    code.append(ids[at + 2] << 32 | (ids[at + 3] if m > 3 else 0))
-                some, times = _runs(code)
-                for i in range(0, len(some), HANDED):
-                    begins, n = at[some[i : i + HANDED]], times[i : i + HANDED]
-                    columns = [ids[begins + k].tolist() for k in range(m)]
-                    phrases = [b" ".join([names[i][1] for i in t]) for t in zip(*columns, strict=True)]
-                    langs = [names[i][0] for i in columns[0]]
-                    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([m] * len(langs), pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "m", "phrase", "n"])
+                every, times = _counted_rows(ids, at, m)
+                for i in range(0, len(every), HANDED):
+                    some, n = every[i : i + HANDED], times[i : i + HANDED]
+                    phrases = pc.binary_join_element_wise(*[words_.take(pa.array(some[:, k])) for k in range(m)], " ")
+                    yield pa.RecordBatch.from_arrays([langs_.take(pa.array(some[:, 0])), pa.array(np.full(len(n), m, np.int32)), phrases, pa.array(n, pa.int64())], names=["lang", "m", "phrase", "n"])
 
         for whole in batches:
             for batch in slices(whole, "text"):
                 for lang, raw in zip(batch.column("lang").to_pylist(), raw_texts(batch.column("text")), strict=True):
                     if lang not in words:
-                        words[lang] = _Words(lang, asked["words"], names, hashes)
+                        words[lang] = _Words(lang, asked["words"], names, langs, hashes)
                     number = words[lang].__getitem__
                     for piece in pieces_of(raw):
                         if len(piece) > 1:
@@ -219,7 +220,7 @@ def phrase_counts(docs: DataFrame, sets: dict[str, Bitmap], batch_words: int = B
                     yield from counted()
                 if full:
                     words.clear()
-                    del names[1:], hashes[1:]
+                    del names[1:], langs[1:], hashes[1:]
         yield from counted()
 
     return _source(docs).mapInArrow(run, _COUNTED).groupBy("lang", "m", "phrase").agg(F.sum("n").alias("f"))
