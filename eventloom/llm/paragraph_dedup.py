@@ -106,7 +106,7 @@ class LineSets:
             hashes.append(_run_of(ids, short, (np.cumsum(counts) - counts)[some]))
             lines.append(some)
         every, owner = np.concatenate(hashes), np.concatenate(lines)
-        order = np.lexsort((every, owner))
+        order = _by_owner(every, owner)
         every, owner = every[order], owner[order]
         new = np.ones(len(every), bool)
         new[1:] = (every[1:] != every[:-1]) | (owner[1:] != owner[:-1])
@@ -138,6 +138,17 @@ class LineSets:
         return out
 
 
+def _by_owner(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The order by owner and hash. One sort of the owner with the high bits of the hash; ties of these are rare."""
+    if len(owner) and owner[-1] < 1 << 20 and owner.max() < 1 << 20:
+        key = owner.astype(np.uint64) << np.uint64(44) | hashes >> np.uint64(20)
+        order = np.argsort(key)
+        key, sorted_ = key[order], hashes[order]
+        if not ((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+            return order
+    return np.lexsort((hashes, owner))
+
+
 def _run_of(ids: np.ndarray, size: int, begins: np.ndarray) -> np.ndarray:
     """The hash of the ``size`` words from each begin, as ``Shingler`` has it."""
     with np.errstate(over="ignore"):
@@ -247,6 +258,53 @@ def _members(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _DEALT = pa.schema([("part", pa.int32()), ("ready", pa.bool_()), ("packed", pa.binary())])
 
 
+def _pack(entries: np.ndarray) -> bytes:
+    """Entries column by column; the rows they are of are written once, offsets in four bytes."""
+    owner = [n for n in ("t1", "t2", "doc", "known") if n in entries.dtype.names]
+    if not owner:
+        return entries.tobytes()
+    order = np.lexsort([entries[n] for n in reversed(owner)])
+    new = np.zeros(len(entries), bool)
+    for name in owner:
+        new[1:] |= entries[name][order][1:] != entries[name][order][:-1]
+    new[:1] = True
+    number = np.zeros(len(entries), "<u4")
+    number[order] = np.cumsum(new) - 1
+    table = entries[order[new]]
+    columns = [np.array([len(entries), len(table)], "<u4"), *[np.ascontiguousarray(table[n]) for n in owner], number]
+    for name in entries.dtype.names:
+        if name not in owner:
+            values = entries[name] - entries["a"] if name == "b" else entries[name]
+            columns.append(np.ascontiguousarray(values.astype("<u4") if values.dtype == np.int64 else values))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([c.tobytes() for c in columns]))
+
+
+def _unpack(packed: bytes, kind: np.dtype) -> np.ndarray:
+    owner = [n for n in ("t1", "t2", "doc", "known") if n in kind.names]
+    if not owner:
+        return np.frombuffer(packed, kind)
+    raw, at = zstandard.ZstdDecompressor().decompress(packed), 0
+
+    def take(form: str | np.dtype, n: int) -> np.ndarray:
+        nonlocal at
+        values = np.frombuffer(raw, form, n, at)
+        at += values.nbytes
+        return values
+
+    size, rows = take("<u4", 2).tolist()
+    table = {n: take(kind[n], rows) for n in owner}
+    number = take("<u4", size)
+    out = np.zeros(size, kind)
+    for name in kind.names:
+        if name in owner:
+            out[name] = table[name][number]
+        else:
+            out[name] = take("<u4" if kind[name] == np.int64 else kind[name], size)
+    if "b" in kind.names:
+        out["b"] += out["a"]
+    return out
+
+
 def _deal(held: list[np.ndarray], parts: int, meet) -> pa.RecordBatch:
     """``meet`` inside the task: what it says of these entries is ready, what is left goes to the parts."""
     ready, left = meet(np.concatenate(held))
@@ -257,7 +315,7 @@ def _deal(held: list[np.ndarray], parts: int, meet) -> pa.RecordBatch:
         order = np.argsort(part, kind="stable")
         entries, part = entries[order], part[order]
         begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
-        rows += [(p, done, e.tobytes()) for p, e in zip(part[begins].tolist(), np.split(entries, begins[1:]), strict=True)] if len(part) else []
+        rows += [(p, done, _pack(e)) for p, e in zip(part[begins].tolist(), np.split(entries, begins[1:]), strict=True)] if len(part) else []
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _DEALT, strict=True)], schema=_DEALT)
 
 
@@ -279,13 +337,13 @@ def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str
         for batch in batches:
             for part, ready, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if ready:
-                    yield from batch_of(np.frombuffer(packed, kind))
+                    yield from batch_of(_unpack(packed, kind))
                     continue
                 if part != now and held:
                     yield from batch_of(meet(np.concatenate(held))[0])
                     held = []
                 now = part
-                held.append(np.frombuffer(packed, kind))
+                held.append(_unpack(packed, kind))
         if held:
             yield from batch_of(meet(np.concatenate(held))[0])
 

@@ -699,3 +699,26 @@ def test_line_sets_equal_one_by_one(texts):
         assert all(np.array_equal(signed[i], minhash.signature(expected[c][3])) for i, c in enumerate(chosen.tolist()))
         keys = paragraph_dedup.band_matrix(signed, 4)
         assert keys.shape == (len(chosen), 6) and len(np.unique(keys)) == len({(b, *row[4 * b : 4 * b + 4]) for row in signed.tolist() for b in range(6)})
+
+
+def test_packed_entries_come_back():
+    draw = np.random.default_rng(2)
+    for kind in (paragraph_dedup._SEED, paragraph_dedup._BAND, paragraph_dedup._PASSAGE):
+        for n in (0, 1, 500):
+            entries = np.zeros(n, kind)
+            for name in kind.names:
+                entries[name] = draw.integers(0, 2 if name == "known" else 2**31 if name in "gpab" else 2**62, n)
+            for name in ("t1", "t2", "doc"):
+                if name in kind.names:
+                    entries[name] = draw.choice([-5, 3, 2**62], n)
+            if "b" in kind.names:
+                entries["b"] = entries["a"] + draw.integers(0, 2**20, n)
+            assert np.array_equal(paragraph_dedup._unpack(paragraph_dedup._pack(entries), kind), entries)
+
+
+def test_order_by_owner_and_hash():
+    draw = np.random.default_rng(3)
+    for high in (2**64 - 1, 2**21):  # many ties of the high bits
+        hashes, owner = draw.integers(0, high, 5000, np.uint64), np.sort(draw.integers(0, 50, 5000))
+        order = paragraph_dedup._by_owner(hashes, owner)
+        assert np.array_equal(hashes[order], hashes[np.lexsort((hashes, owner))]) and np.array_equal(owner[order], owner)
