@@ -123,11 +123,11 @@ def top_per_group(counts: DataFrame, group: list[str], order: list[Column], n: i
 
 
 # Balance after one movement ``m`` on balance ``b``; a withdrawal above the balance is declined.
-_STEP = "CASE WHEN b + m.{amount} < 0 THEN b ELSE CAST(b + m.{amount} AS DECIMAL(18,2)) END"
+_STEP = "CASE WHEN b + m.{amount} < 0 THEN b ELSE CAST(b + m.{amount} AS DECIMAL(38,2)) END"
 
 
 _OUTCOME = T.ArrayType(
-    T.StructType([T.StructField("accepted", T.BooleanType()), T.StructField("balance", T.DecimalType(18, 2))])
+    T.StructType([T.StructField("accepted", T.BooleanType()), T.StructField("balance", T.DecimalType(38, 2))])
 )
 
 
@@ -157,7 +157,7 @@ def running_balance(
     moves; the n-th piece is final after at most n rounds, and an account leaves the rounds when all its pieces
     are final.
     """
-    exact = "decimal(18,2)"
+    exact = "decimal(38,2)"  # as wide as ``money``
     others = [c for c in rows.columns if c not in (account, amount, *order)]
     cut = in_pieces(rows, [account], order, piece_rows)
     moves = F.sort_array(F.collect_list(F.struct(*order, F.col(amount).cast(exact).alias(amount), *others)))

@@ -1,4 +1,4 @@
-"""Small inputs with known answers."""
+"""Small inputs with known answers: fixed values, which must be as they are for the expected results to hold."""
 
 
 def event(event_id, kind, user, ts, source="web", payload=None, **more):

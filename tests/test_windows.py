@@ -182,3 +182,12 @@ def test_pieces_follow_the_order_without_a_range_sample(spark, monkeypatch, piec
         pieces = sorted((p, v) for (k, p), v in got.items() if k == key and p is not None)
         assert all(max(x)[:4] < min(y)[:4] for (_, x), (_, y) in zip(pieces, pieces[1:]))
         assert all(len(v) <= piece_rows or len({x[:4] for x in v}) == 1 for _, v in pieces)
+
+
+@pytest.mark.parametrize("piece_rows", [2, 100])
+def test_balances_of_very_large_amounts(spark, piece_rows):
+    big = Decimal(10) ** 20 + Decimal("0.01")
+    moves = [(1, big), (2, -big - 1), (3, big), (4, -2 * big), (5, Decimal("-0.01"))]
+    rows = spark.createDataFrame([("a", s, m) for s, m in moves], "a string, i int, v decimal(38,2)")
+    out = running_balance(rows, "a", ["i"], "v", piece_rows=piece_rows).orderBy("i").collect()
+    assert [(r.i, r.accepted, r.balance) for r in out] == replay(moves, 0)
