@@ -46,7 +46,7 @@ def join_left_enrich(t: Tables) -> DataFrame:
 
 
 @query(with_flat(f""", {_PLACED}
-SELECT plan, region, sum(n) AS purchase_count, CAST(sum(spent) AS DOUBLE) AS revenue
+SELECT plan, region, CAST(sum(n) AS BIGINT) AS purchase_count, CAST(sum(spent) AS DOUBLE) AS revenue
 FROM (SELECT plan, region, count(amount) AS n, sum(amount) AS spent FROM placed WHERE event_type = 'purchase' GROUP BY ALL)
 GROUP BY ALL"""))
 def join_left_agg(t: Tables) -> DataFrame:
