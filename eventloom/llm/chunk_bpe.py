@@ -10,6 +10,12 @@ no later text can change, until a match begins at a place where one begins in th
 there on both agree. While they do not, the window doubles, at the end over the rest of the text.
 
 The strings of added tokens are found first; chunks do not cross them.
+
+Ids are those of the tokenizers library. Where it is shown to give the same, a faster encoder for the same merges is
+used: on load it is checked that merges come in the order of their ids and that every token is merged to itself. Then a
+pair of neighbours whose bytes are a token is always one of the merges (otherwise that token alone would end as the
+pair), so merging by the rank of the bytes is merging by the list. The way texts are split is compared for every
+character below U+0540; texts with others, and vocabularies that fail a check, are encoded by the library itself.
 """
 
 from __future__ import annotations
@@ -22,6 +28,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +48,10 @@ LOOK = 3
 WINDOW = 48
 #: Text in one call of the library; its encodings take some hundred bytes a token.
 CALL_BYTES = 512 << 10
+#: Fixed value: how byte-level tokenizers split a text into matches.
+_MATCHES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters below this one are compared on load; its first byte in UTF-8 and those after it tell others apart.
+_COMPARED, _OTHER_BYTE = 0x540, 0xD5
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _REF = "t1 long, t2 long, place int, size int, h1 long, h2 long"
 
@@ -82,6 +94,8 @@ class ChunkCoder:
         names = sorted(self.added, key=len, reverse=True)
         self.cuts = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.bytes_of = self._token_bytes() if json.loads(vocabulary)["decoder"]["type"] == "ByteLevel" else None
+        self.matches = regex.compile(_MATCHES)
+        self.quick = self._quick_encoder(json.loads(vocabulary))
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
     def _token_bytes(self) -> list[bytes]:
@@ -93,6 +107,32 @@ class ChunkCoder:
             out[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         return out
 
+    def _quick_encoder(self, made: dict) -> tiktoken.Encoding | None:
+        """An encoder that ranks merges by their bytes, if it is shown to give the library's ids."""
+        model, split = made["model"], made["pre_tokenizer"] or {}
+        if self.bytes_of is None or made["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+            return None
+        if model["type"] != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+            return None
+        vocabulary = model["vocab"]
+        merged = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+        if any(a >= b for a, b in zip(merged, merged[1:])):
+            return None
+        ranks = {self.bytes_of[i]: i for token, i in vocabulary.items() if token not in self.added}
+        tokenize = self.tokenizer.model.tokenize
+        if any(bytes([b]) not in ranks for b in range(256)) or any([t.id for t in tokenize(token)] != [i] for token, i in vocabulary.items() if token not in self.added):
+            return None
+        quick = tiktoken.Encoding("chunks", pat_str=_MATCHES, mergeable_ranks=ranks, special_tokens={})
+        for c in map(chr, range(_COMPARED)):
+            text = f"a{c}1{c} {c}{c}\n{c}'s {c}"
+            ids = quick.encode_ordinary(text)
+            if ids != self.tokenizer.encode(text, add_special_tokens=False).ids or ids != [i for m in self.matches.findall(text) for i in quick.encode_ordinary(m)]:
+                return None
+        return quick
+
+    def _is_quick(self, text: str) -> bool:
+        return self.quick is not None and (text.isascii() or int(np.frombuffer(text.encode(), np.uint8).max()) < _OTHER_BYTE)
+
     def decode(self, packed: list[np.ndarray]) -> list[str]:
         """The library's text of ids, added tokens included; ids that stand for nothing are left out."""
         if self.bytes_of is None:
@@ -105,8 +145,16 @@ class ChunkCoder:
         return self.cuts.split(text) if self.cuts else [text]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The library's ids of whole texts."""
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """The ids of whole texts without added tokens."""
+        quick = [self._is_quick(t) for t in texts]
+        others = iter(self.tokenizer.encode_batch_fast([t for t, q in zip(texts, quick, strict=True) if not q], add_special_tokens=False))
+        return [np.array(self.quick.encode_ordinary(t) if q else next(others).ids, "<u4") for t, q in zip(texts, quick, strict=True)]
+
+    def _settled(self, begins: np.ndarray, length: int) -> int:
+        """How many of the matches that begin there no text behind can change."""
+        # The last match touches the end; those that begin within LOOK of it may still become another alternative.
+        settled = (np.append(begins[1:], length) < length) & (begins <= length - LOOK)
+        return int(np.argmin(np.append(settled, False)))
 
     def _matches(self, encoding, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Characters and tokens at which matches begin that no text behind can change."""
@@ -115,22 +163,32 @@ class ChunkCoder:
         words, offsets = np.array(encoding.word_ids), encoding.offsets
         tokens = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
         begins = np.array([offsets[t][0] for t in tokens.tolist()])
-        # The last match touches the end; those that begin within LOOK of it may still become another alternative.
-        settled = np.append(begins[1:], length) < length
-        settled &= begins <= length - LOOK
-        count = int(np.argmin(np.append(settled, False)))
+        count = self._settled(begins, length)
         return begins[: count + 1], tokens[: count + 1]
 
     def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of a text, and where its settled matches and the one after them begin, in characters and in tokens."""
+        if self._is_quick(text):
+            parts = [(m.start(), self.quick.encode_ordinary(m.group())) for m in self.matches.finditer(text)]
+            begins = np.array([b for b, _ in parts])
+            tokens = np.cumsum([0, *[len(i) for _, i in parts]])
+            count = self._settled(begins, len(text))
+            return np.array([i for _, ids in parts for i in ids], "<u4"), begins[: count + 1], tokens[: count + 1]
         encoding = self.tokenizer.encode(text, add_special_tokens=False)
         return np.array(encoding.ids, "<u4"), *self._matches(encoding, len(text))
 
     def coded(self, texts: list[str]) -> list[tuple[np.ndarray, int, int]]:
         """For each chunk its ids, the last settled begin of a match, and the tokens before it."""
-        return [
-            (np.array(e.ids, "<u4"), *self._last_settled(e, len(t)))
-            for t, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True)
-        ]
+        quick = [self._is_quick(t) for t in texts]
+        others = iter(self.tokenizer.encode_batch([t for t, q in zip(texts, quick, strict=True) if not q], add_special_tokens=False))
+        return [self._quickly_coded(t) if q else (np.array((e := next(others)).ids, "<u4"), *self._last_settled(e, len(t))) for t, q in zip(texts, quick, strict=True)]
+
+    def _quickly_coded(self, text: str) -> tuple[np.ndarray, int, int]:
+        begins = np.array([m.start() for m in self.matches.finditer(text)])
+        sure = int(begins[self._settled(begins, len(text))])
+        ids = self.quick.encode_ordinary(text)
+        # A match begins there, and no alternative looks back, so the rest is split as it is here.
+        return np.array(ids, "<u4"), sure, len(ids) - len(self.quick.encode_ordinary(text[sure:]))
 
     @staticmethod
     def _last_settled(encoding, length: int) -> tuple[int, int]:
@@ -242,8 +300,11 @@ def _assembled(coder: ChunkCoder, open_: zstandard.ZstdDecompressor, raws: list[
     """The ids of texts, some with encoded chunks. All text without ids goes to the library together."""
     plain = [i for i, p in enumerate(pieces) if not p]
     out: list = [None] * len(raws)
-    for i, ids in zip(plain, coder.ids([raws[i].decode() for i in plain]), strict=True):
-        out[i] = ids
+    whole = {i: coder.segments(raws[i].decode()) for i in plain}
+    ids = iter(coder.ids([s for i in plain for s in whole[i] if s not in coder.added]))
+    for i in plain:
+        parts = [np.array([coder.added[s]], "<u4") if s in coder.added else next(ids) for s in whole[i]]
+        out[i] = parts[0] if len(parts) == 1 else np.concatenate(parts)
     jobs, fresh = [], []
     for i in set(range(len(raws))).difference(plain):
         at, known, segments = 0, {p["place"]: p for p in pieces[i]}, []

@@ -22,10 +22,18 @@ def library():
 
 
 @pytest.fixture(scope="module")
-def coder():
+def made():
     return chunk_bpe.ChunkCoder(open(TOKENIZER, "rb").read())
 
 
+@pytest.fixture(params=["quick", "library"])
+def coder(request, made, monkeypatch):
+    assert made.quick is not None
+    if request.param == "library":
+        monkeypatch.setattr(made, "quick", None)
+    return made
+
+
 def expected(library, text):
     ids = library.encode(text or "", add_special_tokens=False).ids
     return np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)
@@ -41,10 +49,30 @@ def test_joins_are_repaired_exactly(coder, library):
         for text, (ids, sure, n_sure) in zip(parts, coder.coded(parts), strict=True):
             begins, tokens = coder._matches(coder.tokenizer.encode(text, add_special_tokens=False), len(text))
             assert (sure, n_sure) == (begins[-1], tokens[-1]) and len(ids)
+            every, places, numbers = coder._encode(text)
+            assert every.tolist() == ids.tolist() and places.tolist() == begins.tolist() and numbers.tolist() == tokens.tolist()
         got = coder.join(parts, coder.coded(parts)).tolist()
         assert got == library.encode("".join(parts), add_special_tokens=False).ids, parts
 
 
+def test_ids_of_random_characters(coder, library):
+    draw = random.Random(6)
+    low, high = [chr(c) for c in range(0x540)], [chr(c) for c in (*range(0x540, 0xD800, 7), *range(0xE000, 0x1FFFF, 37))]
+    for letters in (low, low[:128], high, low + high):
+        rows = ["".join(draw.choices(letters, k=draw.randrange(80))) for _ in range(400)]
+        assert [i.tolist() for i in coder.ids(rows)] == [e.ids for e in library.encode_batch(rows, add_special_tokens=False)]
+
+
+def test_a_vocabulary_that_differs_is_left_to_the_library(made):
+    import json
+
+    plain = json.load(open(TOKENIZER))
+    changed = json.loads(json.dumps(plain))
+    changed["model"]["merges"][0], changed["model"]["merges"][9] = changed["model"]["merges"][9], changed["model"]["merges"][0]
+    assert made._quick_encoder(plain) is not None and made._quick_encoder(changed) is None
+    assert made._quick_encoder({**plain, "normalizer": {"type": "NFC"}}) is None
+
+
 def test_decoding_equals_the_library(coder, library):
     draw = np.random.default_rng(3)
     rows = [draw.integers(0, 50_400, n) for n in (0, 1, 5, 300, 3000)] + [draw.integers(0, 300, 2000), np.array([50256, 50256]), np.array([60_000])]
