@@ -44,9 +44,13 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _COUNTED = "lang string, m int, phrase string, n long"
 
 
-def pieces_of(raw: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece of a text that has any."""
-    return filter(None, map(bytes.split, raw.translate(_PIECES).split(b"\n")))
+#: Stands between pieces; no UTF-8 text has this byte.
+_BORDER = b"\xff"
+
+
+def words_of_pieces(raw: bytes) -> list[bytes]:
+    """The words of a text, with a border wherever a piece ends."""
+    return raw.translate(_PIECES).replace(b"\n", b" " + _BORDER + b" ").split()
 
 
 def _word_hash(lang: str, word: bytes) -> int:
@@ -122,9 +126,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 for lang, raw in zip(batch.column("lang").to_pylist(), raw_texts(batch.column("text")), strict=True):
-                    own = seen.setdefault(lang, Counter())
-                    for words in pieces_of(raw):
-                        own.update(words)
+                    seen.setdefault(lang, Counter()).update(raw.translate(_PIECES).split())
                 if sum(map(len, seen.values())) > HELD:
                     yield from counted()
         yield from counted()
@@ -136,7 +138,7 @@ class _Words(dict):
     """Numbers of the frequent words of one language in a task; 0 for all others."""
 
     def __init__(self, lang: str, frequent: Bitmap, names: list[bytes], langs: list[str], hashes: list[int]) -> None:
-        super().__init__()
+        super().__init__({_BORDER: 0})
         self.lang, self.frequent, self.names, self.langs, self.hashes = lang, frequent, names, langs, hashes
 
     def __missing__(self, word: bytes) -> int:
@@ -210,11 +212,8 @@ def phrase_counts(docs: DataFrame, sets: dict[str, Bitmap], batch_words: int = B
                 for lang, raw in zip(batch.column("lang").to_pylist(), raw_texts(batch.column("text")), strict=True):
                     if lang not in words:
                         words[lang] = _Words(lang, asked["words"], names, langs, hashes)
-                    number = words[lang].__getitem__
-                    for piece in pieces_of(raw):
-                        if len(piece) > 1:
-                            row.extend(map(number, piece))
-                            row.append(0)
+                    row.extend(map(words[lang].__getitem__, words_of_pieces(raw)))
+                    row.append(0)
                 full = sum(map(len, words.values())) > HELD
                 if full or len(row) > batch_words:
                     yield from counted()
