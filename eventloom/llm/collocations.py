@@ -35,7 +35,7 @@ LISTED = 2000
 #: Prefixes expanded per language in the first round; each later round takes ``GROWTH`` times as many.
 FIRST, GROWTH = 20_000, 8
 #: Words in one counting batch, different words that a task remembers, and phrases in one batch that it hands on.
-BATCH_WORDS, HELD, HANDED = 2_000_000, 500_000, 100_000
+BATCH_WORDS, HELD, HANDED = 1_000_000, 400_000, 100_000
 BITS_PER_ENTRY, MOST_BITS = 16, 28
 _PAGE = 1 << 15
 #: A-Z lower-cased; the characters that end a piece become line feeds, tabs become spaces.
