@@ -44,8 +44,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: As the bytes of words, with line feeds kept.
 _LINE_BYTES = bytes(10 if c == 10 else c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _SEED = np.dtype([("h", "<u8"), ("t1", "<i8"), ("t2", "<i8"), ("p", "<i8")])
-_BAND = np.dtype([("h", "<u8"), ("k1", "<u8"), ("k2", "<u8")])
-_MEMBER = np.dtype([("k1", "<u8"), ("k2", "<u8"), ("b", "<i8"), ("leader", "<i8")])
+_BAND = np.dtype([("h", "<u8"), ("k", "<i8")])
+_MEMBER = np.dtype([("k", "<i8"), ("b", "<i8"), ("leader", "<i8")])
 _PASSAGE = np.dtype([("h", "<u8"), ("g", "<u4"), ("known", "u1"), ("doc", "<i8"), ("t1", "<i8"), ("t2", "<i8"), ("a", "<i8"), ("b", "<i8")])
 
 
@@ -239,8 +239,8 @@ def _later(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _distinct(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    entries = entries[np.lexsort([entries[c] for c in ("k2", "k1", "h")])]
-    return entries[:0], entries[_groups(entries, ("h", "k1", "k2"))]
+    entries = entries[np.lexsort([entries["k"], entries["h"]])]
+    return entries[:0], entries[_groups(entries, ("h", "k"))]
 
 
 def _members(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,8 +250,8 @@ def _members(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begins = np.flatnonzero(new)
     sizes = np.diff(np.append(begins, len(entries)))
     out = np.zeros(len(entries), _MEMBER)
-    out["k1"], out["k2"], out["b"] = entries["k1"], entries["k2"], np.ascontiguousarray(entries["h"]).view(np.int64)
-    out["leader"] = np.repeat(np.ascontiguousarray(entries["k1"][begins]).view(np.int64), sizes)
+    out["k"], out["b"] = entries["k"], np.ascontiguousarray(entries["h"]).view(np.int64)
+    out["leader"] = np.repeat(entries["k"][begins], sizes)
     return out[np.repeat(sizes > 1, sizes)], entries[:0]
 
 
@@ -259,10 +259,15 @@ _DEALT = pa.schema([("part", pa.int32()), ("ready", pa.bool_()), ("packed", pa.b
 
 
 def _pack(entries: np.ndarray) -> bytes:
-    """Entries column by column; the rows they are of are written once, offsets in four bytes."""
+    """Entries column by column; the rows they are of are written once, offsets in four bytes, band keys in five.
+
+    The entries of one part have at most some hundred thousand band keys, so 40 of their bits tell them apart but for
+    a candidate too many now and then; ``_unpack`` puts the number of the part before them.
+    """
     owner = [n for n in ("t1", "t2", "doc", "known") if n in entries.dtype.names]
     if not owner:
-        return entries.tobytes()
+        keys = mixed(entries["h"]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        return keys.tobytes() + entries["k"].astype("<i8").tobytes()
     order = np.lexsort([entries[n] for n in reversed(owner)])
     new = np.zeros(len(entries), bool)
     for name in owner:
@@ -279,10 +284,16 @@ def _pack(entries: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join([c.tobytes() for c in columns]))
 
 
-def _unpack(packed: bytes, kind: np.dtype) -> np.ndarray:
+def _unpack(packed: bytes, kind: np.dtype, part: int) -> np.ndarray:
     owner = [n for n in ("t1", "t2", "doc", "known") if n in kind.names]
     if not owner:
-        return np.frombuffer(packed, kind)
+        size = len(packed) // 13
+        keys = np.zeros((size, 8), np.uint8)
+        keys[:, :5] = np.frombuffer(packed, np.uint8, 5 * size).reshape(-1, 5)
+        out = np.zeros(size, kind)
+        out["h"] = keys.view("<u8").ravel() | np.uint64(part << 40)
+        out["k"] = np.frombuffer(packed, "<i8", size, 5 * size)
+        return out
     raw, at = zstandard.ZstdDecompressor().decompress(packed), 0
 
     def take(form: str | np.dtype, n: int) -> np.ndarray:
@@ -320,34 +331,28 @@ def _deal(held: list[np.ndarray], parts: int, meet) -> pa.RecordBatch:
 
 
 def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str, ...]) -> DataFrame:
-    """``columns`` (``k``: a key of 16 bytes) of the entries that ``meet`` gives for each part, and of those that were ready."""
-
-    def column(entries: np.ndarray, name: str) -> pa.Array:
-        if name != "k":
-            return pa.array(np.ascontiguousarray(entries[name]))
-        keys = pa.py_buffer(np.stack([entries["k1"], entries["k2"]], 1).tobytes())
-        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(entries), [None, keys]).cast(pa.binary())
+    """``columns`` of the entries that ``meet`` gives for each part, and of those that were ready."""
 
     def batch_of(entries: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(entries), 100_000):
-            yield pa.RecordBatch.from_arrays([column(entries[i : i + 100_000], c) for c in columns], names=list(columns))
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(entries[i : i + 100_000][c])) for c in columns], names=list(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
             for part, ready, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if ready:
-                    yield from batch_of(_unpack(packed, kind))
+                    yield from batch_of(_unpack(packed, kind, part))
                     continue
                 if part != now and held:
                     yield from batch_of(meet(np.concatenate(held))[0])
                     held = []
                 now = part
-                held.append(_unpack(packed, kind))
+                held.append(_unpack(packed, kind, part))
         if held:
             yield from batch_of(meet(np.concatenate(held))[0])
 
-    return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, ", ".join("k binary" if c == "k" else f"{c} long" for c in columns))
+    return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
 
 
 def _paragraph_table(docs: DataFrame, text: str, least: int, words: int) -> DataFrame:
@@ -368,7 +373,10 @@ def _paragraph_table(docs: DataFrame, text: str, least: int, words: int) -> Data
 
 
 def _band_members(docs: DataFrame, text: str, least: int, words: int, bands: int, rows: int, similar: float, parts: int) -> DataFrame:
-    """k, b, leader of the paragraphs that share a band key with a different one; see ``member_units``."""
+    """k, b, leader of the paragraphs that share a band key with a different one; see ``member_units``.
+
+    A set goes by 64 bits of its key here (``xxhash64`` of it in SQL). Sets equal in these are candidates together.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, minhash = WordHashes(), MinHash(bands * rows)
@@ -388,10 +396,10 @@ def _band_members(docs: DataFrame, text: str, least: int, words: int, bands: int
                 # At most HELD entries at a time, whatever the texts of the slice.
                 for i in range(0, len(chosen), HELD // bands):
                     some = chosen[i : i + HELD // bands]
-                    names = np.frombuffer(b"".join(list(fresh)[i : i + HELD // bands]), np.uint64).reshape(-1, 2)
+                    names = np.array([xxhash.xxh64_intdigest(k, 42) for k in list(fresh)[i : i + HELD // bands]], np.uint64)
                     out = np.zeros((len(some), bands), _BAND)
                     out["h"] = band_matrix(sets.signatures(some, minhash), rows)
-                    out["k1"], out["k2"] = names[:, :1], names[:, 1:]
+                    out["k"] = names.view(np.int64)[:, None]
                     held.append(out.ravel())
                     if sum(map(len, held)) > HELD:
                         yield _deal(held, parts, _distinct)
@@ -521,8 +529,10 @@ def find_repeats(
     sets = store(table.groupBy("k").agg(F.max("n").alias("n"), F.min(F.struct("doc_id", "t1", "t2", "a", "b")).alias("first"), F.count("*").alias("times")), "paragraph-sets")
     least_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = _band_members(docs, text, least, words, bands, rows, similar, max(least_parts, -(-sets.count() * bands // PART_KEYS)))
-    units = member_units(store(members, "bucket-members"), sets.select("k", "n"))
-    wanted = units.join(sets.select("k", "first"), "k").groupBy("first.t1", "first.t2").agg(F.collect_list(F.struct("k", "first.a", "first.b", "units")).alias("wanted"))
+    tag = F.xxhash64("k").alias("tag")
+    sizes = sets.groupBy(tag).agg(F.sum("n").alias("n")).withColumnRenamed("tag", "k")
+    units = member_units(store(members, "bucket-members"), sizes).withColumnRenamed("k", "tag")
+    wanted = units.join(sets.select(tag, "k", "first"), "tag").groupBy("first.t1", "first.t2").agg(F.collect_list(F.struct("k", "first.a", "first.b", "units")).alias("wanted"))
     texts = packed_texts(docs.select("doc_id", F.col(text).alias("_t")), "_t", ["doc_id"], by="doc_id").where("z IS NOT NULL").dropDuplicates(["t1", "t2"])
     linked = store(solve_units(_unit_rows(texts.join(wanted, ["t1", "t2"]), words), similar, None), "paragraph-links")
     roots = components(linked.select("k", "root"))

@@ -713,7 +713,14 @@ def test_packed_entries_come_back():
                     entries[name] = draw.choice([-5, 3, 2**62], n)
             if "b" in kind.names:
                 entries["b"] = entries["a"] + draw.integers(0, 2**20, n)
-            assert np.array_equal(paragraph_dedup._unpack(paragraph_dedup._pack(entries), kind), entries)
+            back = paragraph_dedup._unpack(paragraph_dedup._pack(entries), kind, 3)
+            if kind == paragraph_dedup._BAND:
+                # Equal keys stay equal, others differ, and keys of other parts are others.
+                assert np.array_equal(back["k"], entries["k"]) and (back["h"] >> np.uint64(40) == 3).all()
+                same = {(int(a), int(b)) for a, b in zip(entries["h"], back["h"], strict=True)}
+                assert len(same) == len(set(entries["h"].tolist())) == len(set(back["h"].tolist()))
+            else:
+                assert np.array_equal(back, entries)
 
 
 def test_order_by_owner_and_hash():
@@ -722,3 +729,12 @@ def test_order_by_owner_and_hash():
         hashes, owner = draw.integers(0, high, 5000, np.uint64), np.sort(draw.integers(0, 50, 5000))
         order = paragraph_dedup._by_owner(hashes, owner)
         assert np.array_equal(hashes[order], hashes[np.lexsort((hashes, owner))]) and np.array_equal(owner[order], owner)
+
+
+def test_set_tags_are_those_of_sql(spark):
+    from pyspark.sql import functions as F
+    import xxhash
+
+    keys = [hashlib.md5(bytes([i])).digest() for i in range(50)]
+    rows = spark.createDataFrame([(bytearray(k),) for k in keys], "k binary").select("k", F.xxhash64("k").alias("tag")).collect()
+    assert all(r.tag == np.array([xxhash.xxh64_intdigest(bytes(r.k), 42)], np.uint64).view(np.int64)[0] for r in rows)
