@@ -176,12 +176,12 @@ def cdc_merge_task(t: Tables) -> DataFrame:
 @query(with_flat("SELECT event_date, event_type, source, COUNT(*) AS event_count, COUNT(DISTINCT user_id) AS unique_users FROM flat GROUP BY 1, 2, 3"))
 def incremental_model(t: Tables) -> DataFrame:
     # Files of the events before the high-water mark arrive and are built, then those of what came after it. The second
-    # run reads the new files and the one older file that shares a day with them.
+    # run reads the new files and the older ones that share a day with them.
     mark = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
     source, path, manifest = t.scratch("flat-events"), t.scratch("daily-mart"), t.scratch("file-days")
-    events = flat(t).drop("event_date").withColumn("arrived", F.to_date("event_time"))
+    events = flat(t).drop("event_date")
     for part in (F.col("event_time") < mark, F.col("event_time") >= mark):
-        events.where(part).write.mode("append").partitionBy("arrived").parquet(source)
+        events.where(part).write.mode("append").parquet(source)
         changes.rebuild_from_files(t.spark, source, lambda rows: gold.daily_mart(rows, "event_time"), path, manifest, F.to_date("event_time"))
     mart = t.spark.read.parquet(path)
     return mart.select("event_date", "event_type", "source", "event_count", "unique_users")

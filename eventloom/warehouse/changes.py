@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.skew import stored_small
+from eventloom.operators.skew import broadcast_if_small, stored_small
 from eventloom.operators.windows import latest_per_key, with_neighbour
 from eventloom.session import cut_lineage
 
@@ -136,12 +136,6 @@ def incremental_rebuild(
     build(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def _file_ranges(spark: SparkSession, files: list[str], day: Column) -> DataFrame:
-    """file, first, last: the days in each of some files; reads the columns that the day needs."""
-    rows = spark.read.parquet(*files).select(F.col("_metadata.file_path").alias("file"), day.alias("_day"))
-    return rows.groupBy("file").agg(F.min("_day").alias("first"), F.max("_day").alias("last"))
-
-
 def rebuild_from_files(
     spark: SparkSession, source: str, build: Callable[[DataFrame], DataFrame], path: str, manifest: str, day: Column,
     partition: str = "event_date",
@@ -160,12 +154,14 @@ def rebuild_from_files(
     new = sorted(r.file for r in listed.join(known, "file", "left_anti").collect())
     if not new:
         return []
-    ranges = cut_lineage(_file_ranges(spark, new, day))
-    touched = stored_small(spark.read.parquet(*new).select(day.alias(partition)).where(F.col(partition).isNotNull()).distinct())
+    # The new files' days, read once with the columns that the day needs.
+    days = cut_lineage(spark.read.parquet(*new).select(F.col("_metadata.file_path").alias("file"), day.alias(partition)).distinct())
+    touched = broadcast_if_small(days.select(partition).where(F.col(partition).isNotNull()).distinct())
     beside = known.join(touched, F.col(partition).between(F.col("first"), F.col("last")), "left_semi")
     files = sorted({*new, *[r.file for r in beside.select("file").collect()]})
     rows = spark.read.parquet(*files).withColumn(partition, day).join(touched, partition, "left_semi")
     build(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    ranges = days.groupBy("file").agg(F.min(partition).alias("first"), F.max(partition).alias("last"))
     ranges.write.mode("append").parquet(manifest)
     return files
 
