@@ -30,8 +30,11 @@ def write_partitioned(
 def write_bucketed(
     df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite", path: str | None = None
 ) -> None:
-    """Table hashed and sorted by ``key``; two such tables join on it without a shuffle. See ``tables.bucket_count``."""
-    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+    """Table hashed and sorted by ``key``; two such tables join on it without a shuffle. See ``tables.bucket_count``.
+
+    Rows are dealt to their buckets first, so a bucket is one file and files do not grow with tasks times buckets.
+    """
+    writer = df.repartition(buckets, key).write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 

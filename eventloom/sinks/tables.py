@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from eventloom.session import cut_lineage, scratch_path
 
-BUCKET_BYTES = 256 * 1024 * 1024
+# A join sorts a bucket of each table in one task; rows of narrow columns take a dozen times their bytes there.
+BUCKET_BYTES = 16 * 1024 * 1024
 
 
 class TableScope:

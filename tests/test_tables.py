@@ -392,3 +392,12 @@ def test_buckets_follow_the_bytes(spark):
     frame = spark.createDataFrame([(i, "x" * 100) for i in range(50)] + [(None, None)], "a long, b string")
     assert measured_bytes(frame) == 50 * 108 + 8 and measured_bytes(frame.limit(0)) == 0
     assert bucket_count(frame, spark.range(1)) == 1 and bucket_count(frame, bucket_bytes=1000) == 8 and bucket_count(frame.limit(0)) == 1
+
+
+def test_a_bucket_is_small_and_one_file(spark, tmp_path):
+    assert bucket_count(spark.range(9_000_000)) == 8  # 72 MB of keys take about a GB when a task sorts them
+    with TableScope(spark) as scope:
+        name, path = scope.table("kept")
+        rows = spark.range(1000).unionByName(spark.createDataFrame([(None,)], "id long")).repartition(4)
+        sinks.write_bucketed(rows, name, "id", 8, path=path)
+        assert len(spark.table(name).inputFiles()) == 8 and spark.table(name).count() == 1001
