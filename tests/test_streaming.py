@@ -212,6 +212,22 @@ def test_messages_are_put_in_order(spark, drop, tmp_path):
     assert run("c", [("y", 4, 55), ("x", 6, 20)]) == [*second, ("y", 2, 3, 0, "3")]
 
 
+def test_keys_in_order_share_the_state_of_a_group(spark, drop, tmp_path):
+    out, marks, states = str(tmp_path / "out"), str(tmp_path / "marks"), []
+    # 20 keys; of each, number 3 is lost, 1 and 2 come in turn, 2 comes twice, 5 comes before 4; 6 is still held.
+    first = [(k, n, m) for n, m in ((2, 3), (1, 1), (2, 3)) for k in range(20)]
+    second = [(k, n, m) for n, m in ((5, 9), (4, 7), (6, 40)) for k in range(20)]
+    for name, messages in (("a", first), ("b", second)):
+        landing = drop("in", name, [{"k": f"k{k}", "n": n, "ts": f"2026-06-30T14:{m:02d}:00Z"} for k, n, m in messages])
+        stream = spark.readStream.schema("k string, n bigint, ts timestamp").json(landing)
+        handle = ingest.append_parquet(ordering.in_key_order(stream, "k", "n", "ts", "10 minutes", "n", groups=3), out, marks)
+        handle.awaitTermination()
+        states += [p["stateOperators"][0]["numRowsTotal"] for p in handle.recentProgress if p["stateOperators"]]
+    got = sorted((r.key, r.place, r.number, r.missing, r.body) for r in spark.read.parquet(out).collect())
+    assert got == sorted((f"k{k}", p, n, gap, str(n)) for k in range(20) for p, n, gap in ((1, 1, 0), (2, 2, 0), (3, 4, 1), (4, 5, 0)))
+    assert max(states) == 3
+
+
 def test_log_is_compacted_and_a_crash_leaves_it_whole(spark, tmp_path, monkeypatch):
     log, order = str(tmp_path / "log"), ["at"]
     rows = lambda *values: spark.createDataFrame(list(values), "k string, v int, at int")
