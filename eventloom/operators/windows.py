@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
@@ -126,24 +127,26 @@ def top_per_group(counts: DataFrame, group: list[str], order: list[Column], n: i
 _STEP = "CASE WHEN b + m.{amount} < 0 THEN b ELSE CAST(b + m.{amount} AS DECIMAL(38,2)) END"
 
 
-_OUTCOME = T.ArrayType(
-    T.StructType([T.StructField("accepted", T.BooleanType()), T.StructField("balance", T.DecimalType(38, 2))])
-)
+_OUTCOME = T.StructType([T.StructField("accepted", T.BooleanType()), T.StructField("balance", T.DecimalType(38, 2))])
 
 
 @F.pandas_udf(_OUTCOME)
-def _replay(starts: pd.Series, amounts: pd.Series) -> pd.Series:
-    """Outcome of each movement of a piece; the pieces of a batch are independent."""
+def _replay(moves: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    """Outcome of each movement. The movements of a piece follow each other from place 0 on, in one batch or several."""
+    balance = None
+    for places, starts, amounts in moves:
+        accepted, balances = [], []
+        for place, start, move in zip(places.tolist(), starts.tolist(), amounts.tolist()):
+            if place == 0:
+                balance = start
+            accepted.append(balance + move >= 0)
+            balance = balance + move if accepted[-1] else balance
+            balances.append(balance)
+        yield pd.DataFrame({"accepted": accepted, "balance": balances})
 
-    def piece(balance, moves) -> list[dict]:
-        outcome = []
-        for move in moves:
-            accepted = balance + move >= 0
-            balance = balance + move if accepted else balance
-            outcome.append({"accepted": accepted, "balance": balance})
-        return outcome
 
-    return pd.Series([piece(s, a) for s, a in zip(starts, amounts)])
+# A later filter must not take movements away before the replay has seen them.
+_replay = _replay.asNondeterministic()
 
 
 def running_balance(
@@ -187,11 +190,11 @@ def running_balance(
         ready.append(beside(final).select(account, "_start", "_moves"))
         nets = judged.where("_moved").select(account, "_piece", "_net")
 
-    outcome = _replay("_start", F.transform("_moves", lambda m: m[amount])).alias("_outcome")
-    replayed = reduce(DataFrame.unionByName, ready).select(account, "_moves", outcome)
-    lines = replayed.select(account, F.explode(F.arrays_zip("_moves", "_outcome")).alias("_line"))
-    return lines.select(
-        *[F.col(c) if c == account else F.col(f"_line._moves.{c}").alias(c) for c in rows.columns], "_line._outcome.*"
+    # Python sees single movements, so its batches have one size however long the pieces are.
+    lines = reduce(DataFrame.unionByName, ready).select(account, "_start", F.posexplode("_moves").alias("_place", "_move"))
+    judged = lines.withColumn("_outcome", _replay("_place", "_start", F.col(f"_move.{amount}")))
+    return judged.select(
+        *[F.col(c) if c == account else F.col(f"_move.{c}").alias(c) for c in rows.columns], "_outcome.*"
     )
 
 

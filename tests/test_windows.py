@@ -191,3 +191,19 @@ def test_balances_of_very_large_amounts(spark, piece_rows):
     rows = spark.createDataFrame([("a", s, m) for s, m in moves], "a string, i int, v decimal(38,2)")
     out = running_balance(rows, "a", ["i"], "v", piece_rows=piece_rows).orderBy("i").collect()
     assert [(r.i, r.accepted, r.balance) for r in out] == replay(moves, 0)
+
+
+def test_replay_hands_python_single_movements(spark):
+    moves = [(s, Decimal(a)) for s, a in enumerate((5, -9, 4, -7, -2, 3, -1))]
+    rows = spark.createDataFrame([(a, s, m, f"n{s}") for a in "xyz" for s, m in moves], "a string, i int, v decimal(18,2), note string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)  # batches end inside accounts
+    try:
+        out = running_balance(rows, "a", ["i"], "v", "3")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.a, r.i, r.note, r.accepted, r.balance) for r in out.collect())
+        late = out.where("i = 6").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [(a, s, f"n{s}", ok, b) for a in "xyz" for s, ok, b in replay(moves, 3)]
+    assert {r.balance for r in late} == {replay(moves, 3)[-1][2]} and len(late) == 3
+    assert plan.index("ArrowEvalPython") < plan.index("Generate")
