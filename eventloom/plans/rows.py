@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.numbers import money
 from eventloom.functions.text import words
-from eventloom.operators.rows import hash_sample, seeded_pick
+from eventloom.operators.rows import computed_once, hash_sample, seeded_pick
+from eventloom.operators.skew import broadcast_if_small
 from eventloom.plans.adapters import feed, flat, with_feed, with_flat
 from eventloom.plans.registry import Tables, query
+from eventloom.session import cut_lineage
 
 
 @query("SELECT c_custkey, c_name FROM customer")
@@ -115,11 +117,22 @@ WORDS_SQL = r"""words AS (
 @query(f"""WITH {WORDS_SQL} SELECT doc_id, count(*) AS n_words, count(DISTINCT word) AS n_distinct, sum(length(word)) AS n_letters
 FROM words GROUP BY doc_id""")
 def flat_map_words(t: Tables) -> DataFrame:
-    one_per_word = t.documents.select("doc_id", F.explode(words(F.col("text"))).alias("word"))
-    return one_per_word.groupBy("doc_id").agg(
-        F.count("*").alias("n_words"), F.count_distinct("word").alias("n_distinct"),
-        F.sum(F.length("word")).alias("n_letters"),
-    )
+    # Words meet in the task that split the text; the different words of an id travel only if it has several texts.
+    split = t.documents.select("doc_id", words(F.col("text")).alias("words"))
+    sized = computed_once(split, {"_different": F.size(F.array_distinct("words"))})
+    one_per_word = sized.select("doc_id", "_different", F.posexplode("words").alias("_place", "word"))
+    counts = cut_lineage(one_per_word.groupBy("doc_id").agg(
+        F.count("*").alias("n_words"), F.max("_different").cast("long").alias("n_distinct"),
+        F.sum(F.length("word")).alias("n_letters"), F.count_if(F.col("_place") == 0).alias("_texts"),
+    ))
+    once, several = counts.where("_texts = 1").drop("_texts"), counts.where("_texts > 1").drop("n_distinct", "_texts")
+    if several.isEmpty():
+        return once
+    ids = broadcast_if_small(several.select(F.col("doc_id").alias("_id")))
+    again = split.join(ids, F.col("doc_id").eqNullSafe(F.col("_id"))).select("_id", F.explode(F.array_distinct("words")).alias("word"))
+    different = again.groupBy("_id").agg(F.count_distinct("word").alias("n_distinct"))
+    joined = several.join(different, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return once.unionByName(joined.select(once.columns))
 
 
 @query("SELECT user_id AS key, CAST(CAST(value AS DECIMAL(18,2)) * 2 AS DOUBLE) AS value FROM events")

@@ -102,3 +102,20 @@ LAZY = sorted(set(PLANS) - {n for n in PLANS if n.startswith(("st_", "sink_", "s
 def test_no_cross_joins_and_no_row_at_a_time_python(plan_of, name):
     plan = plan_of(name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "BatchEvalPython" not in plan
+
+
+@pytest.mark.parametrize("texts", [["b a b", "", None, "c"], ["b a b", "A c", "A c", "é É", None]])
+def test_words_travel_only_for_ids_of_several_texts(spark, tmp_path, texts):
+    # The first list gives every id one text with words; in the second, ids repeat, one of them null.
+    ids = [1, 1, 2, 3] if len(texts) == 4 else [1, 1, None, None, 2]
+    spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    out = PLANS["flat_map_words"](Tables(spark, str(tmp_path)))
+    bags = {}
+    for i, text in zip(ids, texts):
+        bags.setdefault(i, []).extend((text or "").lower().split())
+    expected = {(i, len(b), len(set(b)), len("".join(b))) for i, b in bags.items() if b}
+    assert sorted(out.dtypes) == [("doc_id", "bigint"), ("n_distinct", "bigint"), ("n_letters", "bigint"), ("n_words", "bigint")]
+    got = out.select("doc_id", "n_words", "n_distinct", "n_letters").collect()
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+    if len(texts) == 4:
+        assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
