@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import mixed, packed_texts, raw_texts, row_key, slices, store, word_places, words_of
+from eventloom.llm.common import mixed, packed_texts, raw_texts, row_key, slices, small_batches, store, word_places, words_of
 from eventloom.llm.near import (
     SIMILAR, UNIT_TYPE, WORDS, MinHash, Shingler, components, member_units, run_hashes, solve_units, tune_bands, unit_batch,
 )
@@ -30,23 +30,21 @@ from eventloom.llm.near import (
 LEAST_WORDS = 25
 #: Bands and values a band: of the pairs at just the similarity all but 3e-6 meet, as in the n-gram Jaccard join.
 BANDS, ROWS = tune_bands(SIMILAR, 1 - 1e-5, 96)
-#: Band keys for one packed part.
-PART_KEYS = 400_000
-#: Bytes of text for one part of the packed seeds or passages.
+#: Bytes of text for one part of the packed seeds or passages, and of the packed band keys.
 PART_BYTES = 8 << 20
+BAND_BYTES = 2 << 20
 #: Band keys, seeds or passages that a task holds before it sends them.
 HELD = 200_000
 #: Hashes in one block of signatures.
-SIGN_BLOCK = 8192
-#: Word hashes that a task remembers.
-REMEMBERED = 300_000
+SIGN_BLOCK = 2048
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: As the bytes of words, with line feeds kept.
 _LINE_BYTES = bytes(10 if c == 10 else c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _SEED = np.dtype([("h", "<u8"), ("t1", "<i8"), ("t2", "<i8"), ("p", "<i8")])
 _BAND = np.dtype([("h", "<u8"), ("k", "<i8")])
+_LINE = np.dtype([("g", "<u8"), ("h", "<u8"), ("n", "<i8"), ("known", "u1"), ("doc", "<i8"), ("t1", "<i8"), ("t2", "<i8"), ("a", "<i8"), ("b", "<i8")])
 _MEMBER = np.dtype([("k", "<i8"), ("b", "<i8"), ("leader", "<i8")])
-_PASSAGE = np.dtype([("h", "<u8"), ("g", "<u4"), ("known", "u1"), ("doc", "<i8"), ("t1", "<i8"), ("t2", "<i8"), ("a", "<i8"), ("b", "<i8")])
+_PASSAGE = np.dtype([("h", "<u8"), ("g", "<u4"), ("s", "<u4"), ("known", "u1"), ("doc", "<i8"), ("t1", "<i8"), ("t2", "<i8"), ("a", "<i8"), ("b", "<i8")])
 
 
 def paragraphs(text: bytes, least: int, shingle: int = WORDS) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -60,50 +58,57 @@ def paragraphs(text: bytes, least: int, shingle: int = WORDS) -> Iterator[tuple[
         begin += len(line) + 1
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
+class WordHashes:
+    """64-bit hashes of words."""
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+    def ids(self, words: np.ndarray) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > REMEMBERED:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    def of_text(self, lines: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begins, ends and hashes of the words of a text translated by ``_LINE_BYTES``; equal words are hashed once."""
+        inside = np.frombuffer(b" " + lines + b" ", np.uint8) > 32
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        begins, ends = edges[::2], edges[1::2]
+        offsets = np.zeros(len(begins) + 1, np.int32)
+        np.cumsum(ends - begins, out=offsets[1:])
+        coded = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(lines.translate(None, b" \n"))]).dictionary_encode()
+        return begins, ends, self.ids(coded.dictionary.to_numpy(zero_copy_only=False))[coded.indices.to_numpy()]
 
 
 class LineSets:
     """The paragraphs of some texts and their sets of hashed word runs, for all of them at once.
 
     ``text``, ``begin``, ``end``: where each paragraph is; ``hashes`` from ``at[i]`` to ``at[i + 1]``: its sorted set.
-    The same paragraphs and sets as ``paragraphs`` and ``Shingler.shingles`` give one by one.
+    The same paragraphs and sets as ``paragraphs`` and ``Shingler.shingles`` give one by one. ``ids``: the hashes of
+    all words of the texts, also of shorter lines, those of text ``i`` from ``words_at[i]`` to ``words_at[i + 1]``.
     """
 
     def __init__(self, texts: list[bytes | None], least: int, size: int, known: WordHashes) -> None:
         least = min(least, size)
-        words: list[bytes] = []
-        rows: list[tuple[int, int, int, int]] = []
-        for number, raw in enumerate(texts):
-            begin = 0
-            for line in (raw or b"").translate(_LINE_BYTES).split(b"\n"):
-                found = line.split()
-                if len(found) >= least:
-                    words += found
-                    rows.append((number, begin, begin + len(line), len(found)))
-                begin += len(line) + 1
-        self.text, self.begin, self.end, counts = (np.array(c, np.int64) for c in (zip(*rows, strict=True) if rows else [()] * 4))
-        ids = known.ids(words)
-        line = np.repeat(np.arange(len(rows)), counts)
+        joined = b"\n".join([t or b"" for t in texts]).translate(_LINE_BYTES)
+        text_at = np.cumsum([0, *[len(t or b"") + 1 for t in texts]])
+        breaks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 10)
+        line_at, line_end = np.append(0, breaks + 1), np.append(breaks, len(joined))
+        begins, _, ids = known.of_text(joined)
+        line_of = np.searchsorted(line_at, begins, "right") - 1
+        per_line = np.bincount(line_of, minlength=len(line_at))
+        rows = np.flatnonzero(per_line >= least)
+        self.text = np.searchsorted(text_at, line_at[rows], "right") - 1
+        self.begin, self.end = line_at[rows] - text_at[self.text], line_end[rows] - text_at[self.text]
+        self.ids, self.words_at = ids, np.searchsorted(begins, text_at)
+        counts, first = per_line[rows], (np.cumsum(per_line) - per_line)[rows]
+        # The number of the paragraph that each word is of; shorter lines have none.
+        number = np.full(len(line_at), -1)
+        number[rows] = np.arange(len(rows))
+        line = number[line_of]
         hashes, lines = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         if len(ids) >= size:
-            run = _run_of(ids, size, np.arange(len(ids) - size + 1))
-            inside = line[: len(run)] == line[size - 1 :]
-            hashes.append(run[inside])
-            lines.append(line[: len(run)][inside])
+            begins = np.flatnonzero((line[: len(ids) - size + 1] == line[size - 1 :]) & (line[: len(ids) - size + 1] >= 0))
+            hashes.append(_run_of(ids, size, begins))
+            lines.append(line[begins])
         for short in range(least, size):
             some = np.flatnonzero(counts == short)
-            hashes.append(_run_of(ids, short, (np.cumsum(counts) - counts)[some]))
+            hashes.append(_run_of(ids, short, first[some]))
             lines.append(some)
         every, owner = np.concatenate(hashes), np.concatenate(lines)
         order = _by_owner(every, owner)
@@ -197,14 +202,19 @@ def _seed_words(least: int) -> int:
     return least // 2 + 1
 
 
-def _seeds(ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the shorter runs that are the smallest of some run of ``least`` words."""
+def _seed_hashes(ids: np.ndarray, least: int) -> np.ndarray:
+    return mixed(run_hashes(ids, _seed_words(least), 0x9E3779B97F4A7C15))
+
+
+def _seeds(ids: np.ndarray, least: int, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the shorter runs that are the smallest of some run of ``least`` words of one owner."""
     size = _seed_words(least)
-    hashes = mixed(run_hashes(ids, size, 0x9E3779B97F4A7C15))
+    hashes = _seed_hashes(ids, least)
     # A seed is the smallest of some neighbourhood when the largest of its neighbourhoods' minima is its own hash.
     span = least - size + 1
     none = np.zeros(span - 1, np.uint64)
-    minima = np.concatenate([none, _sliding(np.minimum, hashes, span), none])
+    inside = owner[: len(ids) - least + 1] == owner[least - 1 :]
+    minima = np.concatenate([none, np.where(inside, _sliding(np.minimum, hashes, span), np.uint64(0)), none])
     chosen = np.flatnonzero(_sliding(np.maximum, minima, span) == hashes)
     return chosen, hashes[chosen]
 
@@ -238,14 +248,32 @@ def _later(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entries[~new & _groups(entries, ("h", "g", "known", "doc", "t1", "t2", "a"))], np.concatenate([single, entries[new]])
 
 
-def _distinct(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    entries = entries[np.lexsort([entries["k"], entries["h"]])]
-    return entries[:0], entries[_groups(entries, ("h", "k"))]
+def _joined(entries: np.ndarray) -> np.ndarray:
+    """Passages of one text that overlap or touch, as one."""
+    entries = entries[np.lexsort([entries["a"], entries["t2"], entries["t1"]])]
+    if not len(entries):
+        return entries
+    # All are of the same number of words, so they end in the order in which they begin.
+    new = _groups(entries, ("t1", "t2"))
+    new[1:] |= entries["a"][1:] > entries["b"][:-1]
+    begins = np.flatnonzero(new)
+    out = entries[begins]
+    out["b"] = entries["b"][np.append(begins[1:], len(entries)) - 1]
+    return out
+
+
+def _all_left(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return entries[:0], entries
 
 
 def _members(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The sets of the band keys that several sets have, with the smallest of them as leader."""
-    entries = _distinct(entries)[1]
+    entries = entries[np.argsort(entries["h"])]
+    new = _groups(entries, ("h",))
+    entries = entries[~(new & np.append(new[1:], True))]
+    # Most keys are of one set only; what is left is put in order, and a set sent twice counts once.
+    entries = entries[np.lexsort([entries["k"], entries["h"]])]
+    entries = entries[_groups(entries, ("h", "k"))]
     new = _groups(entries, ("h",))
     begins = np.flatnonzero(new)
     sizes = np.diff(np.append(begins, len(entries)))
@@ -316,24 +344,28 @@ def _unpack(packed: bytes, kind: np.dtype, part: int) -> np.ndarray:
     return out
 
 
-def _deal(held: list[np.ndarray], parts: int, meet) -> pa.RecordBatch:
-    """``meet`` inside the task: what it says of these entries is ready, what is left goes to the parts."""
+def _deal(held: list[np.ndarray], parts: int, meet, first: int = 0) -> pa.RecordBatch:
+    """``meet`` inside the task: what it says of these entries is ready, what is left goes to the parts from ``first`` on."""
     ready, left = meet(np.concatenate(held))
     held.clear()
     rows = []
+    # Passages go by their seeds, so that neighbours mostly go together.
+    by = "s" if "s" in left.dtype.names else "h"
     for entries, done in ((ready, True), (left, False)):
-        part = (entries["h"] % np.uint64(parts)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
+        part = (entries[by] % np.uint64(parts)).astype(np.int32) + np.int32(first)
+        # Numbers of two bytes are put in order without comparisons.
+        order = np.argsort(part.astype(np.uint16) if first + parts < 1 << 16 else part, kind="stable")
         entries, part = entries[order], part[order]
         begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
         rows += [(p, done, _pack(e)) for p, e in zip(part[begins].tolist(), np.split(entries, begins[1:]), strict=True)] if len(part) else []
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _DEALT, strict=True)], schema=_DEALT)
 
 
-def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str, ...]) -> DataFrame:
-    """``columns`` of the entries that ``meet`` gives for each part, and of those that were ready."""
+def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, shorten, columns: tuple[str, ...]) -> DataFrame:
+    """``columns`` of what ``shorten`` makes of the entries that ``meet`` gives for each part, and of those that were ready."""
 
     def batch_of(entries: np.ndarray) -> Iterator[pa.RecordBatch]:
+        entries = shorten(entries)
         for i in range(0, len(entries), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(entries[i : i + 100_000][c])) for c in columns], names=list(columns))
 
@@ -355,110 +387,162 @@ def _meet(dealt: DataFrame, parts: int, kind: np.dtype, meet, columns: tuple[str
     return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
 
 
-def _paragraph_table(docs: DataFrame, text: str, least: int, words: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for whole in batches:
-            for batch in slices(whole, "_text"):
-                docs_, texts = batch.column("doc_id"), raw_texts(batch.column("_text"))
-                sets = LineSets(texts, least, words, known)
-                if len(sets.text):
-                    keys = np.array([row_key(d, t) for d, t in zip(docs_.to_pylist(), texts, strict=True)], np.int64).reshape(-1, 2)[sets.text]
-                    columns = [docs_.take(pa.array(sets.text)), *[pa.array(np.ascontiguousarray(c)) for c in (keys[:, 0], keys[:, 1], sets.begin, sets.end)], pa.array(sets.keys(), pa.binary()), pa.array(np.diff(sets.at))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "t2", "a", "b", "k", "n"])
+def _lines(sets: LineSets, keys: np.ndarray, docs: list[int | None], digests: list[bytes]) -> np.ndarray:
+    """One entry for each paragraph; ``keys``: those of the texts."""
+    out = np.zeros(len(sets.text), _LINE)
+    halves_ = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+    out["g"], out["h"], out["n"] = halves_[:, 0], halves_[:, 1], np.diff(sets.at)
+    out["known"] = np.array([d is not None for d in docs], np.uint8)[sets.text]
+    out["doc"] = np.array([d or 0 for d in docs], np.int64)[sets.text]
+    out["t1"], out["t2"], out["a"], out["b"] = keys[sets.text, 0], keys[sets.text, 1], sets.begin, sets.end
+    return out
+
+
+_PASS = "kind int, doc_id long, t1 long, t2 long, a long, b long, k binary, n long, tag long, band long, leader long, p long"
+_PASS_KINDS = [pa.int32(), *[pa.int64()] * 5, pa.binary(), *[pa.int64()] * 5]
+_PASS_NAMES = [f.split()[0] for f in _PASS.split(", ")]
+
+
+def _pass_batches(kind: int, entries: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(entries), 50_000):
+        some = entries[i : i + 50_000]
+        if kind == 0:
+            keys = np.ascontiguousarray(np.stack([some["g"], some["h"]], 1))
+            columns = {"doc_id": pa.array(some["doc"], mask=some["known"] == 0), "k": pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(some), [None, pa.py_buffer(keys)]).cast(pa.binary())}
+            names = {"t1": "t1", "t2": "t2", "a": "a", "b": "b", "n": "n"}
+        else:
+            columns, names = {}, {"tag": "k", "band": "b", "leader": "leader"} if kind == 1 else {"t1": "t1", "t2": "t2", "p": "p"}
+        columns |= {"kind": pa.array(np.full(len(some), kind, np.int32))} | {to: pa.array(np.ascontiguousarray(some[c])) for to, c in names.items()}
+        yield pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(len(some), t) for c, t in zip(_PASS_NAMES, _PASS_KINDS, strict=True)], names=_PASS_NAMES)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(
-        run, "doc_id long, t1 long, t2 long, a long, b long, k binary, n long"
-    )
 
+def _one_pass(docs: DataFrame, text: str, least: int, words: int, bands: int, rows: int, similar: float, band_parts: int, seed_parts: int) -> DataFrame:
+    """What is asked of every word, with each text split once; ``kind`` tells the rows apart.
 
-def _band_members(docs: DataFrame, text: str, least: int, words: int, bands: int, rows: int, similar: float, parts: int) -> DataFrame:
-    """k, b, leader of the paragraphs that share a band key with a different one; see ``member_units``.
+    0: doc_id, t1, t2, a, b, k, n of every paragraph.
+    1: tag, band, leader of the paragraphs that share a band key with a different one; see ``member_units``. A set goes
+    by 64 bits of its key here (``xxhash64`` of it in SQL). Sets equal in these are candidates together.
+    2: t1, t2, p (number of its first word) of the seeds that occur again.
 
-    A set goes by 64 bits of its key here (``xxhash64`` of it in SQL). Sets equal in these are candidates together.
+    Parts are numbered through: those of the band keys, those of the seeds, and as many for the paragraphs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, minhash = WordHashes(), MinHash(bands * rows)
-        held: list[np.ndarray] = []
+        held: list[list[np.ndarray]] = [[], [], []]
+        sizes_held = [0, 0, 0]
         seen: set[bytes] = set()
+        turn = 0
+
+        def send(kind: int) -> pa.RecordBatch:
+            nonlocal turn
+            sizes_held[kind] = 0
+            if kind == 1:
+                return _deal(held[1], band_parts, _all_left)
+            if kind == 2:
+                return _deal(held[2], seed_parts, _again, band_parts)
+            entries = np.concatenate(held[0])
+            held[0].clear()
+            turn += 1
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([band_parts + seed_parts + (int(entries["h"][0]) + turn) % seed_parts], [True], [_pack(entries)]), _DEALT, strict=True)], schema=_DEALT)
+
+        def add(kind: int, entries: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if len(entries):
+                held[kind].append(entries)
+                sizes_held[kind] += len(entries)
+                if sizes_held[kind] > HELD:
+                    yield send(kind)
+
         for whole in batches:
-            for batch in slices(whole, "_text"):
-                sets = LineSets(raw_texts(batch.column("_text")), least, words, known)
-                sizes = np.diff(sets.at)
+            for batch in slices(whole, "_text", 1 << 20):
+                ids, texts = batch.column("doc_id").to_pylist(), raw_texts(batch.column("_text"))
+                sets = LineSets(texts, least, words, known)
+                keys = np.array([row_key(d, t) for d, t in zip(ids, texts, strict=True)], np.int64).reshape(-1, 2)
+                digests_ = sets.keys()
+                if len(sets.text):
+                    yield from add(0, _lines(sets, keys, ids, digests_))
+                if len(sets.ids) >= least:
+                    owner = np.repeat(np.arange(len(texts)), np.diff(sets.words_at))
+                    places, hashes = _seeds(sets.ids, least, owner)
+                    entries = np.zeros(len(places), _SEED)
+                    of = owner[places]
+                    entries["h"], entries["p"], entries["t1"], entries["t2"] = hashes, places - sets.words_at[of], keys[of, 0], keys[of, 1]
+                    yield from add(2, entries)
                 # Another set has at best one hash more or less.
+                sizes = np.diff(sets.at)
+                able = (sizes >= similar * (sizes + 1) - 1e-9).tolist()
                 fresh = {}
-                for i, k in enumerate(sets.keys()):
-                    if k not in seen and k not in fresh and sizes[i] >= similar * (sizes[i] + 1) - 1e-9:
+                for i, k in enumerate(digests_):
+                    if able[i] and k not in seen and k not in fresh:
                         fresh[k] = i
                 seen.update(fresh)
-                chosen = np.array(list(fresh.values()), np.int64)
+                chosen, new = np.array(list(fresh.values()), np.int64), list(fresh)
                 # At most HELD entries at a time, whatever the texts of the slice.
                 for i in range(0, len(chosen), HELD // bands):
                     some = chosen[i : i + HELD // bands]
-                    names = np.array([xxhash.xxh64_intdigest(k, 42) for k in list(fresh)[i : i + HELD // bands]], np.uint64)
+                    tags = np.array([xxhash.xxh64_intdigest(k, 42) for k in new[i : i + HELD // bands]], np.uint64)
                     out = np.zeros((len(some), bands), _BAND)
                     out["h"] = band_matrix(sets.signatures(some, minhash), rows)
-                    out["k"] = names.view(np.int64)[:, None]
-                    held.append(out.ravel())
-                    if sum(map(len, held)) > HELD:
-                        yield _deal(held, parts, _distinct)
+                    out["k"] = tags.view(np.int64)[:, None]
+                    yield from add(1, out.ravel())
                 if len(seen) > HELD:
                     seen.clear()
-        if held:
-            yield _deal(held, parts, _distinct)
-
-    dealt = docs.select(F.col(text).alias("_text")).mapInArrow(run, "part int, ready boolean, packed binary")
-    return _meet(dealt, parts, _BAND, _members, ("k", "b", "leader"))
+        for kind in range(3):
+            if held[kind]:
+                yield send(kind)
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
 
-def _repeated_seeds(docs: DataFrame, text: str, least: int, parts: int) -> DataFrame:
-    """t1, t2, p (number of its first word) of the seeds that occur again."""
+        def met() -> Iterator[pa.RecordBatch]:
+            if held:
+                yield from _pass_batches(1, _members(np.concatenate(held))[0]) if now < band_parts else _pass_batches(2, _again(np.concatenate(held))[0])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        held, size = [], 0
-        for whole in batches:
-            for batch in slices(whole, "_text"):
-                for doc, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch.column("_text")), strict=True):
-                    words = words_of(raw)
-                    if len(words) < least:
-                        continue
-                    places, hashes = _seeds(known.ids(words), least)
-                    entries = np.zeros(len(places), _SEED)
-                    entries["h"], entries["p"] = hashes, places
-                    entries["t1"], entries["t2"] = row_key(doc, raw)
-                    held.append(entries)
-                    size += len(entries)
-                if size > HELD:
-                    yield _deal(held, parts, _again)
-                    held, size = [], 0
-        if held:
-            yield _deal(held, parts, _again)
+        for batch in batches:
+            for part, ready, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if part != now:
+                    yield from met()
+                    now, held = part, []
+                if part >= band_parts + seed_parts:
+                    yield from _pass_batches(0, _unpack(packed, _LINE, part))
+                elif ready:
+                    yield from _pass_batches(2, _unpack(packed, _SEED, part))
+                else:
+                    held.append(_unpack(packed, _BAND if part < band_parts else _SEED, part))
+        yield from met()
 
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(run, "part int, ready boolean, packed binary")
-    return _meet(dealt, parts, _SEED, _again, ("t1", "t2", "p"))
+    return dealt.repartition(seed_parts, "part").sortWithinPartitions("part").mapInArrow(gather, _PASS)
 
 
 def _later_passages(texts: DataFrame, least: int, parts: int) -> DataFrame:
-    """t1, t2, a, b of the passages that also stand at a smaller place. ``texts``: _k0 (id), t1, t2, z, ``seeds``."""
+    """t1, t2, a, b of the passages that also stand at a smaller place, some of one text joined. ``texts``: _k0 (id), t1, t2, z, ``seeds``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, known, span = zstandard.ZstdDecompressor(), WordHashes(), least - _seed_words(least) + 1
         held, size = [], 0
-        for batch in batches:
-            for doc, t1, t2, z, seeds in zip(*[batch.column(c).to_pylist() for c in ("_k0", "t1", "t2", "z", "seeds")], strict=True):
-                raw = open_.decompress(z)
-                begins, ends = word_places(raw)
-                h, g = _run_digests(known.ids(words_of(raw)), least)
-                at = np.array(seeds, np.int64)
+        for whole in batches:
+            for batch in slices(whole, "z", 1 << 18):
+                docs, t1, t2, z, seeds = (batch.column(c).to_pylist() for c in ("_k0", "t1", "t2", "z", "seeds"))
+                raws = [open_.decompress(x) for x in z]
+                text_at = np.cumsum([0, *[len(r) + 1 for r in raws]])[:-1]
+                begins, ends, ids = known.of_text(b"\n".join(raws).translate(_LINE_BYTES))
+                owner = np.searchsorted(text_at, begins, "right") - 1
+                words_at = np.searchsorted(begins, text_at)
+                h, g = _run_digests(ids, least)
+                # The seed of every passage, the same in equal ones.
+                seed = _sliding(np.minimum, _seed_hashes(ids, least), span).astype(np.uint32)
+                at = np.concatenate([np.array(s, np.int64) + w for s, w in zip(seeds, words_at.tolist(), strict=True)])
                 change = np.zeros(len(h) + 1, np.int64)
                 np.add.at(change, np.maximum(at - span + 1, 0), 1)
                 np.add.at(change, np.minimum(at + 1, len(h)), -1)
-                near = np.flatnonzero(np.cumsum(change[:-1]) > 0)
+                # Passages around a seed; those that run on into the next text are none.
+                near = np.flatnonzero((np.cumsum(change[:-1]) > 0) & (owner[: len(h)] == owner[least - 1 :]))
+                of = owner[near]
                 entries = np.zeros(len(near), _PASSAGE)
-                entries["h"], entries["g"], entries["a"], entries["b"] = h[near], g[near], begins[near], ends[near + least - 1]
-                entries["known"], entries["doc"], entries["t1"], entries["t2"] = doc is not None, doc or 0, t1, t2
+                entries["h"], entries["g"], entries["s"], entries["a"], entries["b"] = h[near], g[near], seed[near], begins[near] - text_at[of], ends[near + least - 1] - text_at[of]
+                entries["known"], entries["doc"] = np.array([d is not None for d in docs])[of], np.array([d or 0 for d in docs], np.int64)[of]
+                entries["t1"], entries["t2"] = np.array(t1, np.int64)[of], np.array(t2, np.int64)[of]
                 held.append(entries)
                 size += len(entries)
                 if size > HELD:
@@ -468,7 +552,7 @@ def _later_passages(texts: DataFrame, least: int, parts: int) -> DataFrame:
             yield _deal(held, parts, _later)
 
     dealt = texts.select("_k0", "t1", "t2", "z", "seeds").mapInArrow(run, "part int, ready boolean, packed binary")
-    return _meet(dealt, parts, _PASSAGE, _later, ("t1", "t2", "a", "b"))
+    return _meet(dealt, parts, _PASSAGE, _later, _joined, ("t1", "t2", "a", "b"))
 
 
 def _merged(pieces: DataFrame) -> DataFrame:
@@ -524,14 +608,19 @@ def find_repeats(
 ) -> DataFrame:
     """t1, t2 (key of a row by id and text), n_paragraphs and n_runs (of passages) removed, and their sorted, merged ``spans``."""
     here = F.struct("doc_id", "t1", "t2", "a")
-    table = store(_paragraph_table(docs, text, least, words), "paragraphs")
+    small_batches(docs.sparkSession)
+    least_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.select(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    parts = max(least_parts, -(-size // PART_BYTES))
+    found = store(_one_pass(docs, text, least, words, bands, rows, similar, max(parts, -(-size // BAND_BYTES)), parts), "paragraphs-bands-seeds")
+    table = found.where("kind = 0").select("doc_id", "t1", "t2", "a", "b", "k", "n")
+    members = found.where("kind = 1").select(F.col("tag").alias("k"), F.col("band").alias("b"), "leader")
+    seeds = found.where("kind = 2").groupBy("t1", "t2").agg(F.collect_set("p").alias("seeds"))
     # Equal paragraphs are one from here on; a line in a third of all documents costs one row per task.
     sets = store(table.groupBy("k").agg(F.max("n").alias("n"), F.min(F.struct("doc_id", "t1", "t2", "a", "b")).alias("first"), F.count("*").alias("times")), "paragraph-sets")
-    least_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    members = _band_members(docs, text, least, words, bands, rows, similar, max(least_parts, -(-sets.count() * bands // PART_KEYS)))
     tag = F.xxhash64("k").alias("tag")
     sizes = sets.groupBy(tag).agg(F.sum("n").alias("n")).withColumnRenamed("tag", "k")
-    units = member_units(store(members, "bucket-members"), sizes).withColumnRenamed("k", "tag")
+    units = member_units(members, sizes).withColumnRenamed("k", "tag")
     wanted = units.join(sets.select(tag, "k", "first"), "tag").groupBy("first.t1", "first.t2").agg(F.collect_list(F.struct("k", "first.a", "first.b", "units")).alias("wanted"))
     texts = packed_texts(docs.select("doc_id", F.col(text).alias("_t")), "_t", ["doc_id"], by="doc_id").where("z IS NOT NULL").dropDuplicates(["t1", "t2"])
     linked = store(solve_units(_unit_rows(texts.join(wanted, ["t1", "t2"]), words), similar, None), "paragraph-links")
@@ -540,9 +629,6 @@ def find_repeats(
     owners = classed.groupBy("class").agg(F.min("first").alias("o"), F.sum("times").alias("times")).where("times > 1")
     owner = classed.select("k", "class").join(owners, "class").select("k", F.struct("o.doc_id", "o.t1", "o.t2", "o.a").alias("o"))
     gone = table.join(owner, "k").where(~here.eqNullSafe(F.col("o"))).select("t1", "t2", "a", "b")
-    size = docs.select(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    parts = max(least_parts, -(-size // PART_BYTES))
-    seeds = store(_repeated_seeds(docs, text, least, parts), "repeated-seeds").groupBy("t1", "t2").agg(F.collect_set("p").alias("seeds"))
     inside = store(_later_passages(texts.join(seeds, ["t1", "t2"]), least, parts), "later-passages")
     cut = gone.distinct().withColumn("run", F.lit(False)).unionByName(inside.withColumn("run", F.lit(True)))
     return _merged(cut.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "b", "run")).alias("cut")))
