@@ -32,7 +32,7 @@ LEAST_WORDS = 25
 BANDS, ROWS = tune_bands(SIMILAR, 1 - 1e-5, 96)
 #: Bytes of text for one part of the packed seeds or passages, and of the packed band keys.
 PART_BYTES = 8 << 20
-BAND_BYTES = 2 << 20
+BAND_BYTES = 4 << 20
 #: Band keys, seeds or passages that a task holds before it sends them.
 HELD = 200_000
 #: Hashes in one block of signatures.
@@ -286,6 +286,10 @@ def _members(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _DEALT = pa.schema([("part", pa.int32()), ("ready", pa.bool_()), ("packed", pa.binary())])
 
 
+#: Bytes of a packed band key and its set.
+_BAND_WIDTH = 13
+
+
 def _pack(entries: np.ndarray) -> bytes:
     """Entries column by column; the rows they are of are written once, offsets in four bytes, band keys in five.
 
@@ -294,8 +298,10 @@ def _pack(entries: np.ndarray) -> bytes:
     """
     owner = [n for n in ("t1", "t2", "doc", "known") if n in entries.dtype.names]
     if not owner:
-        keys = mixed(entries["h"]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-        return keys.tobytes() + entries["k"].astype("<i8").tobytes()
+        out = np.empty((len(entries), _BAND_WIDTH), np.uint8)
+        out[:, :5] = mixed(entries["h"]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        out[:, 5:] = entries["k"].astype("<i8").view(np.uint8).reshape(-1, 8)
+        return out.tobytes()
     order = np.lexsort([entries[n] for n in reversed(owner)])
     new = np.zeros(len(entries), bool)
     for name in owner:
@@ -315,12 +321,12 @@ def _pack(entries: np.ndarray) -> bytes:
 def _unpack(packed: bytes, kind: np.dtype, part: int) -> np.ndarray:
     owner = [n for n in ("t1", "t2", "doc", "known") if n in kind.names]
     if not owner:
-        size = len(packed) // 13
-        keys = np.zeros((size, 8), np.uint8)
-        keys[:, :5] = np.frombuffer(packed, np.uint8, 5 * size).reshape(-1, 5)
-        out = np.zeros(size, kind)
+        rows = np.frombuffer(packed, np.uint8).reshape(-1, _BAND_WIDTH)
+        keys = np.zeros((len(rows), 8), np.uint8)
+        keys[:, :5] = rows[:, :5]
+        out = np.zeros(len(rows), kind)
         out["h"] = keys.view("<u8").ravel() | np.uint64(part << 40)
-        out["k"] = np.frombuffer(packed, "<i8", size, 5 * size)
+        out["k"] = np.ascontiguousarray(rows[:, 5:]).view("<i8").ravel()
         return out
     raw, at = zstandard.ZstdDecompressor().decompress(packed), 0
 
@@ -356,8 +362,16 @@ def _deal(held: list[np.ndarray], parts: int, meet, first: int = 0) -> pa.Record
         # Numbers of two bytes are put in order without comparisons.
         order = np.argsort(part.astype(np.uint16) if first + parts < 1 << 16 else part, kind="stable")
         entries, part = entries[order], part[order]
-        begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
-        rows += [(p, done, _pack(e)) for p, e in zip(part[begins].tolist(), np.split(entries, begins[1:]), strict=True)] if len(part) else []
+        if not len(part):
+            continue
+        begins = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        if entries.dtype == _BAND:
+            # Packed at once: what is done for each part alone grows with the number of parts.
+            raw, edges = _pack(entries), (_BAND_WIDTH * np.append(begins, len(part))).tolist()
+            packs = [raw[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
+        else:
+            packs = map(_pack, np.split(entries, begins[1:]))
+        rows += [(p, done, z) for p, z in zip(part[begins].tolist(), packs, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _DEALT, strict=True)], schema=_DEALT)
 
 
